@@ -1,4 +1,7 @@
 """The registered queries and their SQL twins."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from threadloom.plans import curation, posts, segments, threads
+
+_PARTS = [posts, curation, threads, segments]
+QUERIES = {k: f for p in _PARTS for k, f in p.QUERIES.items()}
+ORACLE_SQL = {k: s for p in _PARTS for k, s in p.ORACLE_SQL.items()}
