@@ -1,7 +1,7 @@
 """The registered queries and their SQL twins."""
 
-from threadloom.plans import curation, posts, segments, threads
+from threadloom.plans import curation, posts, search, segments, streams, texts, threads
 
-_PARTS = [posts, curation, threads, segments]
+_PARTS = [posts, curation, threads, segments, search, texts, streams]
 QUERIES = {k: f for p in _PARTS for k, f in p.QUERIES.items()}
 ORACLE_SQL = {k: s for p in _PARTS for k, s in p.ORACLE_SQL.items()}
