@@ -70,8 +70,10 @@ def _key(fp: str, at) -> Column:
 
 
 def _postings(fps: DataFrame, sets: list[tuple[int, ...]]) -> DataFrame:
-    keys = F.array(*[F.struct(F.lit(k).alias("s"), _key("fp", at).alias("key")) for k, at in enumerate(sets)])
-    return fps.select("node", "fp", F.explode(keys).alias("k")).select("node", "fp", "k.s", "k.key")
+    """(node, fp, s, key, free) for each fingerprint and position set: free holds the bytes outside of the set."""
+    rest = [[i for i in range(BYTES) if i not in at] for at in sets]
+    keys = F.array(*[F.struct(F.lit(k).alias("s"), _key("fp", at).alias("key"), _key("fp", rest[k]).alias("free")) for k, at in enumerate(sets)])
+    return fps.select("node", "fp", F.explode(keys).alias("k")).select("node", "fp", "k.s", "k.key", "k.free")
 
 
 def _pairs(postings: DataFrame, sets: list[tuple[int, ...]]) -> DataFrame:
@@ -94,23 +96,17 @@ def _split(postings: DataFrame, hot: int) -> tuple[DataFrame, DataFrame | None]:
     return postings.join(long, ["s", "key"], "left_anti"), postings.join(long, ["s", "key"], "left_semi")
 
 
-def _stars(fps: DataFrame) -> DataFrame:
-    """Links of the fingerprints in long lists of five equal bytes, through masks of 3 of the 24 other bits."""
-    links = None
-    for five in combinations(range(BYTES), LEAST_EQUAL):
-        members = fps.filter(F.col("s") == FIVES.index(five)).select("node", "fp")
-        bits = [8 * (7 - i) + b for i in range(BYTES) if i not in five for b in range(8)]
-        masks = [(1 << x) | (1 << y) | (1 << z) for x, y, z in combinations(bits, 3)]
-        signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-        keyed = members.select("node", "fp", F.explode(F.array(*[F.lit(m).cast("long") for m in signed])).alias("mask"))
-        keyed = keyed.select("node", "mask", F.col("fp").bitwiseAND(F.bitwise_not("mask")).alias("rest"))
-        centre = keyed.groupBy("mask", "rest").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        part = keyed.join(centre, ["mask", "rest"]).filter("node > b").select(F.col("node").alias("a"), "b").distinct()
-        links = part if links is None else links.unionByName(part)
-    return links
+FIVES = list(combinations(range(BYTES), LEAST_EQUAL))
+#: All choices of 3 of the 24 bits outside of five equal bytes.
+MASKS = [(1 << x) | (1 << y) | (1 << z) for x, y, z in combinations(range(24), BITS)]
 
 
-FIVES = list(combinations(range(BYTES), LEAST_EQUAL))
+def _stars(postings: DataFrame) -> DataFrame:
+    """Links of the members of long lists of five equal bytes, one star for each mask and value of the other bits."""
+    keyed = postings.select("node", "s", "key", "free", F.explode(F.expr(f"array({', '.join(map(str, MASKS))})")).alias("mask"))
+    keyed = keyed.select("node", "s", "key", "mask", F.col("free").bitwiseAND(F.bitwise_not(F.col("mask").cast("long"))).alias("rest"))
+    centre = keyed.groupBy("s", "key", "mask", "rest").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    return keyed.join(centre, ["s", "key", "mask", "rest"]).filter("node > b").select(F.col("node").alias("a"), "b").distinct()
 
 
 def near_links(nodes: DataFrame, hot: int = 2048) -> DataFrame:
