@@ -11,7 +11,6 @@ after the first are revisits of it. Each ARC and WARC record is a gzip member of
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import uuid
 import zlib
@@ -38,6 +37,20 @@ def _member(data: bytes) -> bytes:
     return pack.compress(data) + pack.flush()
 
 
+def unpacked(data: bytes) -> bytes:
+    """The contents of a file of gzip members, each fed to its own decompressor in small steps, so the cost is linear."""
+    out, at, view = [], 0, memoryview(data)
+    while at < len(data):
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            if at >= len(data):
+                raise EOFError("the last gzip member is cut off")
+            out.append(member.decompress(view[at : at + 8192]))
+            at += min(8192, len(data) - at)
+        at -= len(member.unused_data)
+    return b"".join(out)
+
+
 def arc_version_block(name: str, version: int, date: str) -> bytes:
     body = f"{version} 0 threadloom\n{ARC_FIELDS[version]}\n\n".encode()
     values = [f"filedesc://{name}", "0.0.0.0", date, "text/plain"] + (["200", "-", "-", "0", name] if version == 2 else [])
@@ -55,17 +68,13 @@ def arc_record(url: str | None, date: str, source_id: int | None, payload: bytes
 
 def parse_arc(data: bytes):
     """(fields by name, body) of each record after the version block, by the header form that the version block declares."""
-    data = memoryview(data)
-
     def line(at: int) -> tuple[str, int]:
-        end = at
-        while data[end] != 10:
-            end += 1
-        return bytes(data[at:end]).decode("latin-1"), end + 1
+        end = data.index(b"\n", at)
+        return data[at:end].decode("latin-1"), end + 1
 
     head, at = line(0)
     size = int(head.rsplit(" ", 1)[1])
-    body = bytes(data[at : at + size]).decode("latin-1").split("\n")
+    body = data[at : at + size].decode("latin-1").split("\n")
     if not head.startswith("filedesc://") or int(body[0].split(" ")[0]) not in ARC_FIELDS:
         raise ValueError("not an ARC file of version 1 or 2")
     names, at = body[1].split(" "), at + size
@@ -81,7 +90,7 @@ def parse_arc(data: bytes):
         size = int(fields["Archive-length"])
         if at + size > len(data):
             raise ValueError("an ARC record is shorter than it declares")
-        yield fields, bytes(data[at : at + size])
+        yield fields, data[at : at + size]
         at += size
 
 
@@ -136,6 +145,11 @@ def write_arc(pages: DataFrame, out: str, id_col: str = "page_id", url_col: str
     return materialize(rows.mapInArrow(run, "arc string"), "arc-files")
 
 
+def spread(paths: DataFrame, name: str, most: int = 20_000) -> DataFrame:
+    """Rows of file paths, a partition for each file or few: their bytes say nothing of the work, so the number is given."""
+    return paths.repartition(max(1, min(most, paths.count())), name)
+
+
 INDEX = "arc string, number int, source_id long, payload_bytes long, payload_digest binary"
 
 
@@ -145,7 +159,7 @@ def arc_index(arcs: DataFrame) -> DataFrame:
         for b in batches:
             for arc in b.column("arc").to_pylist():
                 rows = []
-                for number, (_, body) in enumerate(parse_arc(gzip.decompress(read_file(arc)))):
+                for number, (_, body) in enumerate(parse_arc(unpacked(read_file(arc)))):
                     _, payload, fields = http_parts(body)
                     rows.append((arc, number, _text(fields.get(ID_HEADER)), len(payload), hashlib.sha256(payload).digest()))
                 if rows:
@@ -167,7 +181,7 @@ def plan_revisits(index: DataFrame) -> DataFrame:
 
 def convert(arcs: DataFrame, out: str) -> DataFrame:
     """Write one WARC file for each ARC file of arcs(arc) and return the paths. Revisits of a file are bounded by its records."""
-    index = materialize(arc_index(arcs), "arc-index")
+    index = materialize(arc_index(spread(arcs, "arc")), "arc-index")
     revisits = plan_revisits(index).groupBy("arc").agg(F.collect_list(F.struct("number", "refers")).alias("revisits"))
 
     def run(batches):
@@ -178,7 +192,7 @@ def convert(arcs: DataFrame, out: str) -> DataFrame:
                 name, members = arc.rpartition("/")[2], []
                 info = warc_record("warcinfo", [("WARC-Record-ID", record_id(name, -1)), ("WARC-Date", "2024-01-01T00:00:00Z"), ("Content-Type", "application/warc-fields")], b"software: threadloom\r\nformat: WARC File Format 1.1\r\n")
                 members.append(_member(info))
-                for number, (fields, body) in enumerate(parse_arc(gzip.decompress(read_file(arc)))):
+                for number, (fields, body) in enumerate(parse_arc(unpacked(read_file(arc)))):
                     head, payload, http = http_parts(body)
                     d = fields["Archive-date"]
                     known = [("WARC-Record-ID", record_id(name, number)), ("WARC-Date", f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z")]
@@ -199,7 +213,7 @@ def convert(arcs: DataFrame, out: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"warc": paths})
 
     jobs = arcs.join(revisits, "arc", "left")
-    return materialize(jobs.repartition("arc").mapInArrow(run, "warc string"), "warc-files")
+    return materialize(spread(jobs, "arc").mapInArrow(run, "warc string"), "warc-files")
 
 
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string"
@@ -211,7 +225,7 @@ def read_warc(warcs: DataFrame) -> DataFrame:
         for b in batches:
             for path in b.column("warc").to_pylist():
                 rows = []
-                for kind, fields, block in parse_warc(gzip.decompress(read_file(path))):
+                for kind, fields, block in parse_warc(unpacked(read_file(path))):
                     if kind not in ("response", "revisit"):
                         continue
                     _, payload, http = http_parts(block)
@@ -225,11 +239,11 @@ def read_warc(warcs: DataFrame) -> DataFrame:
                     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in RECORDS.split(", ")])
 
-    return warcs.repartition("warc").mapInArrow(run, RECORDS)
+    return spread(warcs, "warc").mapInArrow(run, RECORDS)
 
 
 def archive_pages(pages: DataFrame, **columns) -> DataFrame:
     """Pages to ARC files, those to WARC files, and the records read back from these."""
     spark = pages.sparkSession
     arcs = write_arc(pages, new_path(spark, "arc"), **columns)
-    return read_warc(convert(arcs.repartition("arc"), new_path(spark, "warc")))
+    return read_warc(convert(arcs, new_path(spark, "warc")))
