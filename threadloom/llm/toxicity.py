@@ -1,8 +1,8 @@
 """Toxicity by weak supervision: many lexicon and pattern voters, a generative label model, a linear classifier.
 
-Features of a text are its words and their first 4, 5 and 6 bytes (words are runs of letters after lower-casing A-Z),
-hashed to 2^20, and a few surface patterns. On a bounded sample of learnable labelled rows (at most about `max_rows`, by
-a hash of the id) one task
+Features of a text are its words and the first 3 to 9 bytes of longer words (words are runs of letters after lower-casing
+A-Z), hashed to 2^20, and a few patterns: surface ones, and whether any word of the seed lexicon occurs. On a bounded
+sample of learnable labelled rows (at most about `max_rows`, by a hash of the id) one task
 1. takes as lexicon voters the seed words and the features that stand in toxic rows far more often than in others, and as
    pattern voters the surface patterns; a voter votes toxic or abstains;
 2. fits a generative model of votes and latent labels by expectation-maximisation: each voter's rate on either class, the
@@ -26,10 +26,10 @@ from .common import materialize
 BITS = 20
 DIM = 1 << BITS
 TABLE = word_bytes(digits=False)
-PREFIXES = (4, 5, 6)
+PREFIXES = tuple(range(3, 10))
 #: Seed lexicon; a parameter. The voters' rates are estimated, so a useless or missing word does no harm.
 SEEDS = ("idiot", "moron", "scum", "clown", "trash", "loser", "stupid", "worthless", "pathetic", "disgusting", "dumb", "fool", "filth", "vermin", "garbage", "jerk", "creep", "imbecile", "cretin", "parasite")
-PATTERNS = ("shouting", "exclaiming", "masked")
+PATTERNS = ("shouting", "exclaiming", "masked", "seeded")
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -43,17 +43,22 @@ def _patterns(text: bytes) -> list[int]:
     return [DIM + k for k, on in enumerate((upper > lower, b"!!" in text, b"**" in text)) if on]
 
 
-def features(texts: list[bytes]):
-    """(row numbers, buckets) of all features, repeats included, for blocks of texts; rows ascend."""
+def features(texts: list[bytes], seeds: np.ndarray):
+    """(row numbers, buckets) of all features, repeats included, for blocks of texts. seeds: buckets of the seed words."""
+    seeded = np.zeros(DIM, bool)
+    seeded[seeds] = True
     for i, j, data, starts in blocks(texts):
         s, e = word_bounds(data, TABLE)
         doc = np.searchsorted(starts, s, side="right") - 1 + i
         hasher = Hasher(data)
-        rows, buckets = [doc], [_bucket(hasher.hash(s, e))]
+        words = _bucket(hasher.hash(s, e))
+        hits = np.unique(doc[seeded[words]])
+        rows, buckets = [doc, hits], [words, np.full(len(hits), DIM + PATTERNS.index("seeded"))]
         for k in PREFIXES:
             longer = e - s > k
-            rows.append(doc[longer])
-            buckets.append(_bucket(mix(hasher.hash(s[longer], s[longer] + k) ^ np.uint64(k))))
+            doc, s, e = doc[longer], s[longer], e[longer]
+            rows.append(doc)
+            buckets.append(_bucket(mix(hasher.hash(s, s + k) ^ np.uint64(k))))
         for r in range(i, j):
             if found := _patterns(texts[r]):
                 rows.append(np.full(len(found), r))
@@ -69,22 +74,27 @@ def distinct(rows: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndar
 def seed_buckets(words: tuple[str, ...]) -> np.ndarray:
     if not words:
         return np.zeros(0, np.int64)
-    _, buckets = next(features([w.encode() for w in words]))
-    return buckets[: len(words)]
+    _, _, data, starts = next(blocks([w.encode() for w in words]))
+    return _bucket(Hasher(data).hash(starts[:-1], starts[1:] - 1))
 
 
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def choose_voters(rows, buckets, y, seeds, most: int = 400) -> np.ndarray:
-    """Lexicon voters: buckets with enough toxic rows, nearly all of their rows toxic; seeds that occur; all patterns."""
+def choose_voters(rows, buckets, y, seeds, most: int = 600) -> np.ndarray:
+    """Lexicon voters: buckets with enough toxic rows, nearly all of their rows toxic; seeds that occur; all patterns.
+
+    Of buckets that stand in the very same rows (a word and its own prefixes) one votes, so that rarer stems get a seat.
+    """
     width = DIM + len(PATTERNS)
     toxic = np.bincount(buckets, weights=y[rows], minlength=width)
     clean = np.bincount(buckets, weights=1 - y[rows], minlength=width)
     p, n = max(1.0, y.sum()), max(1.0, (1 - y).sum())
     lift = np.log((toxic + 0.5) / p) - np.log((clean + 0.5) / n)
     good = np.flatnonzero((toxic >= max(3, 0.004 * p)) & (toxic / (toxic + clean + 1e-9) >= 0.75) & (lift > 2))
+    same = np.bincount(buckets, weights=np.random.default_rng(1).random(len(y))[rows], minlength=width)
+    good = good[np.unique(same[good], return_index=True)[1]]
     best = good[np.argsort(-(toxic[good] * lift[good]), kind="stable")][:most]
     return np.unique(np.concatenate([best, seeds[toxic[seeds] + clean[seeds] > 0], np.arange(DIM, width)]))
 
@@ -107,7 +117,7 @@ def label_model(votes: np.ndarray, y: np.ndarray, rounds: int = 15):
     return q, say
 
 
-def fit_logistic(rows, columns, n, k, target, l2: float = 2.0, steps: int = 300):
+def fit_logistic(rows, columns, n, k, target, l2: float = 1.0, steps: int = 300):
     """Weights and bias of a logistic regression with soft targets on 0/1 features (row, column pairs), by Adagrad."""
     w, bias, seen, seen_bias = np.zeros(k), 0.0, np.full(k, 1e-6), 1e-6
     for _ in range(steps):
@@ -132,12 +142,12 @@ def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 class ToxicityModel:
-    def __init__(self, weights: np.ndarray, slope: float, offset: float):
-        self.weights, self.slope, self.offset = weights, slope, offset
+    def __init__(self, weights: np.ndarray, slope: float, offset: float, seeds: np.ndarray):
+        self.weights, self.slope, self.offset, self.seeds = weights, slope, offset, seeds
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         margin = np.zeros(len(texts))
-        for rows, buckets in features(texts):
+        for rows, buckets in features(texts, self.seeds):
             used = self.weights[buckets] != 0
             r, b = distinct(rows[used], buckets[used])
             margin += np.bincount(r, weights=self.weights[b], minlength=len(texts))
@@ -149,7 +159,7 @@ def fit_model(rows, buckets, y, seeds) -> ToxicityModel:
     n, width = len(y), DIM + len(PATTERNS)
     if n < 10 or y.min() == y.max():
         rate = np.clip((y.sum() + 0.1) / (n + 1), 0.01, 0.99)
-        return ToxicityModel(np.zeros(width, np.float32), 1.0, float(np.log(rate / (1 - rate))))
+        return ToxicityModel(np.zeros(width, np.float32), 1.0, float(np.log(rate / (1 - rate))), seeds)
     aside = np.arange(n) % 4 == 3
     learn = ~aside[rows]
     voters = choose_voters(rows[learn], buckets[learn], np.where(aside, 0, y), seeds)
@@ -162,7 +172,7 @@ def fit_model(rows, buckets, y, seeds) -> ToxicityModel:
     q[~aside], _ = label_model(votes[~aside], y[~aside])
     toxic = np.bincount(buckets[learn], weights=q[rows[learn]], minlength=width)
     all_ = np.bincount(buckets[learn], minlength=width)
-    near = np.flatnonzero((all_ >= 2) & (toxic / np.maximum(all_, 1) >= 0.5))
+    near = np.flatnonzero((all_ >= 4) & (toxic / np.maximum(all_, 1) >= 0.8))
     used = np.unique(np.concatenate([voters, near]))
     column[:] = -1
     column[used] = np.arange(len(used))
@@ -173,11 +183,12 @@ def fit_model(rows, buckets, y, seeds) -> ToxicityModel:
     weights[used] = w
     margin = np.bincount(rows, weights=weights[buckets], minlength=n) + bias
     slope, offset = calibrate(margin[aside], y[aside])
-    return ToxicityModel(weights, float(slope), float(slope * bias + offset))
+    return ToxicityModel(weights, float(slope), float(slope * bias + offset), seeds)
 
 
-def train_toxicity(docs: DataFrame, max_rows: int = 12_000, seeds: tuple[str, ...] = SEEDS) -> ToxicityModel:
+def train_toxicity(docs: DataFrame, max_rows: int = 6_000, seeds: tuple[str, ...] = SEEDS) -> ToxicityModel:
     """From docs(doc_id, text, toxic 0/1). Two labels of one id are two rows."""
+    lexicon = seed_buckets(seeds)
     total = docs.count()
     share = min(1.0, max_rows / max(1, total))
     chosen = docs.filter(F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1_000_000)) < share * 1_000_000)
@@ -186,7 +197,7 @@ def train_toxicity(docs: DataFrame, max_rows: int = 12_000, seeds: tuple[str, ..
         for b in batches:
             texts = [t or b"" for t in b.column("text").to_pylist()]
             own = [np.zeros(0, np.int64)] * len(texts)
-            for rows, buckets in features(texts):
+            for rows, buckets in features(texts, lexicon):
                 r, c = distinct(rows, buckets)
                 for k, part in zip(np.unique(r).tolist(), np.split(c, np.flatnonzero(np.diff(r)) + 1), strict=True) if len(r) else ():
                     own[k] = part
@@ -197,20 +208,20 @@ def train_toxicity(docs: DataFrame, max_rows: int = 12_000, seeds: tuple[str, ..
         for b in batches:
             y += b.column("toxic").to_pylist()
             parts += [np.frombuffer(x, "<i4") for x in b.column("buckets").to_pylist()]
-        rows = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        model = fit_model(rows, np.concatenate([*parts, np.zeros(0, "<i4")]).astype(np.int64), np.array(y, np.int64), seed_buckets(seeds))
+        rows = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
+        model = fit_model(rows, np.concatenate([*parts, np.zeros(0, "<i4")]), np.array(y, np.int64), lexicon)
         at = np.flatnonzero(model.weights)
         yield pa.RecordBatch.from_pydict({"at": [at.astype("<i4").tobytes()], "w": [model.weights[at].astype("<f4").tobytes()], "slope": [model.slope], "offset": [model.offset]})
 
     rows = chosen.select("doc_id", F.col("text").cast("binary").alias("text"), F.col("toxic").cast("int").alias("toxic"))
     sample = materialize(rows.mapInArrow(extract, "doc_id long, toxic int, buckets binary"), "toxicity-sample")
     if sample.isEmpty():
-        return fit_model(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), seed_buckets(seeds))
+        return fit_model(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), lexicon)
     # A bounded sample: one task fits it, in an order that doesn't depend on how the rows were dealt.
     got = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "toxic").mapInArrow(fit, "at binary, w binary, slope double, offset double").first()
     weights = np.zeros(DIM + len(PATTERNS), np.float32)
     weights[np.frombuffer(got["at"], "<i4")] = np.frombuffer(got.w, "<f4")
-    return ToxicityModel(weights, got.slope, got.offset)
+    return ToxicityModel(weights, got.slope, got.offset, lexicon)
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> ToxicityModel:
@@ -218,7 +229,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
     marked = marked.filter(~held_out(F.col("doc_id")))
     n = marked.count()
-    most = options.pop("max_rows", 12_000)
+    most = options.pop("max_rows", 6_000)
     # Thin the labels before the join, so that only the sample's texts move.
     marked = marked.filter(F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1_000_000)) < min(1.0, most / max(1, n)) * 1_000_000)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
