@@ -2,17 +2,20 @@
 
 Both tokenizers cut a text into pieces by a pattern before merging, and merge each piece on its own; no piece goes on
 after a space that follows a word. A task therefore remembers the ids of space-separated words and of pieces, and has the
-library merge new pieces only. Texts with characters beyond Latin (U+0250 on), where
-normalisation could join across pieces, and byte-level texts with double spaces are encoded by the library whole.
+library merge new pieces only. Texts with characters beyond Latin (U+0250 on), where normalisation could join across
+pieces, and byte-level texts with double spaces are encoded by the library whole.
 """
 
 from __future__ import annotations
 
 import os
 from array import array
+from operator import attrgetter
 
 import numpy as np
 
+from .bytewords import Hasher
+
 # The pre-tokenizer patterns of the two public tokenizer files, and the texts between pieces.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -36,52 +39,90 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True
         assert self.tokenizer.get_vocab_size() <= 1 << 16
         self.words = words
+        self.merge = self.tokenizer.model.tokenize
+        self.id_of = attrgetter("id")
         self.known: dict[str, bytes] = {}
-        self.seen: dict[str, bytes] = {}
+        self.seen: dict[bytes, bytes] = {}
         self.pieces = regex.compile(WORD_PATTERN if words else BYTE_PATTERN).findall
         self.beyond = regex.compile(r"[^\x00-ɏ]").search
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _new(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of pieces, from the library's merging model; it takes a byte as one character of BYTE_CHARS."""
-        merge = self.tokenizer.model.tokenize
-        spelled = (p.encode().decode("latin-1").translate(BYTE_CHARS) for p in pieces)
-        return {p: array("H", [t.id for t in merge(s)]).tobytes() for p, s in zip(pieces, spelled, strict=True)}
-
-    def _cut(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, through its pieces."""
-        cut = [self.pieces(w) for w in words]
-        new = list({p for ps in cut for p in ps if p not in self.known})
-        self.known |= self._new(new)
-        get = self.known.__getitem__
-        out = [b"".join(map(get, ps)) for ps in cut]
-        for p in new[max(0, KEEP - len(self.known) + len(new)) :]:
-            del self.known[p]
-        return out
+    def spelled(self, piece: str) -> str:
+        """A piece in the characters that stand for its bytes; for ASCII only a space differs."""
+        if piece.isascii() and piece.isprintable():
+            return piece.replace(" ", "Ġ")
+        return piece.encode().decode("latin-1").translate(BYTE_CHARS)
+
+    def _merge(self, piece: str) -> bytes:
+        """The ids of a piece, from the library's merging model; it takes a byte as one character of BYTE_CHARS."""
+        return array("H", map(self.id_of, self.merge(self.spelled(piece)))).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        known = self.known.get(piece)
+        if known is None:
+            known = self._merge(piece)
+            if len(self.known) < KEEP:
+                self.known[piece] = known
+        return known
+
+    def _segment(self, segment: bytes) -> bytes:
+        """The ids of a word with the space before it. One of letters only is one piece, others are cut by the pattern."""
+        text = segment.decode()
+        word = text[1:] if text[0] == " " else text
+        if word.isalpha():
+            piece = word if self.words else text
+            return self.known.get(piece) or self._merge(piece)
+        return b"".join(map(self._piece, self.pieces(text)))
+
+    def _block(self, texts: list[bytes]) -> list[bytes]:
+        """Each text is cut before its spaces; equal segments of the block are found by hash, and looked up once."""
+        raw = b"".join(texts)
+        if not raw:
+            return [b""] * len(texts)
+        data = np.frombuffer(raw, np.uint8)
+        bounds = np.cumsum([0, *map(len, texts)])
+        first = data == 32
+        first[bounds[:-1][np.diff(bounds) > 0]] = True
+        starts = np.flatnonzero(first)
+        ends = np.append(starts[1:], len(data))
+        hashes = Hasher(data).hash(starts, ends)
+        long = np.flatnonzero(ends - starts > 64)  # looked up one by one
+        hashes[long] = np.arange(len(long), dtype=np.uint64)
+        _, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        segments = [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+        seen = self.seen
+        ids = list(map(seen.get, segments))
+        new = [k for k, found in enumerate(ids) if found is None]
+        for k in new:
+            ids[k] = self._segment(segments[k])
+        for k in new[: max(0, KEEP - len(seen))]:
+            seen[segments[k]] = ids[k]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        firsts = (np.cumsum(sizes) - sizes)[which]
+        counts = sizes[which]
+        total = np.concatenate(([0], np.cumsum(counts)))
+        take = np.repeat((firsts - total[:-1]).astype(np.int32), counts)
+        take += np.arange(total[-1], dtype=np.int32)
+        flat = np.frombuffer(b"".join(ids), "<u2")[take]
+        cuts = total[np.searchsorted(starts, bounds)]
+        return [flat[i:j].tobytes() for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
         whole = [i for i, t in enumerate(texts) if self.beyond(t) or not self.words and "  " in t]
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        left = set(whole)
-        usual = [i for i in range(len(texts)) if i not in left]
-        # In a byte-level text each word but the first has its space before it.
-        cut = [texts[i].lower().replace("\n", " ").split(" ") if self.words else texts[i].split(" ") for i in usual]
-        first = self._cut([c[0] for c in cut])
-        seen, space = self.seen, "" if self.words else " "
-        new = list(set().union(*[c[1:] for c in cut]).difference(seen))
-        seen |= zip(new, self._cut([space + w for w in new]), strict=True)
-        get = seen.__getitem__
-        for i, start, c in zip(usual, first, cut, strict=True):
-            out[i] = start + b"".join(map(get, c[1:]))
-        room = max(0, KEEP - len(seen) + len(new))
-        for k, w in enumerate(new):
-            if k >= room or "\n" in w:
-                del seen[w]
-        return out
+        out = dict(zip(whole, self._whole([texts[i] for i in whole]), strict=True))
+        usual = [i for i in range(len(texts)) if i not in out]
+        plain = [(texts[i].lower().replace("\n", " ") if self.words else texts[i]).encode() for i in usual]
+        k = 0
+        while k < len(plain):
+            j, n = k, 0
+            while j < len(plain) and (j == k or n < 4_000_000):
+                n += len(plain[j])
+                j += 1
+            out |= zip(usual[k:j], self._block(plain[k:j]), strict=True)
+            k = j
+        return [out[i] for i in range(len(texts))]
 
 
 _ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
