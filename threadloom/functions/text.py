@@ -133,7 +133,7 @@ def forum_timestamp(raw: Column) -> tuple[Column, Column]:
 
 def mail_date(raw: Column) -> Column:
     """Date, in UTC, of an RFC 822 time."""
-    return F.to_date(F.try_to_timestamp(raw, F.lit("EEE, d MMM yyyy HH:mm:ss Z")))
+    return F.to_date(F.try_to_timestamp(F.regexp_replace(raw, r"^\s*[A-Za-z]{3},\s*", ""), F.lit("d MMM yyyy HH:mm:ss Z")))
 
 
 def any_date(raw: Column) -> Column:
