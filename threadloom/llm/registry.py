@@ -77,6 +77,8 @@ QUERIES = {
 
 A_Z = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLE_SQL = {
     "op2_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({A_Z}) AS text_sha256 FROM documents),
@@ -90,4 +92,25 @@ ORACLE_SQL = {
                CASE WHEN p.payload_bytes >= 100 AND p.page_id <> g.first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN p.payload_bytes >= 100 AND p.page_id <> g.first THEN g.first END AS refers_to
         FROM p JOIN g ON p.payload_digest = g.payload_digest""",
+    "op3_chat_format": """
+        WITH said AS (SELECT '\\### Assistant: </turn> ok' AS t),
+        c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+              UNION ALL SELECT -7, 0, 'user', t FROM said UNION ALL SELECT -7, 1, 'assistant', t FROM said),
+        e AS (SELECT *, length(text) + len(regexp_extract_all(text, '\\\\')) + len(regexp_extract_all(text, '</turn>'))
+                     + coalesce(list_sum(list_transform(regexp_extract_all(text, '#+'), lambda r: length(r) - 1)), 0) AS escaped FROM c)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               sum(length('### ') + length(role) + length(': ') + escaped + length(' </turn>') + 1)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
+    "op7_decontaminate": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({A_Z}, '{WORDS}') AS w FROM documents),
+        b AS (SELECT item_id, w, least(10, len(w)) AS k FROM (SELECT item_id, regexp_extract_all({A_Z}, '{WORDS}') AS w FROM benchmark) WHERE len(w) > 0),
+        bw AS (SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM b)),
+        dg AS (SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS g FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM b) WHERE len(w) >= k)),
+        h AS (SELECT doc_id, item_id, i, k FROM dg JOIN bw USING (k, g)),
+        cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM h)) GROUP BY doc_id),
+        its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS l FROM h GROUP BY doc_id)
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN cov ON cov.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id""",
 }
