@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.sources.scratch import materialize
+
 
 def reply_tree(posts: DataFrame, max_depth: int = 500) -> DataFrame:
     """(topic_slug, post_id, depth, path) of all posts that hang below their topic's root.
@@ -18,19 +20,15 @@ def reply_tree(posts: DataFrame, max_depth: int = 500) -> DataFrame:
     nodes = posts.select("topic_slug", "post_id", "parent_post_id", "position", F.row_number().over(sibling).alias("rank"))
     first = Window.partitionBy("topic_slug").orderBy(F.col("parent_post_id").isNotNull(), F.coalesce("position", F.lit(999_999)), "post_id")
     marked = nodes.withColumn("n", F.row_number().over(first))
-    level = marked.filter("n = 1").select("topic_slug", "post_id", F.lit(0).alias("depth"), F.lit("").alias("path"))
-    children = marked.filter("n > 1 and parent_post_id is not null").select("topic_slug", F.col("post_id").alias("child"), F.col("parent_post_id").alias("post_id"), "rank").cache()
-    tree = level
-    try:
-        for depth in range(1, max_depth + 1):
-            level = level.join(children, ["topic_slug", "post_id"]).select(
-                "topic_slug", F.col("child").alias("post_id"), F.lit(depth).alias("depth"), F.concat("path", F.lpad(F.col("rank").cast("string"), 6, "0"), F.lit(".")).alias("path"))
-            level = level.checkpoint() if depth % 8 == 0 and posts.sparkSession.sparkContext.getCheckpointDir() else level
-            if level.isEmpty():
-                break
-            tree = tree.unionByName(level)
-    finally:
-        children.unpersist()
+    marked = materialize(marked)
+    tree = level = marked.filter("n = 1").select("topic_slug", "post_id", F.lit(0).alias("depth"), F.lit("").alias("path"))
+    children = marked.filter("n > 1 and parent_post_id is not null").select("topic_slug", F.col("post_id").alias("child"), F.col("parent_post_id").alias("post_id"), "rank")
+    for depth in range(1, max_depth + 1):
+        level = materialize(level.join(children, ["topic_slug", "post_id"]).select(
+            "topic_slug", F.col("child").alias("post_id"), F.lit(depth).alias("depth"), F.concat("path", F.lpad(F.col("rank").cast("string"), 6, "0"), F.lit(".")).alias("path")))
+        if level.isEmpty():
+            break
+        tree = tree.unionByName(level)
     return tree
 
 
@@ -71,12 +69,15 @@ def on_cycles(posts: DataFrame, max_depth: int = 60) -> DataFrame:
     its start drops out, so the table shrinks with each level.
     """
     links = posts.filter("parent_post_id is not null").select("post_id", "parent_post_id")
+    links = materialize(links)
     inner = links.join(links.select(F.col("parent_post_id").alias("post_id")).distinct(), "post_id", "left_semi")
+    inner = materialize(inner)
     walk, found = inner.select(F.col("post_id").alias("start"), F.col("parent_post_id").alias("at")), None
     for n in range(1, max_depth + 1):
         back = walk.filter("start = at").select(F.col("start").alias("post_id"), F.lit(n).alias("cycle_length"))
         found = back if found is None else found.unionByName(back)
         walk = walk.filter("start <> at").join(inner.select(F.col("post_id").alias("at"), F.col("parent_post_id").alias("next")), "at").select("start", F.col("next").alias("at"))
+        walk = materialize(walk)
         if walk.isEmpty():
             break
     return found

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from threadloom.plans.texts import scratch
+from threadloom.sources.scratch import scratch
 from threadloom.streaming import jobs
 
 QUERIES, ORACLE_SQL = {}, {}

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as tx
 from threadloom.sources import extract, leaves, sinks, views
+from threadloom.sources.scratch import scratch
 from threadloom.sources.views import table, with_views
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -24,12 +22,6 @@ def query(sql: str | None = None):
     return add
 
 
-def scratch(spark) -> str:
-    """A new folder in the shared folder of the cluster; of this machine only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-
-
 @query("""
     WITH d AS (SELECT doc_id, n_chars, substr(text, 1, 60) AS title, 'SEASON ' || (doc_id % 9 + 1)::VARCHAR || ' - EPISODE ' || (doc_id % 50)::VARCHAR || ' - ' || upper(lang) || ' Guest - Role' AS full_title FROM documents)
     SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(lower(trim(title, ' ')), '[^a-z0-9\\s-]', '', 'g'), '[\\s-]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 80) AS slug,
