@@ -52,7 +52,7 @@ class Hasher:
             return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
 
 
-def blocks(texts: list[bytes], size: int = 2_000_000):
+def blocks(texts: list[bytes], size: int = 1_000_000):
     """(first, last, lower-cased bytes, start of each text and the end) for runs of texts, a line feed after each text."""
     i = 0
     while i < len(texts):

@@ -60,6 +60,13 @@ def joinable(df: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if small(df, rows) else df
 
 
+def slices(batches, rows: int = 2000):
+    """Arrow batches in slices of so many rows, so that Python objects of whole texts exist for a few at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def filesystem(uri: str):
     """(pyarrow filesystem, path) of a URI, for tasks that write files into the shared folder."""
     from pyarrow import fs

@@ -1,7 +1,7 @@
 """Benchmark decontamination: an FM-index per training shard, searched backwards for test phrases.
 
 Words are runs of digits, letters and non-ASCII characters after lower-casing A-Z. A window is 10 consecutive words of a
-test item, or the whole item if it is shorter. A shard (the rows of one Arrow batch) becomes one sequence of symbols: a
+test item, or the whole item if it is shorter. A shard (a few thousand rows as they are read) becomes one sequence of symbols: a
 number for each word that occurs in the test items, a separator for any stretch of other words, at the ends of texts, and
 for stretches of test words too short for a window, which no window can touch. Over that sequence the shard gets a suffix
 array, its Burrows-Wheeler transform as a wavelet matrix, and suffix positions sampled at starts of stretches and every
@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import Hasher, blocks, word_bounds, word_bytes
-from .common import new_path, read_file, write_file
+from .common import new_path, read_file, slices, write_file
 from .wavelet import WaveletMatrix
 
-WINDOW, SAMPLE = 10, 8
+WINDOW, SAMPLE, SHARD_ROWS = 10, 8, 4000
 TABLE = word_bytes()
 
 
@@ -244,7 +244,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     files = prepare_phrases(benchmark)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, SHARD_ROWS):
             found = search_shard([t or b"" for t in b.column("text").to_pylist()], files)
             spans = [[{"start": s, "end": e} for s, e in x[3]] for x in found]
             yield pa.RecordBatch.from_arrays(
@@ -271,7 +271,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str =
     files, schema = prepare_phrases(benchmark), docs.schema
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, SHARD_ROWS):
             at = b.schema.get_field_index(text_col)
             texts = [None if t is None else t.encode() for t in b.column(at).to_pylist()]
             keep = np.ones(len(texts), bool)

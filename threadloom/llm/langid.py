@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, slices
 
 BITS = 15
 DIM = 1 << BITS
@@ -73,7 +73,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """(documents of each bucket, documents) over docs(text); each task sends its counts, 2^15 numbers reach the driver."""
     def run(batches):
         df = np.zeros(DIM + 1, np.int64)
-        for b in batches:
+        for b in slices(batches):
             for some, found, _ in gram_counts(b.column("text").to_pylist()):
                 df[found] += 1
                 df[DIM] += some
@@ -190,7 +190,7 @@ def identify_languages(docs: DataFrame, learnable: Column, id_col: str = "doc_id
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             labels, scores = shared.value.predict(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(labels, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 

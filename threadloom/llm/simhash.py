@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import joinable, materialize
+from .common import joinable, materialize, slices
 from .components import connected_components
 
 #: Eight 3-sets of byte positions, two planes of four: any 5 of 8 positions include one of them (checked in the tests).
@@ -50,7 +50,7 @@ def fingerprint(data: bytes, width: int) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """(doc_id, fp as a signed long) of each row; a null text has no words."""
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             fps = [fingerprint(t or b"", width) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 

@@ -15,11 +15,12 @@ from operator import attrgetter
 import numpy as np
 
 from .bytewords import Hasher
+from .common import slices
 
 # The pre-tokenizer patterns of the two public tokenizer files, and the texts between pieces.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-KEEP = 600_000
+KEEP = 100_000
 
 # Byte-level vocabularies spell printable bytes as themselves and the others as U+0100 onwards, in order.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -117,7 +118,7 @@ class PieceEncoder:
         k = 0
         while k < len(plain):
             j, n = k, 0
-            while j < len(plain) and (j == k or n < 4_000_000):
+            while j < len(plain) and (j == k or n < 1_000_000):
                 n += len(plain[j])
                 j += 1
             out |= zip(usual[k:j], self._block(plain[k:j]), strict=True)
@@ -137,7 +138,7 @@ def encoder(path: str, words: bool) -> PieceEncoder:
 
 def text_blocks(batches, id_name: str = "doc_id", chars: int = 4_000_000):
     """(ids, texts) from Arrow batches, in blocks of bounded text; a null text is empty."""
-    for b in batches:
+    for b in slices(batches):
         ids, texts = b.column(id_name).to_pylist(), [t or "" for t in b.column("text").to_pylist()]
         i = 0
         while i < len(texts):

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import Hasher, blocks, mix, word_bounds, word_bytes
-from .common import materialize
+from .common import materialize, slices
 
 BITS = 20
 DIM = 1 << BITS
@@ -194,7 +194,7 @@ def train_toxicity(docs: DataFrame, max_rows: int = 6_000, seeds: tuple[str, ...
     chosen = docs.filter(F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1_000_000)) < share * 1_000_000)
 
     def extract(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = [t or b"" for t in b.column("text").to_pylist()]
             own = [np.zeros(0, np.int64)] * len(texts)
             for rows, buckets in features(texts, lexicon):
@@ -247,7 +247,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             scores = shared.value.score([t or b"" for t in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
@@ -261,7 +261,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", th
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = [(t or "").encode() for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
             yield b.filter(pa.array(shared.value.score(texts) < threshold))
 
