@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from threadloom.llm.common import joinable, materialize, table
 from threadloom.llm.decontam import remove_contamination
 from threadloom.llm.exact_dedup import exact_dedup
+from threadloom.llm.minhash import near_copies
 from threadloom.llm.packing import pack_documents
 from threadloom.llm.registry import tokenizer_path
-from threadloom.llm.simhash import simhash_components
 from threadloom.llm.toxicity import drop_toxic, learn_toxicity
 
 
@@ -32,8 +32,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the row with the smallest doc_id stays."""
-    return _without(docs, simhash_components(docs).filter("doc_id <> component_id"))
+    """Of each component of near copies (5-word shingles, Jaccard similarity 0.8) the row with the smallest doc_id stays."""
+    return _without(docs, near_copies(docs).filter("doc_id <> component_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
-STAGES = [("toxicity", toxicity), ("exact dedup", exact), ("simhash near-dedup", near), ("benchmark decontamination", decontamination), ("packing", packing)]
+STAGES = [("toxicity", toxicity), ("exact dedup", exact), ("near-dedup", near), ("benchmark decontamination", decontamination), ("packing", packing)]
 
 #: Models, fingerprints and token ids are beyond SQL; the tests compare the stages with brute force.
 ORACLE_SQL = None
