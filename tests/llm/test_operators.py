@@ -94,6 +94,14 @@ def test_secret_scan(spark):
     assert "endpoint:" in got[n + 7].spans and "secret:" not in got[n + 7].spans and "endpoint:" not in got[n + 8].spans
 
 
+def test_secret_right_after_an_equals_sign(spark):
+    weak = "abcdEFGH0123+/abcdEFGH0123+/abcdEFGH0123"
+    env = f"AWS_ACCESS_KEY_ID=AKIA{'Q' * 16}\nAWS_SECRET_ACCESS_KEY={weak}\n"
+    got = secrets.secret_report(secrets.scan_secrets(frame(spark, [env, f"KEY={weak}", f"{env[:38]} KEY={weak}x"]))).orderBy("doc_id").collect()
+    assert got[0].spans == f"access:18:38,secret:{env.index(weak)}:{env.index(weak) + 40}"
+    assert got[1].spans == "" and "secret:" not in got[2].spans
+
+
 ODD = ["a  b   c \n d", "x|y | z", " ", "", "\n\n a", "foo's 'tis ''s", "Σας ΣΑΣ", "é É İ ŉ", "日本 text", "áb", "<|endoftext|> hi", "tab\there\x1c\x85 x", "|", "| |", "$$$|||\n|x", "don't 'S 'LL", "1234 ½ ²", "a \n b", "end \n", "_a_ __b__"]
 
 

@@ -3,7 +3,9 @@ r"""Secret scan with multipart credential linking. DataFrame functions only.
 Strong kinds, leftmost and non-overlapping per kind: assign (a named value of 6+ characters), access (a key id of 20+
 characters), hex (24+ lower-case hex digits). Weak kinds: secret (a lone base64-like run of exactly 40 characters) and
 endpoint (an http/https URL). A weak candidate alone says nothing, so it is reported only when a complementary part lies
-within `reach` code points: for a secret an access id, for an endpoint an access id or a named value.
+within `reach` code points: for a secret an access id, for an endpoint an access id or a named value. A secret and an endpoint
+don't complement each other: 40 characters beside a URL are most often a commit or a content hash, and neither is strong.
+A secret may follow '=' directly (KEY=value in .env files).
 
 The regex matches of a document and the texts between them (split) give all code-point offsets without Python. Parts of
 documents that hold both a weak and a complementary part become rows, and an interval join over bins of `reach` code
@@ -21,7 +23,7 @@ from .common import materialize
 ASSIGN = r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # the runs of [0-9a-f]+ that have 24 characters or more
-SECRET = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
+SECRET = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
 ENDPOINT = r"""https?://[^\s"'<>]+"""
 KINDS = ["assign", "access", "hex", "secret", "endpoint"]
 BLOCK = 128
