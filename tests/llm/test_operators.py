@@ -178,6 +178,25 @@ def test_chat_finds_templates_that_rewrite_history():
     assert [s[1][s[2] : s[3]] for s in spans] == ["one", "a:a"]
 
 
+def test_chat_templates_that_look_back_over_whole_conversations():
+    def numbered(messages):
+        return "".join(f"{i}:{r}:{t};" for i, (r, t) in enumerate(messages))
+
+    def alternating(messages):
+        assert [r for r, _ in messages] == ["user", "assistant"] * (len(messages) // 2) + ["user"] * (len(messages) % 2)
+        return "".join(f"[{t}]" for _, t in messages)
+
+    def late(messages):  # at the 21st turn the second one goes
+        return "".join(f"[{t}]" for i, (_, t) in enumerate(messages) if i != 1 or len(messages) < 21)
+
+    turns = [(("user", "assistant")[i % 2], f"text {i}") for i in range(25)]
+    for template in (numbered, alternating, chat.turn_template):
+        spans = list(chat.render_turns(turns, template))
+        assert "".join(s[1] for s in spans) == template(turns) and not any(s[-1] for s in spans)
+        assert [s[1][s[2] : s[3]] for s in spans] == [t for _, t in turns]
+    assert [i for i, s in enumerate(chat.render_turns(turns, late)) if s[-1]] == [20]
+
+
 def test_language_id(spark):
     rng = random.Random(5)
     words = {"en": ["the", "thing", "with", "other"], "de": ["der", "schön", "und", "keit"], "fr": ["le", "eaux", "été", "que"]}
