@@ -63,6 +63,14 @@ def test_tree_with_orphans_and_cycles(spark):
     assert {(r.post_id, r.cycle_length) for r in threads.on_cycles(df).collect()} == {("6", 2), ("7", 2)}
 
 
+def test_long_threads_and_long_cycles(spark):
+    rows = [("t", f"c{i}", f"c{i - 1}" if i else None, i) for i in range(700)] + [("t", f"r{i}", f"r{(i + 1) % 130}", None) for i in range(130)] + [("t", "below", "r7", None)]
+    df = spark.createDataFrame([(*r, None) for r in rows], "topic_slug string, post_id string, parent_post_id string, position int, ts timestamp")
+    tree = threads.reply_tree(df).select("post_id", "depth", "path").collect()
+    assert {(r.post_id, r.depth, r.path) for r in tree} == {(f"c{i}", i, "000001." * i) for i in range(700)} and len(tree) == 700
+    assert {(r.post_id, r.cycle_length) for r in threads.on_cycles(df).collect()} == {(f"r{i}", 130) for i in range(130)}
+
+
 def test_text_functions(spark):
     assert one(spark, tx.seconds_of(F.lit("01:28:37"))) == 5317 and one(spark, tx.seconds_of(F.lit("47:10"))) == 2830
     assert [one(spark, tx.seconds_of(F.lit(x))) for x in ("", "abc", "90")] == [0, 0, 90]

@@ -1,4 +1,4 @@
-"""Reply trees as closure rows: (topic, node, depth, path), built by joins level by level, with guards for depth and cycles."""
+"""Reply trees as closure rows: (topic, node, depth, path), built by joins that double their reach, of any depth."""
 
 from __future__ import annotations
 
@@ -8,28 +8,36 @@ from pyspark.sql import functions as F
 from threadloom.sources.scratch import materialize
 
 
-def reply_tree(posts: DataFrame, max_depth: int = 500) -> DataFrame:
+#: Rounds of doubling: more than any table needs.
+ROUNDS = 62
+
+
+def reply_tree(posts: DataFrame) -> DataFrame:
     """(topic_slug, post_id, depth, path) of all posts that hang below their topic's root.
 
     posts needs topic_slug, post_id, parent_post_id, position, ts. The root is the first post by position without a
     parent, else the first post. path holds zero-padded sibling ranks, so its order is depth-first order. A child hangs
-    only below a parent in its topic; orphans and cycles never join. Each level is one join of the frontier with its
-    children, of a depth that ends the loop early; lineage is cut every 8 levels.
+    only below a parent in its topic; orphans and cycles never join. Each round joins the posts whose jump ends in the tree
+    and doubles the jumps of the others, so a tree of depth n takes log2(n) rounds; it ends when a round adds no post.
     """
     sibling = Window.partitionBy("topic_slug", "parent_post_id").orderBy(F.coalesce("position", F.lit(999_999)), F.coalesce(F.col("ts").cast("string"), F.lit("")), "post_id")
     nodes = posts.select("topic_slug", "post_id", "parent_post_id", "position", F.row_number().over(sibling).alias("rank"))
     first = Window.partitionBy("topic_slug").orderBy(F.col("parent_post_id").isNotNull(), F.coalesce("position", F.lit(999_999)), "post_id")
     marked = nodes.withColumn("n", F.row_number().over(first))
     marked = materialize(marked)
-    tree = level = marked.filter("n = 1").select("topic_slug", "post_id", F.lit(0).alias("depth"), F.lit("").alias("path"))
-    children = marked.filter("n > 1 and parent_post_id is not null").select("topic_slug", F.col("post_id").alias("child"), F.col("parent_post_id").alias("post_id"), "rank")
-    for depth in range(1, max_depth + 1):
-        level = materialize(level.join(children, ["topic_slug", "post_id"]).select(
-            "topic_slug", F.col("child").alias("post_id"), F.lit(depth).alias("depth"), F.concat("path", F.lpad(F.col("rank").cast("string"), 6, "0"), F.lit(".")).alias("path")))
-        if level.isEmpty():
-            break
-        tree = tree.unionByName(level)
-    return tree
+    tree = marked.filter("n = 1").select("topic_slug", "post_id", F.lit(0).alias("depth"), F.lit("").alias("path"))
+    step = F.concat(F.lpad(F.col("rank").cast("string"), 6, "0"), F.lit("."))
+    jumps = marked.filter("n > 1 and parent_post_id is not null").select("topic_slug", "post_id", F.col("parent_post_id").alias("at"), F.lit(1).alias("far"), step.alias("steps"))
+    for _ in range(ROUNDS):
+        ends = tree.select("topic_slug", F.col("post_id").alias("at"), F.col("depth").alias("end_depth"), F.col("path").alias("end_path"))
+        new = materialize(jumps.join(ends, ["topic_slug", "at"]).select("topic_slug", "post_id", (F.col("end_depth") + F.col("far")).alias("depth"), F.concat("end_path", "steps").alias("path")))
+        if new.isEmpty():
+            return tree
+        tree = tree.unionByName(new)
+        then = jumps.select("topic_slug", F.col("post_id").alias("at"), F.col("at").alias("at2"), F.col("far").alias("far2"), F.col("steps").alias("steps2"))
+        rest = jumps.join(new.select("topic_slug", "post_id"), ["topic_slug", "post_id"], "left_anti").join(then, ["topic_slug", "at"])
+        jumps = materialize(rest.select("topic_slug", "post_id", F.col("at2").alias("at"), (F.col("far") + F.col("far2")).alias("far"), F.concat("steps2", "steps").alias("steps")))
+    raise RuntimeError(f"reply trees did not end in {ROUNDS} rounds")
 
 
 def reply_tree_sql(posts: DataFrame) -> DataFrame:
@@ -62,22 +70,28 @@ def author_subtrees(tree: DataFrame, posts: DataFrame, name: str) -> DataFrame:
     return below.select("root_id", "post_id")
 
 
-def on_cycles(posts: DataFrame, max_depth: int = 60) -> DataFrame:
-    """(post_id, cycle_length) of the posts whose parent chain comes back to themselves.
+def on_cycles(posts: DataFrame) -> DataFrame:
+    """(post_id, cycle_length) of the posts whose parent chain comes back to themselves; cycles of any length.
 
-    Posts that some post names as parent and that have a parent are walked up together; a walker that reaches a root or
-    its start drops out, so the table shrinks with each level.
+    Posts that some post names as parent and that have a parent jump up by 1, 2, 4, ... parents; a post whose chain ends
+    drops out. After as many steps as there can be such posts only cycles lead anywhere and each jump ends on one.
     """
-    links = posts.filter("parent_post_id is not null").select("post_id", "parent_post_id")
+    links = posts.filter("parent_post_id is not null").select("post_id", "parent_post_id").distinct()
     links = materialize(links)
     inner = links.join(links.select(F.col("parent_post_id").alias("post_id")).distinct(), "post_id", "left_semi")
-    inner = materialize(inner)
-    walk, found = inner.select(F.col("post_id").alias("start"), F.col("parent_post_id").alias("at")), None
-    for n in range(1, max_depth + 1):
-        back = walk.filter("start = at").select(F.col("start").alias("post_id"), F.lit(n).alias("cycle_length"))
-        found = back if found is None else found.unionByName(back)
-        walk = walk.filter("start <> at").join(inner.select(F.col("post_id").alias("at"), F.col("parent_post_id").alias("next")), "at").select("start", F.col("next").alias("at"))
-        walk = materialize(walk)
-        if walk.isEmpty():
+    walk = materialize(inner.select(F.col("post_id").alias("start"), F.col("parent_post_id").alias("at"), F.col("post_id").alias("least")))
+    reach, enough = 1, None
+    for _ in range(ROUNDS):
+        alive = walk.count()
+        enough = min(enough or reach + alive, reach + alive)
+        if not alive or reach >= enough:
             break
-    return found
+        then = walk.select(F.col("start").alias("at"), F.col("at").alias("at2"), F.col("least").alias("least2"))
+        walk = materialize(walk.join(then, "at").select("start", F.col("at2").alias("at"), F.least("least", "least2").alias("least")))
+        reach *= 2
+    else:
+        raise RuntimeError(f"parent chains did not end in {ROUNDS} rounds")
+    # least is the smallest id on the way, which on a cycle names the cycle.
+    cycle = walk.join(walk.select(F.col("at").alias("start")).distinct(), "start", "left_semi")
+    sizes = cycle.groupBy("least").agg(F.count(F.lit(1)).cast("int").alias("cycle_length"))
+    return cycle.join(sizes, "least").select(F.col("start").alias("post_id"), "cycle_length")

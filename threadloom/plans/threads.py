@@ -85,7 +85,7 @@ def _faulty(spark, sf_dir):
              UNION ALL SELECT w.start, b.parent_post_id, w.n + 1 FROM walk w JOIN bad b ON b.post_id = w.up WHERE b.parent_post_id IS NOT NULL AND w.start <> w.up AND w.n < 20)
     SELECT start AS post_id, min(n) AS cycle_length FROM walk WHERE start = up GROUP BY start""")
 def cycle_check(spark, sf_dir):
-    return ops.on_cycles(_faulty(spark, sf_dir), max_depth=20)
+    return ops.on_cycles(_faulty(spark, sf_dir))
 
 
 @query(with_views("v_posts") + FAULTY + """
