@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
     set_to = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if set_to:
         return set_to.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if sc.applicationId not in _OWN_FOLDER:
         _OWN_FOLDER[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         sc.setCheckpointDir(_OWN_FOLDER[sc.applicationId])
@@ -60,11 +63,20 @@ def joinable(df: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if small(df, rows) else df
 
 
-def slices(batches, rows: int = 2000):
-    """Arrow batches in slices of so many rows, so that Python objects of whole texts exist for a few at a time."""
+def slices(batches, rows: int = 2000, text: str = "text", most: int = 16_000_000):
+    """Arrow batches in slices of up to so many rows and bytes of text (one row at least), so that Python objects of whole
+    texts exist for a few at a time."""
+    import numpy as np
+    import pyarrow.compute as pc
+
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        sizes = pc.binary_length(b.column(b.schema.get_field_index(text))).fill_null(0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(sizes, dtype=np.int64), 0
+        while at < b.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            n = max(1, min(rows, int(np.searchsorted(ends, before + most, side="right")) - at))
+            yield b.slice(at, n)
+            at += n
 
 
 def filesystem(uri: str):
@@ -74,16 +86,22 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
 
 
-def write_file(uri: str, content: bytes) -> None:
-    """Write a whole file under a temporary name and move it into place, so that a retried task leaves one good file."""
+@contextmanager
+def new_file(uri: str):
+    """A stream to write a file under a temporary name, moved into place at the end, so that a retried task leaves one good file."""
     system, path = filesystem(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
     part = f"{path}.{uuid.uuid4().hex}.part"
     with system.open_output_stream(part, compression=None) as out:
-        out.write(content)
+        yield out
     system.move(part, path)
 
 
+def write_file(uri: str, content: bytes) -> None:
+    with new_file(uri) as out:
+        out.write(content)
+
+
 def read_file(uri: str) -> bytes:
     system, path = filesystem(uri)
     with system.open_input_stream(path, compression=None) as source:
