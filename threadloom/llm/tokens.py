@@ -3,7 +3,8 @@
 Both tokenizers cut a text into pieces by a pattern before merging, and merge each piece on its own; no piece goes on
 after a space that follows a word. A task therefore remembers the ids of space-separated words and of pieces, and has the
 library merge new pieces only. Texts with characters beyond Latin (U+0250 on), where normalisation could join across
-pieces, and byte-level texts with double spaces are encoded by the library whole.
+pieces, byte-level texts with double spaces and texts that hold an added token (such as an end mark, which the library
+gives its own id) are encoded by the library whole.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         assert self.tokenizer.get_vocab_size() <= 1 << 16
         self.words = words
         self.merge = self.tokenizer.model.tokenize
@@ -111,7 +112,7 @@ class PieceEncoder:
         return [flat[i:j].tobytes() for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        whole = [i for i, t in enumerate(texts) if self.beyond(t) or not self.words and "  " in t]
+        whole = [i for i, t in enumerate(texts) if self.beyond(t) or not self.words and "  " in t or any(x in t for x in self.added)]
         out = dict(zip(whole, self._whole([texts[i] for i in whole]), strict=True))
         usual = [i for i in range(len(texts)) if i not in out]
         plain = [(texts[i].lower().replace("\n", " ") if self.words else texts[i]).encode() for i in usual]
