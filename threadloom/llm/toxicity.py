@@ -261,7 +261,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", th
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in slices(batches):
+        for b in slices(batches, text=text_col):
             texts = [(t or "").encode() for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
             yield b.filter(pa.array(shared.value.score(texts) < threshold))
 
