@@ -1,26 +1,22 @@
 """The training-data pipeline: five stages over `documents`, each written as Parquet and read again as the next one's docs.
 
-A row without doc_id can't be told from another by the dedup stages and stays.
+Rows go by id and text, so an id that stands for several texts is as many documents. Of exact copies a row without an id
+goes where another row has one; near copies without an id can't be told apart and stay. Equal rows are one document.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm.common import joinable, materialize, table
+from threadloom.llm.common import materialize, table
 from threadloom.llm.decontam import remove_contamination
-from threadloom.llm.exact_dedup import exact_dedup
-from threadloom.llm.minhash import near_copies
+from threadloom.llm.exact_dedup import drop_exact_copies
 from threadloom.llm.packing import pack_documents
 from threadloom.llm.registry import tokenizer_path
+from threadloom.llm.simhash import drop_near_copies
 from threadloom.llm.toxicity import drop_toxic, learn_toxicity
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs without the ids in dropped; the ids are broadcast only if they have been counted to be few."""
-    return docs.join(joinable(materialize(dropped.select("doc_id"), "dropped-ids")), "doc_id", "left_anti").select(docs.columns)
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go."""
     return drop_toxic(docs, learn_toxicity(docs, table(spark, sf_dir, "labels")))
@@ -28,12 +24,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
-    return _without(docs, exact_dedup(docs).filter("not kept"))
+    return drop_exact_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies (5-word shingles, Jaccard similarity 0.8) the row with the smallest doc_id stays."""
-    return _without(docs, near_copies(docs).filter("doc_id <> component_id"))
+    return drop_near_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +45,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
-STAGES = [("toxicity", toxicity), ("exact dedup", exact), ("near-dedup", near), ("benchmark decontamination", decontamination), ("packing", packing)]
+STAGES = [("toxicity", toxicity), ("exact dedup", exact), ("simhash near-dedup", near), ("benchmark decontamination", decontamination), ("packing", packing)]
 
 #: Models, fingerprints and token ids are beyond SQL; the tests compare the stages with brute force.
 ORACLE_SQL = None

@@ -1,111 +1,183 @@
 """Near copies by word shingles: candidates by MinHash bands, each checked by the exact Jaccard similarity of its shingle sets.
 
-A 64-bit SimHash cannot reach the rule of the pipeline (5 words, 0.8): pairs at 0.8 lie up to 17 bits apart, so that no
-positional byte need be shared and an index would have to meet all pairs. Documents of similarity s share all `rows`
-minima of one of `bands` bands at 1 - (1 - s^rows)^bands: 0.9999 at 0.8 for 6 and 30, more above.
-
-Only components are asked for, so a bucket is linked without all of its pairs: its members are checked against its
-smallest id first; then members that are not in that id's component are checked against all members of other components.
+The helper of simhash.near_duplicates for similarities that 3 bits of a SimHash can't reach. Documents of similarity s share
+a band of `rows` minima with probability s^rows: two or more of 40 bands of 6 rows at 0.8 with 0.9999, above nearly always.
+
+Only components are asked for, so a bucket is linked without all of its pairs: its members are checked against one of them,
+chosen by a hash, so that a document that is in many buckets of a large group meets many others; this is repeated for the
+members that are not in that centre's component, the strays, while there are many. The strays left are checked against all
+members of other components: tasks hold an index of the shingles of a block of strays and stream the members past it, so
+that no pair but a link is ever a row.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import joinable, materialize, slices
 from .components import connected_components
 
+BANDS, ROWS = 40, 6
+#: Strays for each document up to which they are few, and times that many strays meet new centres.
+FEW, TURNS = 0.05, 2
+#: Strays of a block.
+BLOCK = 200
+#: Pairs of one node that are checked by one task.
+SHARE = 1000
 
-def shingles(data: bytes, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles; words as in simhash.fingerprint, no words: one empty shingle."""
-    import xxhash
 
-    words = data.lower().split()
-    if not words:
-        return np.zeros(1, np.uint64)
-    flat = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts = np.concatenate(([0], ends[:-1]))
-    n = max(1, len(words) - width + 1)
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(flat[s:e], 42) for s, e in zip(starts[:n].tolist(), (ends[len(words) - n :] - 1).tolist(), strict=True)], np.uint64))
+def shingle_set(digests: np.ndarray) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of shingle digests; no words: one empty shingle."""
+    return np.unique(digests.reshape(-1).view(">u8").astype(np.uint64)) if len(digests) else np.zeros(1, np.uint64)
+
 
+@lru_cache
+def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
+    factor, shift = np.random.default_rng(42).integers(0, 1 << 32, (2, n, 1), dtype=np.uint64).astype(np.uint32)
+    return factor | np.uint32(1), shift
 
-def band_keys(grams: np.ndarray, bands: int, rows: int) -> list[int]:
+
+def band_keys(grams: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> list[int]:
     """One signed key for each band: a hash of the minima of `rows` permutations."""
     import xxhash
 
-    rng = np.random.default_rng(42)
-    factor, shift = rng.integers(0, 1 << 32, (2, bands * rows, 1), dtype=np.uint64).astype(np.uint32)
+    factor, shift = _permutations(bands * rows)
     mixed, least = (grams >> np.uint64(32)).astype(np.uint32), np.full(bands * rows, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(mixed), 1024):
-        least = np.minimum(least, (mixed[i : i + 1024] * (factor | np.uint32(1)) + shift).min(1))
-    least = least.reshape(bands, rows)
-    return np.array([xxhash.xxh64_intdigest(least[b].tobytes(), b) for b in range(bands)], np.uint64).view(np.int64).tolist()
-
-
-def _signatures(rows: DataFrame, width: int, bands: int, per_band: int) -> DataFrame:
-    def run(batches):
-        for b in slices(batches):
-            sets = [shingles(t or b"", width) for t in b.column("text").to_pylist()]
-            keys = pa.array([band_keys(s, bands, per_band) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), keys], ["doc_id", "n", "keys"])
+        least = np.minimum(least, (mixed[i : i + 1024] * factor + shift).min(1))
+    raw, step = least.tobytes(), 4 * rows
+    return np.array([xxhash.xxh64_intdigest(raw[b * step : (b + 1) * step], b) for b in range(bands)], np.uint64).view(np.int64).tolist()
 
-    return rows.mapInArrow(run, "doc_id long, n long, keys array<long>")
 
+def _sets(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(node, grams) of the shingle sets of the given nodes, each once."""
+    from .simhash import shingle_digests
 
-def _sets(rows: DataFrame, width: int) -> DataFrame:
     def run(batches):
         for b in slices(batches, 500):
-            grams = [shingles(t or b"", width).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(grams, pa.binary())], ["doc_id", "grams"])
+            grams = [shingle_set(shingle_digests(t or b"", width)).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(grams, pa.binary())], ["node", "grams"])
 
-    return rows.mapInArrow(run, "doc_id long, grams binary")
+    asked = materialize(nodes.select("node").distinct(), "asked-nodes")
+    found = texts.join(joinable(asked), "node", "left_semi").mapInArrow(run, "node long, grams binary")
+    return materialize(found.groupBy("node").agg(F.first("grams").alias("grams")), "shingle-sets")
 
 
-def similar(pairs: DataFrame, rows: DataFrame, width: int, least: float) -> DataFrame:
-    """The pairs(a, b) whose shingle sets have a Jaccard similarity of `least` or more."""
+def similar(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
+    """The pairs(a, b) of nodes whose shingle sets have a Jaccard similarity of `least` or more; texts(node, text).
+
+    The set of a node stands once before the pairs that name it first, for each SHARE of these, and is not copied to them.
+    """
     def run(batches):
-        for b in slices(batches, 500):
+        key, own = None, None
+        for b in slices(batches, 500, "grams"):
             keep = []
-            for x, y in zip(b.column("grams").to_pylist(), b.column("grams2").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= least * (len(x) + len(y) - both))
+            for a, other, grams in zip(*(b.column(c).to_pylist() for c in ("a", "b", "grams")), strict=True):
+                grams = np.frombuffer(grams, np.uint64)
+                if other is None:
+                    key, own = a, grams
+                assert key == a
+                both = 0 if other is None else len(np.intersect1d(own, grams, assume_unique=True))
+                keep.append(other is not None and both >= least * (len(own) + len(grams) - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = materialize(_sets(rows.join(asked, "doc_id", "left_semi"), width), "shingle-sets")
-    other = sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("grams2"))
-    both = pairs.join(sets.withColumnRenamed("doc_id", "a"), "a").join(other, "b").select("a", "b", "grams", "grams2")
-    return materialize(both.mapInArrow(run, "a long, b long").distinct(), "similar-pairs")
-
-
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, bands: int = 30, rows: int = 6) -> DataFrame:
-    """(doc_id, component_id) of the ids that have a near copy; component_id is the smallest id reachable over near copies.
-
-    Rows with a null id have no part in it.
-    """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).filter("doc_id is not null")
-    signed = materialize(_signatures(texts, width, bands, rows), "minhash-signatures").select("doc_id", "n", F.explode("keys").alias("key"))
-    shared = signed.groupBy("key").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last"), F.min_by("n", "doc_id").alias("centre_n")).filter("last > centre").drop("last")
-    members = materialize(signed.join(shared, "key"), "minhash-members")
-
-    def can_be(x: str, y: str):
-        return F.least(x, y) >= F.greatest(x, y) * F.lit(least)
-
-    stars = members.filter((F.col("doc_id") > F.col("centre")) & can_be("n", "centre_n")).select(F.col("centre").alias("a"), F.col("doc_id").alias("b"))
-    links = similar(materialize(stars.distinct(), "minhash-stars"), texts, width, least)
-
-    parts = connected_components(links)
-    named = members.join(parts.select(F.col("node").alias("doc_id"), F.col("component").alias("part")), "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
-    named = named.join(parts.select(F.col("node").alias("centre"), F.col("component").alias("centre_part")), "centre", "left")
-    named = materialize(named.withColumn("out", F.col("part") != F.coalesce("centre_part", "centre")).select("key", "centre", "doc_id", "n", "part", "out"), "minhash-named")
-    strays = named.filter("out").select("key", F.col("doc_id").alias("b"), F.col("n").alias("n2"), F.col("part").alias("part2"))
-    open_ = (F.col("part") != F.col("part2")) & (F.col("doc_id") != F.col("centre")) & (~F.col("out") | (F.col("doc_id") < F.col("b"))) & can_be("n", "n2")
-    rest = named.join(strays, "key").filter(open_).select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b"))
-    more = similar(materialize(rest.distinct(), "minhash-strays"), texts, width, least)
-    return connected_components(links.unionByName(more)).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), texts, width)
+    shares = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
+    heads = shares.join(sets, F.col("node") == F.col("a")).select("a", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(None).cast("long").alias("b"), "grams")
+    tails = pairs.join(shares, "a").join(sets, F.col("node") == F.col("b")).select("a", F.pmod(F.xxhash64("b"), F.col("shares")).cast("int").alias("share"), "b", "grams")
+    dealt = heads.unionByName(tails).repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first())
+    return materialize(dealt.select("a", "b", "grams").mapInArrow(run, "a long, b long"), "similar-pairs")
+
+
+def _can_be(x: str, y: str, least: float) -> Column:
+    """Sets of such sizes can have the similarity."""
+    return F.least(x, y) >= F.greatest(x, y) * F.lit(least)
+
+
+def _with_centre(members: DataFrame, parts: DataFrame | None, turn: int) -> DataFrame:
+    """members(bucket, node, n) of buckets of two or more parts, with their part, their bucket's centre and whether they
+    are strays, outside of the centre's part."""
+    if parts is None:
+        members = members.withColumn("part", F.col("node"))
+    else:
+        members = members.join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    order = F.xxhash64("bucket", "node", F.lit(turn))
+    centre = members.groupBy("bucket").agg(
+        F.min_by("node", order).alias("centre"), F.min_by("n", order).alias("centre_n"), F.min_by("part", order).alias("centre_part"), F.min("part").alias("_low"), F.max("part").alias("_high"))
+    centred = members.join(centre.filter("_low < _high").drop("_low", "_high"), "bucket")
+    return centred.withColumn("stray", F.col("part") != F.col("centre_part"))
+
+
+class _Block:
+    """The shingle sets of some strays, by shingle."""
+
+    def __init__(self, rows: list[tuple]):
+        self.nodes, self.parts = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
+        grams = [np.frombuffer(r[2], np.uint64) for r in rows]
+        self.sizes = np.array([len(g) for g in grams])
+        every = np.concatenate(grams)
+        order = np.argsort(every, kind="stable")
+        self.owners = np.repeat(np.arange(len(rows)), self.sizes)[order]
+        self.grams, starts = np.unique(every[order], return_index=True)
+        self.bounds = np.append(starts, len(every))
+
+    def near(self, node: int, part: int, grams: np.ndarray, least: float) -> list[int]:
+        at = np.searchsorted(self.grams, grams)
+        at[at == len(self.grams)] = 0
+        at = at[self.grams[at] == grams]
+        first, counts = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
+        take = np.arange(counts.sum()) + np.repeat(first - np.cumsum(counts) + counts, counts)
+        both = np.bincount(self.owners[take], minlength=len(self.nodes))
+        return self.nodes[(both >= least * (self.sizes + len(grams) - both)) & (self.parts != part)].tolist()
+
+
+def stray_links(members: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
+    """Links between the strays of members(bucket, node, part, stray) and the members of other parts of their buckets."""
+    def run(batches):
+        key, rows, block = None, [], None
+        for b in slices(batches, 500, "grams"):
+            links = []
+            for bucket, share, head, node, part, grams in zip(*(b.column(c).to_pylist() for c in ("bucket", "share", "head", "node", "part", "grams")), strict=True):
+                if (bucket, share) != key:
+                    key, rows, block = (bucket, share), [], None
+                if head:
+                    rows.append((node, part, grams))
+                    continue
+                block = block or _Block(rows)
+                links += [(min(node, x), max(node, x)) for x in block.near(node, part, np.frombuffer(grams, np.uint64), least)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    shares = members.groupBy("bucket").agg(F.ceil(F.count_if("stray") / BLOCK).cast("int").alias("shares")).filter("shares > 0")
+    rows = members.join(shares, "bucket").select("bucket", "node", "part", "stray", "shares")
+    heads = rows.filter("stray").select("bucket", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int").alias("share"), F.lit(True).alias("head"), "node", "part")
+    tails = rows.select("bucket", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(False).alias("head"), "node", "part")
+    asked = materialize(heads.unionByName(tails), "stray-rows")
+    dealt = asked.join(_sets(asked, texts, width), "node").repartition("bucket", "share").sortWithinPartitions("bucket", "share", F.desc("head"))
+    return materialize(dealt.select("bucket", "share", "head", "node", "part", "grams").mapInArrow(run, "a long, b long").distinct(), "stray-links")
+
+
+def band_links(signed: DataFrame, texts: DataFrame, width: int, least: float, first: DataFrame) -> DataFrame:
+    """(node, component) of the nodes that have a near copy, among signed(node, n, keys): the sizes of the shingle sets and
+    the band keys of texts(node, text). first(a, b): candidates of other origin, checked with those of the bands."""
+    links = parts = None
+
+    def add(found: DataFrame) -> None:
+        nonlocal links, parts
+        links = found if links is None else links.unionByName(found)
+        parts = connected_components(links)
+
+    members = signed.select("node", "n", F.posexplode("keys").alias("last", "bucket")).drop("last")
+    members, few = materialize(_with_centre(members, None, 0), "band-members"), FEW * signed.count()
+    for turn in range(1, TURNS + 1):
+        stars = members.filter(F.col("stray") & _can_be("n", "centre_n", least)).select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
+        add(similar(materialize((stars if links is not None else stars.unionByName(first)).distinct(), "band-stars"), texts, width, least))
+        members = materialize(_with_centre(members.select("bucket", "node", "n"), parts, turn), "band-members")
+        if members.filter("stray").count() <= few:
+            break
+    add(stray_links(members, texts, width, least))
+    return parts

@@ -1,19 +1,25 @@
 """SimHash near-dedup: 64-bit fingerprints, a byte-position inverted index with count filtering, then exact verification.
 
-Fingerprints at most 3 bits apart differ in at most 3 of their 8 bytes, so they share at least 5 positional bytes. The
-index files each distinct fingerprint under sets of three positional bytes; the eight sets of TRIPLES meet every choice
-of 5 positions, so each such pair meets in a posting list. (Postings of one positional byte hold a 256th of all
-fingerprints and pairs from them grow with the square of the input.) For each pair of a posting list the join condition
-tallies the equal positional bytes, keeps pairs with 5 or more in the first set they share, and verifies the bits.
-
-Posting lists over `hot` members are refined by two more positions (any two of the other five), and lists over `hot` of
-those five equal bytes are linked without pairs: members that agree outside of 3 of the 24 free bits are within 3 bits of
-each other, so a star for each such mask joins the same components. No pair of a component is lost, none is capped.
+Two fingerprints at most 3 bits apart differ in at most 3 of their 8 bytes, so they share at least 5 positional bytes. The
+index files each distinct fingerprint under its positional bytes, some at a time: a posting list holds the fingerprints
+with the same bytes at `depth` given positions, for each choice of positions. (Lists of one positional byte hold a 256th of
+all fingerprints, and their pairs grow with the square of the input; depth grows with the number of fingerprints, so that
+chance lists stay short.) The lists that a pair shares are counted: k equal bytes give C(k, depth) of them. Pairs that
+reach the minimum, C(5, depth), are verified by their bits.
+
+Posting lists over `hot` members are refined: their members, as a table of their own, are filed under five positions at
+once, where one shared list is the minimum; members of lists over `hot` of those differ in 24 bits only and are filed again,
+under five of these bits' eight groups of three. Such a list holds at most 2^9 fingerprints, so pairs grow with the members
+of long lists and not with their square. No pair is lost and none is capped.
+
+near_duplicates is the general form for word shingles of any width and a Jaccard similarity: fingerprints give the closest
+candidates, bands of minima (minhash.py) those that the distance of 3 bits can't reach, and each pair is checked exactly.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -23,28 +29,41 @@ from pyspark.sql import functions as F
 from .common import joinable, materialize, slices
 from .components import connected_components
 
-#: Eight 3-sets of byte positions, two planes of four: any 5 of 8 positions include one of them (checked in the tests).
-TRIPLES = [*combinations(range(4), 3), *combinations(range(4, 8), 3)]
 BITS, BYTES = 3, 8
 LEAST_EQUAL = BYTES - BITS
+TRIPLES = list(combinations(range(BYTES), 3))
 
 
-def fingerprint(data: bytes, width: int) -> int:
-    """SimHash over word shingles, repeats included: words are split at ASCII white space, A-Z lower-cased; none: zero."""
+def index_depth(n: int) -> int:
+    """Positional bytes of a posting for n distinct fingerprints: chance lists stay under a quarter of a member on average."""
+    return 3 if n <= 1 << 22 else 4 if n <= 1 << 30 else 5
+
+
+def shingle_digests(data: bytes, width: int) -> np.ndarray:
+    """XXH64 digests (rows of 8 bytes) of the word shingles, repeats included: words are split at ASCII white space, A-Z
+    lower-cased; a text of fewer words is one shingle, one without words has none."""
     import xxhash
 
     words = data.lower().split()
     if not words:
-        return 0
+        return np.zeros((0, 8), np.uint8)
     flat = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate(([0], ends[:-1]))
     n = max(1, len(words) - width + 1)
     digest = xxhash.xxh64_digest
     hashes = b"".join([digest(flat[s:e], 42) for s, e in zip(starts[:n].tolist(), (ends[len(words) - n :] - 1).tolist(), strict=True)])
-    rows = np.frombuffer(hashes, np.uint8).reshape(-1, 8)
-    ones = sum(np.unpackbits(rows[i : i + 65536], axis=1).sum(0, dtype=np.int64) for i in range(0, n, 65536))
-    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big", signed=True)
+    return np.frombuffer(hashes, np.uint8).reshape(-1, 8)
+
+
+def majority(rows: np.ndarray) -> int:
+    """The fingerprint, as a signed long, of shingle digests: bits set in over half of them; none: zero."""
+    ones = sum((np.unpackbits(rows[i : i + 65536], axis=1).sum(0, dtype=np.int64) for i in range(0, len(rows), 65536)), np.zeros(64, np.int64))
+    return int.from_bytes(np.packbits(ones * 2 > len(rows)).tobytes(), "big", signed=True)
+
+
+def fingerprint(data: bytes, width: int) -> int:
+    return majority(shingle_digests(data, width))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
@@ -62,77 +81,137 @@ def _byte(fp: str, i: int) -> Column:
     return F.shiftrightunsigned(F.col(fp), 8 * (7 - i)).bitwiseAND(F.lit(255))
 
 
-def _key(fp: str, at) -> Column:
-    key = F.lit(0).cast("long")
-    for i in at:
-        key = F.shiftleft(key, 8).bitwiseOR(_byte(fp, i))
+def _packed(parts: list[Column], bits: int, first: int) -> Column:
+    key = F.lit(first).cast("long")
+    for part in parts:
+        key = F.shiftleft(key, bits).bitwiseOR(part)
     return key
 
 
-def _postings(fps: DataFrame, sets: list[tuple[int, ...]]) -> DataFrame:
-    """(node, fp, s, key, free) for each fingerprint and position set: free holds the bytes outside of the set."""
-    rest = [[i for i in range(BYTES) if i not in at] for at in sets]
-    keys = F.array(*[F.struct(F.lit(k).alias("s"), _key("fp", at).alias("key"), _key("fp", rest[k]).alias("free")) for k, at in enumerate(sets)])
-    return fps.select("node", "fp", F.explode(keys).alias("k")).select("node", "fp", "k.s", "k.key", "k.free")
+def _filed(fps: DataFrame, groups: list[Column], bits: int, depth: int, *keep: str) -> DataFrame:
+    """fps with a row for each choice of `depth` of the groups: `post` is the choice's number and those groups' values."""
+    sets = list(combinations(range(len(groups)), depth))
+    return fps.select("fp", *keep, F.explode(F.array(*[_packed([groups[i] for i in at], bits, k) for k, at in enumerate(sets)])).alias("post"))
+
+
+def _lists(postings: DataFrame, hot: int, *keys: str) -> tuple[DataFrame, DataFrame | None]:
+    """(postings of lists of 2 to hot members, those of longer lists or None)."""
+    sizes = materialize(postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "posting-sizes")
+    usual = postings.join(joinable(sizes.filter(F.col("_n") <= hot).select(*keys)), [*keys], "left_semi")
+    long = sizes.filter(F.col("_n") > hot).select(*keys)
+    return usual, None if long.isEmpty() else postings.join(joinable(long), [*keys], "left_semi")
 
 
-def _pairs(postings: DataFrame, sets: list[tuple[int, ...]]) -> DataFrame:
-    """Links inside posting lists. The whole test is the join condition, so that only links come out of the join."""
-    other = postings.select(F.col("node").alias("node2"), F.col("fp").alias("fp2"), F.col("s").alias("s2"), F.col("key").alias("key2"))
-    same = [F.when(_byte("fp", i) == _byte("fp2", i), 1).otherwise(0) for i in range(BYTES)]
-    tally = sum(same[1:], same[0])
-    first = F.coalesce(*[F.when(_key("fp", at) == _key("fp2", at), F.lit(k)) for k, at in enumerate(sets)])
+def _pairs(postings: DataFrame, least: int, *keys: str) -> DataFrame:
+    """Pairs that share at least so many lists, verified by their bits."""
+    other = postings.select(*keys, F.col("fp").alias("fp2"))
+    tally = postings.join(other, [*keys]).filter("fp < fp2").groupBy("fp", "fp2").agg(F.count(F.lit(1)).alias("shared"))
     close = F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= BITS
-    test = (F.col("s") == F.col("s2")) & (F.col("key") == F.col("key2")) & (F.col("node") < F.col("node2")) & close & (tally >= LEAST_EQUAL) & (first == F.col("s"))
-    return postings.join(other, test).select(F.col("node").alias("a"), F.col("node2").alias("b"))
+    return tally.filter((F.col("shared") >= least) & close).select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
 
 
-def _split(postings: DataFrame, hot: int) -> tuple[DataFrame, DataFrame | None]:
-    """(postings of lists up to hot members, those of longer lists or None)."""
-    long = materialize(postings.groupBy("s", "key").count().filter(F.col("count") > hot).select("s", "key"), "long-postings")
-    if long.isEmpty():
-        return postings, None
-    long = joinable(long)
-    return postings.join(long, ["s", "key"], "left_anti"), postings.join(long, ["s", "key"], "left_semi")
+def fingerprint_links(fps: DataFrame, hot: int = 16, depth: int | None = None) -> DataFrame:
+    """(a, b) of all pairs of distinct fingerprints fps(fp) within 3 bits; a < b, some pairs more than once.
+
+    A pair of which both sit in long lists is found by the refined index, any other one shares usual lists only, so that
+    its count is whole.
+    """
+    depth = depth or index_depth(fps.count())
+    parts = [_byte("fp", i) for i in range(BYTES)]
+    usual, long = _lists(_filed(fps, parts, 8, depth), hot, "post")
+    links = _pairs(usual, comb(LEAST_EQUAL, depth), "post")
+    if long is None:
+        return links
+    again = materialize(long.select("fp").distinct(), "hot-fingerprints")
+    fine, longest = _lists(_filed(again, parts, 8, LEAST_EQUAL), hot, "post")
+    links = links.unionByName(_pairs(fine, 1, "post"))
+    if longest is None:
+        return links
+    # The 24 bits of the three positions outside of a set of five, eight groups of three bits.
+    sets = list(combinations(range(BYTES), LEAST_EQUAL))
+    free = [_packed([parts[i] for i in range(BYTES) if i not in at], 8, 0) for at in sets]
+    number = F.shiftright("post", 8 * LEAST_EQUAL).cast("int")
+    named = longest.select("fp", F.col("post").alias("list"), F.get(F.array(*free), number).alias("free"))
+    groups = [F.shiftright("free", 3 * i).bitwiseAND(F.lit(7)) for i in range(8)]
+    finest = _filed(named, groups, 3, LEAST_EQUAL, "list")
+    return links.unionByName(_pairs(finest, 1, "list", "post"))
+
+
+def near_links(nodes: DataFrame, hot: int = 16) -> DataFrame:
+    """The links of fingerprint_links between the nodes of nodes(node, fp); fp must be distinct."""
+    links, name = fingerprint_links(nodes.select("fp"), hot), lambda side: nodes.select(F.col("fp").alias(side), F.col("node").alias(side + "_node"))
+    return links.join(name("a"), "a").join(name("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+
+
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, hot: int = 16) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of each row; component_id is the smallest doc_id reachable over links.
+
+    The nodes are distinct fingerprints: exact copies of any number cost one row, and an id that stands for several texts
+    joins no components. Rows with a null id get a result of their own fingerprint's component (null if it has no id); an
+    empty table gives an empty result.
+    """
+    rows = materialize(fingerprints(docs, id_col, text_col, width), "fingerprints")
+    nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "fp-nodes")
+    links = fingerprint_links(nodes.select("fp"), hot)
+    parts = connected_components(links).select(F.col("node").alias("fp"), "component")
+    least = parts.join(nodes, "fp").groupBy("component").agg(F.min("first").alias("least"))
+    named = nodes.join(parts.join(joinable(materialize(least, "fp-components")), "component"), "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    found = rows.join(named, "fp", "left")
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", hexed.alias("fingerprint"), F.col("component_id"))
 
 
-FIVES = list(combinations(range(BYTES), LEAST_EQUAL))
-#: All choices of 3 of the 24 bits outside of five equal bytes.
-MASKS = [(1 << x) | (1 << y) | (1 << z) for x, y, z in combinations(range(24), BITS)]
+def _signatures(rows: DataFrame, width: int) -> DataFrame:
+    from .minhash import band_keys, shingle_set
 
+    def run(batches):
+        for b in slices(batches):
+            digests = [shingle_digests(t or b"", width) for t in b.column("text").to_pylist()]
+            sets = [shingle_set(d) for d in digests]
+            columns = [pa.array([majority(d) for d in digests], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), *columns], ["doc_id", "text_hash", "fp", "n", "keys"])
 
-def _stars(postings: DataFrame) -> DataFrame:
-    """Links of the members of long lists of five equal bytes, one star for each mask and value of the other bits."""
-    keyed = postings.select("node", "s", "key", "free", F.explode(F.expr(f"array({', '.join(map(str, MASKS))})")).alias("mask"))
-    keyed = keyed.select("node", "s", "key", "mask", F.col("free").bitwiseAND(F.bitwise_not(F.col("mask").cast("long"))).alias("rest"))
-    centre = keyed.groupBy("s", "key", "mask", "rest").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return keyed.join(centre, ["s", "key", "mask", "rest"]).filter("node > b").select(F.col("node").alias("a"), "b").distinct()
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long, n long, keys array<long>")
 
 
-def near_links(nodes: DataFrame, hot: int = 2048) -> DataFrame:
-    """(a, b) links whose components are those of all pairs of nodes(node, fp) within 3 bits; fp must be distinct."""
-    usual, long = _split(_postings(nodes, TRIPLES), hot)
-    links = _pairs(usual, TRIPLES)
-    if long is not None:
-        again = materialize(long.select("node", "fp").distinct(), "hot-fingerprints")
-        fine, longest = _split(_postings(again, FIVES), hot)
-        links = links.unionByName(_pairs(fine, FIVES))
-        if longest is not None:
-            links = links.unionByName(_stars(longest))
-    return links
+def _nodes(rows: DataFrame, several: DataFrame | None) -> DataFrame:
+    """rows(doc_id, text_hash) with a node: the id, or a negative hash of id and text where an id stands for several texts."""
+    if several is None:
+        return rows.withColumn("node", F.col("doc_id"))
+    own = -F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1 << 61)) - F.lit(1 << 61)
+    return rows.join(joinable(several.withColumn("_several", F.lit(True))), "doc_id", "left").withColumn("node", F.when(F.col("_several"), own).otherwise(F.col("doc_id"))).drop("_several")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, hot: int = 2048) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of each row; component_id is the smallest doc_id reachable over links.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, hot: int = 16) -> DataFrame:
+    """(doc_id, text_hash, component_id, kept) of the rows that have a near copy: a Jaccard similarity of `least` or more over
+    word shingles. component_id is the smallest id reachable over near copies; the row of that id (of its texts the one with
+    the smallest hash) is kept. text_hash is xxhash64 of the text in UTF-8 (null: empty), as a column of docs can give it.
 
-    Equal fingerprints collapse into one node before any pair is formed, so exact copies of any number cost one row.
-    Rows with a null id get a result of their own fingerprint's component; an empty table gives an empty result.
+    Candidates are fingerprints within 3 bits (fingerprint_links) and documents that share bands of minima (minhash.py); all
+    are checked on whole texts. Rows with a null id have no part in it; equal rows are one document.
     """
-    rows = materialize(fingerprints(docs, id_col, text_col, width), "fingerprints")
-    nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node is not null"), "fp-nodes")
-    links = near_links(nodes, hot)
-    parts = connected_components(links)
-    named = nodes.join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    found = rows.join(named, "fp", "left")
-    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return found.select("doc_id", hexed.alias("fingerprint"), F.col("component_id"))
+    from .minhash import band_links
+
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).filter("doc_id is not null")
+    texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    signed = materialize(_signatures(texts, width), "signatures")
+    several = materialize(signed.groupBy("doc_id").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b")).filter("a < b").select("doc_id"), "several-texts")
+    several = None if several.isEmpty() else several
+    signed, texts = _nodes(signed, several), _nodes(texts, several).select("node", "text")
+    heads = materialize(signed.groupBy("fp").agg(F.min("node").alias("head")), "fp-heads")
+    equal = signed.join(heads, "fp").filter("node > head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    close = near_links(heads.select(F.col("head").alias("node"), "fp"), hot)
+    first = equal.unionByName(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    parts = band_links(signed.select("node", "n", "keys"), texts, width, least, first)
+    found = materialize(signed.join(parts, "node").select("doc_id", "text_hash", "component").distinct(), "near-rows")
+    keep = found.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("keep"))
+    named = found.join(keep, "component")
+    return named.select("doc_id", "text_hash", F.col("keep.doc_id").alias("component_id"), ((F.col("doc_id") == F.col("keep.doc_id")) & (F.col("text_hash") == F.col("keep.text_hash"))).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """docs with the same columns; of each component of near_duplicates one document stays. Rows go by id and text."""
+    gone = near_duplicates(docs, id_col, text_col, **options).filter("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash"))
+    gone = joinable(materialize(gone.distinct(), "near-gone"))
+    own = F.xxhash64(F.coalesce(docs[text_col], F.lit("")).cast("binary"))
+    return docs.join(gone, (docs[id_col].cast("long") == gone["_gone_id"]) & (own == gone["_gone_hash"]), "left_anti")
