@@ -8,8 +8,9 @@ import pytest
 pytest.importorskip("threadloom.llm")
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
-from tests.llm.test_operators import brute_components, brute_contamination, low, plain_ids, toxic_rows
-from threadloom.llm import registry, simhash, toxicity
+from tests.llm.test_minhash import brute_near
+from tests.llm.test_operators import brute_contamination, low, plain_ids, toxic_rows
+from threadloom.llm import registry, toxicity
 from threadloom.llm.common import materialize
 
 
@@ -53,8 +54,8 @@ def test_stages_against_brute_force(spark, corpus):
     kept = {i: t for i, t in kept.items() if last[low(t or "")] == i}
     assert {r.doc_id: r.text for r in step(1).collect()} == kept and docs.columns == columns
 
-    parts = brute_components([(i, simhash.fingerprint((t or "").encode(), 3) & (1 << 64) - 1) for i, t in kept.items()])
-    kept = {i: t for i, t in kept.items() if parts[i] == i}
+    part = brute_near(list(kept.values()))  # five words and a similarity of 0.8, the rule of stages; op8's own test holds 3 bits
+    kept = {i: t for k, (i, t) in enumerate(kept.items()) if part[k] == k}
     assert {r.doc_id: r.text for r in step(2).collect()} == kept and docs.columns == columns
 
     found = {r.doc_id: r for r in step(3).collect()}
