@@ -8,16 +8,18 @@ array, its Burrows-Wheeler transform as a wavelet matrix, and suffix positions s
 8th symbol. All windows are searched at once by ranks; occurrences are located by walking to a sampled position, checked
 word by word against the text, and merged into removal spans.
 
-Test items are prepared in blocks of bounded size, written to the shared folder and loaded by tasks one at a time.
+Test items are prepared by tasks in blocks of bounded size, written to the shared folder; a worker keeps as many blocks as
+fit its bound and reads the others again for each shard. Items without an id are searched for and cut like others, they have
+no name to report; repeated items are one. Shards are bounded by rows and by bytes of text.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,28 +40,38 @@ def words_of(text: bytes) -> list[bytes]:
 class Phrases:
     """The windows of some test items: symbols by word, padded symbol rows, and the items of each window."""
 
-    def __init__(self, items: list[tuple[int, bytes]], window: int = WINDOW):
-        owners = defaultdict(set)
-        for item, text in items:
-            words = words_of(text)
-            for i in range(max(1, len(words) - window + 1) if words else 0):
-                owners[tuple(words[i : i + window])].add(item)
-        self.windows = list(owners)
-        self.items = [sorted(owners[w]) for w in self.windows]
-        self.lengths = np.array([len(w) for w in self.windows], np.int64)
-        words = sorted({x for w in self.windows for x in w})
-        flat = np.frombuffer(b"\n".join(words) + b"\n", np.uint8)
-        ends = np.cumsum([len(w) + 1 for w in words]) - 1 if words else np.zeros(0, np.int64)
-        starts = np.concatenate(([0], ends[:-1] + 1)).astype(np.int64) if words else ends
-        hashes = Hasher(flat).hash(starts, ends) if words else np.zeros(0, np.uint64)
+    def __init__(self, items: list[tuple[int | None, bytes]], window: int = WINDOW):
+        texts = [words_of(t) for _, t in items]
+        self.words = sorted({x for w in texts for x in w})
+        at = {w: i + 1 for i, w in enumerate(self.words)}
+        rows, owners = [np.zeros((0, window), np.int32)], []
+        for (item, _), words in zip(items, texts, strict=True):
+            if words:
+                own = np.zeros(max(window, len(words)), np.int32)
+                own[: len(words)] = [at[w] for w in words]
+                rows.append(np.lib.stride_tricks.sliding_window_view(own, window))
+                owners += [item] * len(rows[-1])
+        #: Windows as rows of word numbers from 1, padded at the right.
+        self.rows, which = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
+        named = np.array([o is not None for o in owners], bool)
+        pairs = np.unique(np.stack([which.reshape(-1)[named], np.array([o for o in owners if o is not None], np.int64)]), axis=1)
+        self.items, self.item_bounds = pairs[1], np.searchsorted(pairs[0], np.arange(len(self.rows) + 1))
+        self.lengths = (self.rows > 0).sum(1)
+        flat = np.frombuffer(b"\n".join(self.words) + b"\n", np.uint8)
+        ends = np.cumsum([len(w) + 1 for w in self.words], dtype=np.int64) - 1
+        starts = np.concatenate(([0], ends[:-1] + 1)) if self.words else ends
+        hashes = Hasher(flat).hash(starts, ends) if self.words else np.zeros(0, np.uint64)
         self.hashes = np.unique(hashes)
-        symbol = {w: int(s) + 1 for w, s in zip(words, np.searchsorted(self.hashes, hashes), strict=True)}
-        self.symbols = np.zeros((len(self.windows), window), np.int64)
-        for i, w in enumerate(self.windows):
-            self.symbols[i, : len(w)] = [symbol[x] for x in w]
+        self.symbols = np.concatenate(([0], np.searchsorted(self.hashes, hashes) + 1))[self.rows]
         self.present = np.zeros(1 << 20, bool)
         self.present[self.hashes >> np.uint64(44)] = True
 
+    def window(self, w: int) -> list[bytes]:
+        return [self.words[i - 1] for i in self.rows[w, : self.lengths[w]]]
+
+    def owners(self, w: int) -> list[int]:
+        return self.items[self.item_bounds[w] : self.item_bounds[w + 1]].tolist()
+
     def number(self, hashes: np.ndarray) -> np.ndarray:
         """The symbol of each word hash; 0 for words that no item has."""
         out = np.zeros(len(hashes), np.int64)
@@ -169,11 +181,11 @@ def find_phrases(texts: list[bytes], phrases: Phrases) -> tuple[np.ndarray, list
     rows = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts) + first[which]
     hit = np.zeros(len(seq) + 1, np.int64)
     for at, w in zip(index.locate(rows).tolist(), which.tolist(), strict=True):
-        window = phrases.windows[w]
-        if tuple(spelled[at : at + len(window)]) == window:
+        size = int(phrases.lengths[w])
+        if spelled[at : at + size] == phrases.window(w):
             hit[at] += 1
-            hit[at + len(window)] -= 1
-            items[doc[at]].update(phrases.items[w])
+            hit[at + size] -= 1
+            items[doc[at]].update(phrases.owners(w))
     hits = np.flatnonzero(np.cumsum(hit[:-1]) > 0)
     for d in np.unique(doc[hits]).tolist():
         own = hits[doc[hits] == d] if len(hits) < 1000 else hits[slice(*np.searchsorted(doc[hits], [d, d + 1]))]
@@ -201,24 +213,39 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def prepare_phrases(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_bytes: int = 4_000_000) -> list[str]:
-    """Files of Phrases in the shared folder, one for each block of items; the driver holds one block at a time."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).filter("item is not null")
+    """Files of Phrases in the shared folder, one for each block of items, built by a task each; only paths reach the driver."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n, out = total // block_bytes + 1, new_path(benchmark.sparkSession, "phrases")
-    for k in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == k).collect() if n > 1 else items.collect()
-        write_file(f"{out}/{k:05d}", pickle.dumps(Phrases([(r.item, bytes(r.text)) for r in rows])))
-    return [f"{out}/{k:05d}" for k in range(n)]
+    out = new_path(benchmark.sparkSession, "phrases")
+
+    def build(batches):
+        rows = [r for b in batches for r in zip(b.column("item").to_pylist(), b.column("text").to_pylist(), strict=True)]
+        if rows:
+            path = f"{out}/{TaskContext.get().partitionId():06d}"
+            write_file(path, pickle.dumps(Phrases(rows)))
+            yield pa.RecordBatch.from_pydict({"path": [path]})
 
+    paths = [r.path for r in items.repartition(total // block_bytes + 1).mapInArrow(build, "path string").collect()]
+    if not paths:
+        paths = [f"{out}/none"]
+        write_file(paths[0], pickle.dumps(Phrases([])))
+    return sorted(paths)
 
-_LOADED: dict[str, Phrases] = {}
+
+_LOADED: dict[str, tuple[int, Phrases]] = {}
+#: Bytes of phrase files that a worker keeps.
+KEEP_BYTES = 64_000_000
 
 
 def _phrases(path: str) -> Phrases:
     if path not in _LOADED:
-        _LOADED.clear()
-        _LOADED[path] = pickle.loads(read_file(path))
-    return _LOADED[path]
+        if _LOADED and next(iter(_LOADED)).rpartition("/")[0] != path.rpartition("/")[0]:
+            _LOADED.clear()  # another job's
+        raw = read_file(path)
+        if sum(n for n, _ in _LOADED.values()) + len(raw) > KEEP_BYTES:
+            return pickle.loads(raw)
+        _LOADED[path] = len(raw), pickle.loads(raw)
+    return _LOADED[path][1]
 
 
 def search_shard(texts: list[bytes], files: list[str]) -> list[tuple[int, int, list[int], list[tuple[int, int]]]]:
@@ -271,7 +298,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str =
     files, schema = prepare_phrases(benchmark), docs.schema
 
     def run(batches):
-        for b in slices(batches, SHARD_ROWS):
+        for b in slices(batches, SHARD_ROWS, text_col):
             at = b.schema.get_field_index(text_col)
             texts = [None if t is None else t.encode() for t in b.column(at).to_pylist()]
             keep = np.ones(len(texts), bool)
