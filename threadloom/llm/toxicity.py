@@ -4,12 +4,13 @@ Features of a text are its words and the first 3 to 9 bytes of longer words (wor
 A-Z), hashed to 2^20, and a few patterns: surface ones, and whether any word of the seed lexicon occurs. On a bounded
 sample of learnable labelled rows (at most about `max_rows`, by a hash of the id) one task
 1. takes as lexicon voters the seed words and the features that stand in toxic rows far more often than in others, and as
-   pattern voters the surface patterns; a voter votes toxic or abstains;
+   pattern voters the surface patterns; a voter votes or abstains, and frequent features that toxic rows nearly never
+   have vote clean;
 2. fits a generative model of votes and latent labels by expectation-maximisation: each voter's rate on either class, the
    given label as one more noisy voter, and the voters' correlations within classes, which share out the say of voters
    that repeat each other (a word and its own prefixes);
 3. trains a logistic regression on the posterior labels, over all voters and the features nearest to them;
-4. calibrates its margin on labelled rows kept aside.
+4. calibrates its margin on margins of labelled rows kept aside, a quarter at a time.
 Scoring is one pass over whole texts: the weights of the distinct features of a text are added up.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import Hasher, blocks, mix, word_bounds, word_bytes
-from .common import materialize, slices
+from .common import joinable, materialize, slices
 
 BITS = 20
 DIM = 1 << BITS
@@ -82,8 +83,9 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def choose_voters(rows, buckets, y, seeds, most: int = 600) -> np.ndarray:
-    """Lexicon voters: buckets with enough toxic rows, nearly all of their rows toxic; seeds that occur; all patterns.
+def choose_voters(rows, buckets, y, seeds, most: int = 600, calm_most: int = 40) -> np.ndarray:
+    """Lexicon voters: buckets with enough toxic rows, nearly all of their rows toxic; seeds that occur; all patterns; and
+    voters for clean: the most frequent buckets that toxic rows nearly never have.
 
     Of buckets that stand in the very same rows (a word and its own prefixes) one votes, so that rarer stems get a seat.
     """
@@ -96,7 +98,9 @@ def choose_voters(rows, buckets, y, seeds, most: int = 600) -> np.ndarray:
     same = np.bincount(buckets, weights=np.random.default_rng(1).random(len(y))[rows], minlength=width)
     good = good[np.unique(same[good], return_index=True)[1]]
     best = good[np.argsort(-(toxic[good] * lift[good]), kind="stable")][:most]
-    return np.unique(np.concatenate([best, seeds[toxic[seeds] + clean[seeds] > 0], np.arange(DIM, width)]))
+    calm = np.flatnonzero((clean >= max(8, 0.02 * n)) & (toxic <= 0.25 * clean * p / n))
+    calm = calm[np.argsort(-clean[calm], kind="stable")][:calm_most]
+    return np.unique(np.concatenate([best, calm, seeds[toxic[seeds] + clean[seeds] > 0], np.arange(DIM, width)]))
 
 
 def label_model(votes: np.ndarray, y: np.ndarray, rounds: int = 15):
@@ -117,7 +121,7 @@ def label_model(votes: np.ndarray, y: np.ndarray, rounds: int = 15):
     return q, say
 
 
-def fit_logistic(rows, columns, n, k, target, l2: float = 1.0, steps: int = 300):
+def fit_logistic(rows, columns, n, k, target, l2: float = 0.2, steps: int = 300):
     """Weights and bias of a logistic regression with soft targets on 0/1 features (row, column pairs), by Adagrad."""
     w, bias, seen, seen_bias = np.zeros(k), 0.0, np.full(k, 1e-6), 1e-6
     for _ in range(steps):
@@ -154,35 +158,46 @@ class ToxicityModel:
         return _sigmoid(self.slope * margin + self.offset)
 
 
-def fit_model(rows, buckets, y, seeds) -> ToxicityModel:
-    """From distinct (row, bucket) pairs and 0/1 labels of the sample's rows."""
-    n, width = len(y), DIM + len(PATTERNS)
-    if n < 10 or y.min() == y.max():
-        rate = np.clip((y.sum() + 0.1) / (n + 1), 0.01, 0.99)
-        return ToxicityModel(np.zeros(width, np.float32), 1.0, float(np.log(rate / (1 - rate))), seeds)
-    aside = np.arange(n) % 4 == 3
-    learn = ~aside[rows]
-    voters = choose_voters(rows[learn], buckets[learn], np.where(aside, 0, y), seeds)
+def fit_weights(rows, buckets, y, seeds) -> tuple[np.ndarray, float]:
+    """Weights of all buckets and the bias: voters, posterior labels, and the classifier over voters and features near them."""
+    width = DIM + len(PATTERNS)
+    voters = choose_voters(rows, buckets, y, seeds)
     column = np.full(width, -1)
     column[voters] = np.arange(len(voters))
-    votes = np.zeros((n, len(voters)))
-    hit = learn & (column[buckets] >= 0)
+    votes = np.zeros((len(y), len(voters)))
+    hit = column[buckets] >= 0
     votes[rows[hit], column[buckets[hit]]] = 1
-    q = np.zeros(n)
-    q[~aside], _ = label_model(votes[~aside], y[~aside])
-    toxic = np.bincount(buckets[learn], weights=q[rows[learn]], minlength=width)
-    all_ = np.bincount(buckets[learn], minlength=width)
+    q, _ = label_model(votes, y)
+    toxic = np.bincount(buckets, weights=q[rows], minlength=width)
+    all_ = np.bincount(buckets, minlength=width)
     near = np.flatnonzero((all_ >= 4) & (toxic / np.maximum(all_, 1) >= 0.8))
     used = np.unique(np.concatenate([voters, near]))
     column[:] = -1
     column[used] = np.arange(len(used))
-    keep = learn & (column[buckets] >= 0)
-    number = np.cumsum(~aside) - 1
-    w, bias = fit_logistic(number[rows[keep]], column[buckets[keep]], int((~aside).sum()), len(used), q[~aside])
+    keep = column[buckets] >= 0
+    w, bias = fit_logistic(rows[keep], column[buckets[keep]], len(y), len(used), q)
     weights = np.zeros(width, np.float32)
     weights[used] = w
-    margin = np.bincount(rows, weights=weights[buckets], minlength=n) + bias
-    slope, offset = calibrate(margin[aside], y[aside])
+    return weights, float(bias)
+
+
+def fit_model(rows, buckets, y, seeds, folds: int = 4) -> ToxicityModel:
+    """From distinct (row, bucket) pairs and 0/1 labels of the sample's rows. The curve from margin to score is fitted on
+    margins of rows that the weights had not seen, fold by fold; the weights themselves are fitted on all rows."""
+    n, width = len(y), DIM + len(PATTERNS)
+    if n < 10 or y.min() == y.max():
+        rate = np.clip((y.sum() + 0.1) / (n + 1), 0.01, 0.99)
+        return ToxicityModel(np.zeros(width, np.float32), 1.0, float(np.log(rate / (1 - rate))), seeds)
+    margin = np.zeros(n)
+    for k in range(folds):
+        aside = np.arange(n) % folds == k
+        if not 0 < y[~aside].sum() < (~aside).sum():
+            continue
+        learn, number = ~aside[rows], np.cumsum(~aside) - 1
+        weights, bias = fit_weights(number[rows[learn]], buckets[learn], y[~aside], seeds)
+        margin[aside] = np.bincount(rows[~learn], weights=weights[buckets[~learn]], minlength=n)[aside] + bias
+    slope, offset = calibrate(margin, y)
+    weights, bias = fit_weights(rows, buckets, y, seeds)
     return ToxicityModel(weights, float(slope), float(slope * bias + offset), seeds)
 
 
@@ -225,15 +240,16 @@ def train_toxicity(docs: DataFrame, max_rows: int = 6_000, seeds: tuple[str, ...
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> ToxicityModel:
-    """Labels other than 0 and 1, null ids and labels of unknown ids are left out; the join moves labelled rows only."""
+    """Labels other than 0 and 1, null ids and labels of unknown ids are left out. Equal labels of an id are one, so that the
+    sample, by a hash of the id, keeps its bound; it is broadcast where it has been counted to be small."""
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
-    marked = marked.filter(~held_out(F.col("doc_id")))
+    marked = materialize(marked.filter(~held_out(F.col("doc_id"))).distinct(), "labels")
     n = marked.count()
     most = options.pop("max_rows", 6_000)
     # Thin the labels before the join, so that only the sample's texts move.
     marked = marked.filter(F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1_000_000)) < min(1.0, most / max(1, n)) * 1_000_000)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return train_toxicity(texts.join(F.broadcast(marked), "doc_id"), max_rows=max(most * 2, 1), **options)
+    return train_toxicity(texts.join(joinable(marked), "doc_id"), max_rows=max(most * 2, 1), **options)
 
 
 def held_out(doc_id: Column) -> Column:
