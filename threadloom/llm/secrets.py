@@ -62,12 +62,12 @@ def _rows(scan: DataFrame, kinds: list[str]) -> DataFrame:
 def link_parts(scan: DataFrame, reach: int) -> DataFrame:
     """(row_key, doc_id, kind, start, end) of the weak parts that have a complementary part within reach."""
     weak = _rows(scan, ["secret", "endpoint"]).withColumn("bin", F.explode(F.sequence(F.floor((F.col("start") - reach) / reach), F.floor((F.col("end") + reach) / reach))))
-    strong = _rows(scan, ["assign", "access"]).select("row_key", F.col("kind").alias("with_kind"), F.col("start").alias("from"), F.col("end").alias("to"), F.floor(F.col("start") / reach).alias("bin"))
+    strong = _rows(scan, ["assign", "access"]).select("row_key", F.col("doc_id").alias("of"), F.col("kind").alias("with_kind"), F.col("start").alias("from"), F.col("end").alias("to"), F.floor(F.col("start") / reach).alias("bin"))
     near = (F.col("from") <= F.col("end") + reach) & (F.col("to") >= F.col("start") - reach) & ((F.col("to") <= F.col("start")) | (F.col("from") >= F.col("end")))
     # A strong part is filed under the bin of its start; a long one that starts further left reaches in by its end.
     far = strong.filter(F.floor(F.col("to") / reach) != F.col("bin")).withColumn("bin", F.floor(F.col("to") / reach))
     fits = (F.col("kind") == "endpoint") | (F.col("with_kind") == "access")
-    return weak.join(strong.unionByName(far), ["row_key", "bin"]).filter(near & fits).select("row_key", "doc_id", "kind", "start", "end").distinct()
+    return weak.join(strong.unionByName(far), ["row_key", "bin"]).filter(near & fits & F.col("doc_id").eqNullSafe(F.col("of"))).select("row_key", "doc_id", "kind", "start", "end").distinct()
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 200) -> DataFrame:
@@ -87,10 +87,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     n = lambda k: F.size(F.col(k))
     open_ = ((n("secret") > 0) & (n("access") > 0)) | ((n("endpoint") > 0) & (n("access") + n("assign") > 0))
     rank = F.when(F.col("kind") == "secret", 3).otherwise(4)
-    linked = link_parts(scan.filter(open_), reach).groupBy("row_key").agg(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind")).alias("linked"))
+    linked = link_parts(scan.filter(open_), reach).groupBy("row_key", F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind")).alias("linked"))
     none = F.array().cast(linked.schema["linked"].dataType)
     kept = ["doc_id", "assign", "access", "hex"]
-    joined = scan.filter(open_).join(linked, "row_key", "left").select(*kept, F.coalesce("linked", none).alias("linked"))
+    asked = scan.filter(open_)
+    joined = asked.join(linked, (asked["row_key"] == linked["row_key"]) & asked["doc_id"].eqNullSafe(linked["of"]), "left").select(*kept, F.coalesce("linked", none).alias("linked"))
     return scan.filter(~open_).select(*kept, none.alias("linked")).unionByName(joined)
 
 

@@ -149,7 +149,8 @@ SHARDS = "path string, part int, shard int, n_docs long, n_tokens long"
 def write_wavelet_shards(docs: DataFrame, out: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 4_000_000) -> DataFrame:
     """Encode whole texts (null: empty), append END_ID to each, and write shards in ascending id order. Returns the manifest.
 
-    Memory is bounded by a shard, or by the longest single document. A retried task writes the same files again.
+    Memory is bounded by a shard, or by the longest single document. A retried task writes the same files again. Null ids come
+    first; rows of one id, or of none, go by a hash of their text, so that any number of them is dealt over tasks.
     """
     def run(batches):
         enc, part, shard = encoder(tokenizer, True), TaskContext.get().partitionId(), 0
@@ -176,7 +177,8 @@ def write_wavelet_shards(docs: DataFrame, out: str, tokenizer: str, id_col: str
             yield flush()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
+    ordered = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     return materialize(ordered.mapInArrow(run, SHARDS), "wavelet-manifest")
 
 
