@@ -4,10 +4,9 @@ The helper of simhash.near_duplicates for similarities that 3 bits of a SimHash
 a band of `rows` minima with probability s^rows: two or more of 40 bands of 6 rows at 0.8 with 0.9999, above nearly always.
 
 Only components are asked for, so a bucket is linked without all of its pairs: its members are checked against one of them,
-chosen by a hash, so that a document that is in many buckets of a large group meets many others; this is repeated for the
-members that are not in that centre's component, the strays, while there are many. The strays left are checked against all
-members of other components: tasks hold an index of the shingles of a block of strays and stream the members past it, so
-that no pair but a link is ever a row.
+chosen by a hash, so that a document that is in many buckets of a large group meets many others. The members that are then
+not in their centre's component, the strays, are checked against all members of other components: tasks hold an index of the
+shingles of a block of strays and stream the members past it, so that no pair but a link is ever a row.
 """
 
 from __future__ import annotations
@@ -23,8 +22,6 @@ from .common import joinable, materialize, slices
 from .components import connected_components
 
 BANDS, ROWS = 40, 6
-#: Strays for each document up to which they are few, and times that many strays meet new centres.
-FEW, TURNS = 0.05, 2
 #: Strays of a block.
 BLOCK = 200
 #: Pairs of one node that are checked by one task.
@@ -99,14 +96,14 @@ def _can_be(x: str, y: str, least: float) -> Column:
     return F.least(x, y) >= F.greatest(x, y) * F.lit(least)
 
 
-def _with_centre(members: DataFrame, parts: DataFrame | None, turn: int) -> DataFrame:
+def _with_centre(members: DataFrame, parts: DataFrame | None) -> DataFrame:
     """members(bucket, node, n) of buckets of two or more parts, with their part, their bucket's centre and whether they
     are strays, outside of the centre's part."""
     if parts is None:
         members = members.withColumn("part", F.col("node"))
     else:
         members = members.join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
-    order = F.xxhash64("bucket", "node", F.lit(turn))
+    order = F.xxhash64("bucket", "node")
     centre = members.groupBy("bucket").agg(
         F.min_by("node", order).alias("centre"), F.min_by("n", order).alias("centre_n"), F.min_by("part", order).alias("centre_part"), F.min("part").alias("_low"), F.max("part").alias("_high"))
     centred = members.join(centre.filter("_low < _high").drop("_low", "_high"), "bucket")
@@ -164,20 +161,10 @@ def stray_links(members: DataFrame, texts: DataFrame, width: int, least: float)
 def band_links(signed: DataFrame, texts: DataFrame, width: int, least: float, first: DataFrame) -> DataFrame:
     """(node, component) of the nodes that have a near copy, among signed(node, n, keys): the sizes of the shingle sets and
     the band keys of texts(node, text). first(a, b): candidates of other origin, checked with those of the bands."""
-    links = parts = None
-
-    def add(found: DataFrame) -> None:
-        nonlocal links, parts
-        links = found if links is None else links.unionByName(found)
-        parts = connected_components(links)
-
-    members = signed.select("node", "n", F.posexplode("keys").alias("last", "bucket")).drop("last")
-    members, few = materialize(_with_centre(members, None, 0), "band-members"), FEW * signed.count()
-    for turn in range(1, TURNS + 1):
-        stars = members.filter(F.col("stray") & _can_be("n", "centre_n", least)).select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
-        add(similar(materialize((stars if links is not None else stars.unionByName(first)).distinct(), "band-stars"), texts, width, least))
-        members = materialize(_with_centre(members.select("bucket", "node", "n"), parts, turn), "band-members")
-        if members.filter("stray").count() <= few:
-            break
-    add(stray_links(members, texts, width, least))
-    return parts
+    members = materialize(_with_centre(signed.select("node", "n", F.explode("keys").alias("bucket")), None), "band-members")
+    stars = members.filter(_can_be("n", "centre_n", least) & F.col("stray")).select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
+    parts = connected_components(similar(materialize(stars.unionByName(first).distinct(), "band-stars"), texts, width, least))
+    members = materialize(_with_centre(members.select("bucket", "node", "n"), parts), "band-members")
+    more = stray_links(members, texts, width, least)
+    # Components of components: the first ones' links stand for all that made them.
+    return connected_components(parts.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
