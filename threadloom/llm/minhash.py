@@ -145,6 +145,8 @@ def stray_links(members: DataFrame, texts: DataFrame, width: int, least: float)
                 if head:
                     rows.append((node, part, grams))
                     continue
+                if not rows:
+                    continue  # no stray was dealt to this share
                 block = block or _Block(rows)
                 links += [(min(node, x), max(node, x)) for x in block.near(node, part, np.frombuffer(grams, np.uint64), least)]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
