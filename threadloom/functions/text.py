@@ -37,15 +37,46 @@ def ngrams(words: Column, n: int) -> Column:
     return F.transform(at, lambda i: F.array_join(F.slice(words, i, n), " "))
 
 
-def dictionary_hits(texts: DataFrame, dictionary: DataFrame, key: list[str], text: str, longest: int = 3) -> DataFrame:
-    """(key..., class, keyword, n): counts of dictionary keywords on word boundaries.
+def _phrase_hits(words: Column, keywords: list[str]) -> Column:
+    """The keywords, repeats included, that start at each word; only words that start a keyword are looked at further."""
+    by_size: dict[int, list[str]] = {}
+    for k in keywords:
+        by_size.setdefault(k.count(" ") + 1, []).append(k)
 
-    The n-grams of each text, aggregated per key before the join, meet the dictionary by equality, so the cost is that of
-    the texts and not of texts times keywords. Overlapping keywords each count.
+    def found(n: int, own: list[str]) -> Column:
+        if n == 1:
+            return F.filter(words, lambda w: w.isin(own))
+        heads = sorted({k.split(" ")[0] for k in own})
+        at = F.filter(F.transform(words, lambda w, i: F.when(w.isin(heads), i + 1)), lambda i: i.isNotNull() & (i <= F.size(words) - (n - 1)))
+        return F.filter(F.transform(at, lambda i: F.array_join(F.slice(words, i, n), " ")), lambda g: g.isin(own))
+
+    return F.concat(*[found(n, own) for n, own in sorted(by_size.items())]) if by_size else F.array().cast("array<string>")
+
+
+def dictionary_hits(texts: DataFrame, dictionary: DataFrame, key: list[str], text: str, small: int = 2000) -> DataFrame:
+    """(key..., class, keyword, n): counts of dictionary keywords on word boundaries. Overlapping keywords each count.
+
+    Keywords may have any number of words. Up to `small` of them (counted) are looked up inside each row, so that hits alone are
+    exploded; more meet the n-grams of the texts by an equality join, for the lengths that the dictionary has. Keywords that
+    are not made of the tokens' letters (accents, signs) are matched on Unicode word boundaries.
     """
-    words = texts.select(*key, tokens(F.col(text)).alias("_words"))
-    grams = words.select(*key, F.explode(F.concat(*[ngrams(F.col("_words"), n) for n in range(1, longest + 1)])).alias("keyword"))
-    counts = grams.join(dictionary.select("keyword").distinct(), "keyword", "left_semi").groupBy(*key, "keyword").agg(F.count(F.lit(1)).alias("n"))
+    known = dictionary.select("keyword").filter("keyword is not null").distinct()
+    odd = ~F.col("keyword").rlike(rf"^({TOKEN})( ({TOKEN}))*$")
+    few = [r.keyword for r in known.limit(small + 1).collect()]
+    words = tokens(F.col(text))
+    if len(few) <= small:
+        plain = {r.keyword for r in known.filter(~odd).collect()}
+        own = texts.select(*key, F.lower(text).alias("_low"), words.alias("_words"))
+        hits = _phrase_hits(F.col("_words"), sorted(plain))
+        for k in sorted(set(few) - plain):
+            n = F.regexp_count("_low", F.lit(r"(?<![\p{L}\p{N}_])\Q" + k.lower() + r"\E(?![\p{L}\p{N}_])"))
+            hits = F.concat(hits, F.array_repeat(F.lit(k), n))
+        counts = own.select(*key, F.explode(hits).alias("keyword"))
+    else:
+        sizes = [r.n for r in known.filter(~odd).select((F.size(F.split("keyword", " "))).alias("n")).distinct().collect()]
+        grams = texts.select(*key, words.alias("_words")).select(*key, F.explode(F.concat(*[ngrams(F.col("_words"), n) for n in sorted(sizes)])).alias("keyword"))
+        counts = grams.join(known, "keyword", "left_semi")
+    counts = counts.groupBy(*key, "keyword").agg(F.count(F.lit(1)).alias("n"))
     return counts.join(dictionary, "keyword").select(*key, *[c for c in dictionary.columns if c not in ("keyword", *key)], "keyword", "n")
 
 
@@ -160,13 +191,6 @@ def urls_of(text: Column) -> Column:
     return F.array_distinct(F.concat(marked, F.regexp_extract_all(text, F.lit(r"https?://[^\s)\]<>\"]+"), F.lit(0))))
 
 
-def cosine_distance(a: Column, b: Column) -> Column:
-    """1 - cosine of two map<string,count> vectors; 1 if either is empty."""
-    dot = F.aggregate(F.map_values(F.map_zip_with(a, b, lambda k, x, y: F.coalesce(x, F.lit(0)) * F.coalesce(y, F.lit(0)))), F.lit(0.0), lambda s, v: s + v)
-    norm = lambda m: F.sqrt(F.aggregate(F.map_values(m), F.lit(0.0), lambda s, v: s + v * v))
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), 1.0).otherwise(1 - dot / (norm(a) * norm(b)))
-
-
 def jaccard_distance(a: Column, b: Column) -> Column:
     all_ = F.size(F.array_union(a, b))
     return F.when(all_ == 0, 0.0).otherwise(1 - F.size(F.array_intersect(a, b)) / all_)

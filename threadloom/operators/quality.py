@@ -32,14 +32,14 @@ def question_coverage(questions: DataFrame, texts: DataFrame, key: str, text: st
 
 
 def multi_access(log: DataFrame, k: int) -> DataFrame:
-    """Topics accessed more than once, with the first three queries: three rows per topic are kept by rank, not a whole list."""
+    """Topics accessed more than once, with the first three queries. Counts are summed map-side and ranks are limited before
+    the shuffle, so a hot topic moves a count and three rows from each task."""
     from pyspark.sql import Window
 
-    order = Window.partitionBy("topic_id").orderBy("ts", "event_id")
-    ranked = log.withColumn("r", F.row_number().over(order))
-    first = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("r") <= 3, F.struct("r", "query_name")))), lambda s: s["query_name"]), ",")
-    counts = ranked.groupBy("topic_id").agg(F.count(F.lit(1)).alias("accesses"), first.alias("first_three"))
-    return counts.filter("accesses > 1").orderBy(F.desc("accesses"), "topic_id").limit(k)
+    ranked = log.withColumn("r", F.row_number().over(Window.partitionBy("topic_id").orderBy("ts", "event_id"))).filter("r <= 3")
+    first = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "query_name"))), lambda s: s["query_name"]), ",")
+    counts = log.groupBy("topic_id").agg(F.count(F.lit(1)).alias("accesses")).filter("accesses > 1")
+    return counts.join(ranked.groupBy("topic_id").agg(first.alias("first_three")), "topic_id").orderBy(F.desc("accesses"), "topic_id").limit(k)
 
 
 def _found(rows: DataFrame, severity: str, rule: str, key: str, message: str) -> DataFrame:

@@ -86,12 +86,12 @@ def _cosine(segments: DataFrame, stopwords: list[str], span: int, key: str) -> D
     Each (segment, term) count adds to the boundaries it is near, as rows: two map-side aggregations, no map per frame.
     """
     words = F.filter(tokens(F.col("text")), lambda w: (F.char_length(w) > 2) & ~w.isin(stopwords))
-    counts = segments.select(key, "id", F.explode(words).alias("term")).groupBy(key, "id", "term").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    counts = segments.select(key, "id", F.explode(words).alias("term")).groupBy(key, "id", "term").agg(F.count(F.lit(1)).alias("n"))
     near = counts.select(key, "term", "n", F.explode(F.sequence(F.col("id") - (span - 1), F.col("id") + span)).alias("at"), "id")
-    left, right = F.when(F.col("id") < F.col("at"), F.col("n")).otherwise(0.0), F.when(F.col("id") >= F.col("at"), F.col("n")).otherwise(0.0)
+    left, right = F.when(F.col("id") < F.col("at"), F.col("n")).otherwise(0), F.when(F.col("id") >= F.col("at"), F.col("n")).otherwise(0)
     sides = near.groupBy(key, "at", "term").agg(F.sum(left).alias("l"), F.sum(right).alias("r"))
     dots = sides.groupBy(key, F.col("at").alias("id")).agg(F.sum(F.col("l") * F.col("r")).alias("d"), F.sum(F.col("l") * F.col("l")).alias("a"), F.sum(F.col("r") * F.col("r")).alias("b"))
-    return dots.select(key, "id", F.when((F.col("a") == 0) | (F.col("b") == 0), 1.0).otherwise(1 - F.col("d") / F.sqrt(F.col("a")) / F.sqrt(F.col("b"))).alias("coherence"))
+    return dots.select(key, "id", F.when((F.col("a") == 0) | (F.col("b") == 0), 1.0).otherwise(1 - F.col("d") / F.sqrt((F.col("a") * F.col("b")).cast("double"))).alias("coherence"))
 
 
 def break_scores(segments: DataFrame, stopwords: list[str], span: int = 6, key: str = "doc_id") -> DataFrame:

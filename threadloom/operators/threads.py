@@ -26,7 +26,8 @@ def reply_tree(posts: DataFrame) -> DataFrame:
     marked = nodes.withColumn("n", F.row_number().over(first))
     marked = materialize(marked)
     tree = marked.filter("n = 1").select("topic_slug", "post_id", F.lit(0).alias("depth"), F.lit("").alias("path"))
-    step = F.concat(F.lpad(F.col("rank").cast("string"), 6, "0"), F.lit("."))
+    rank = F.col("rank").cast("string")
+    step = F.concat(F.when(F.col("rank") < 1_000_000, F.lpad(rank, 6, "0")).otherwise(F.concat(F.lit("~"), F.lpad(rank, 12, "0"))), F.lit("."))
     jumps = marked.filter("n > 1 and parent_post_id is not null").select("topic_slug", "post_id", F.col("parent_post_id").alias("at"), F.lit(1).alias("far"), step.alias("steps"))
     for _ in range(ROUNDS):
         ends = tree.select("topic_slug", F.col("post_id").alias("at"), F.col("depth").alias("end_depth"), F.col("path").alias("end_path"))
@@ -64,10 +65,14 @@ def direct_replies(posts: DataFrame, parents: DataFrame) -> DataFrame:
 
 
 def author_subtrees(tree: DataFrame, posts: DataFrame, name: str) -> DataFrame:
-    """(root_id, post_id): nodes whose author contains name, with everything below them (by path prefix)."""
+    """(root_id, post_id): nodes whose author contains name, with everything below them: each node meets the roots among its
+    own path's prefixes by equality."""
     named = tree.join(posts.select("post_id", "author"), "post_id").filter(F.col("author").contains(name)).select("topic_slug", F.col("post_id").alias("root_id"), F.col("path").alias("root_path"))
-    below = tree.join(named, "topic_slug").filter(F.col("path").startswith(F.col("root_path")))
-    return below.select("root_id", "post_id")
+    steps = F.split(F.col("path"), r"(?<=\.)")
+    steps = F.filter(steps, lambda s: s != "")
+    prefixes = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), ""))
+    above = tree.select("topic_slug", "post_id", F.explode(prefixes).alias("root_path"))
+    return above.join(named, ["topic_slug", "root_path"]).select("root_id", "post_id")
 
 
 def on_cycles(posts: DataFrame) -> DataFrame:

@@ -269,12 +269,17 @@ def provenance_multi_access(spark, sf_dir):
 
 
 @query(with_views("v_access") + """
-    , b AS (SELECT DISTINCT topic_id, query_name FROM v_access WHERE event_id % 2 = 0), a AS (SELECT DISTINCT topic_id, query_name FROM v_access WHERE event_id % 20 = 1)
+    , m AS (SELECT min(ts)::DATE + ((max(ts)::DATE - min(ts)::DATE) // 100)::INTEGER AS day FROM v_access),
+    b AS (SELECT DISTINCT topic_id, query_name FROM v_access, m WHERE ts::DATE <= m.day), a AS (SELECT DISTINCT topic_id, query_name FROM v_access, m WHERE ts::DATE > m.day)
     SELECT a.topic_id, a.query_name, b.topic_id IS NULL AS is_new FROM a LEFT JOIN b ON a.topic_id = b.topic_id AND a.query_name = b.query_name""")
 def newly_scraped(spark, sf_dir):
+    """Pairs of the log after a time boundary, a hundredth into its span, that did not occur up to it; each event is on one side."""
     log = views.access(spark, sf_dir)
-    before = log.filter("event_id % 2 = 0").select("topic_id", "query_name").distinct().withColumn("known", F.lit(True))
-    after = log.filter("event_id % 20 = 1").select("topic_id", "query_name").distinct()
+    first, last = F.to_date(F.min("ts")), F.to_date(F.max("ts"))
+    sides = log.join(F.broadcast(log.agg(F.date_add(first, F.floor(F.datediff(last, first) / 100).cast("int")).alias("day"))))
+    late = F.to_date("ts") > F.col("day")
+    before = sides.filter(~late).select("topic_id", "query_name").distinct().withColumn("known", F.lit(True))
+    after = sides.filter(late).select("topic_id", "query_name").distinct()
     return after.join(before, ["topic_id", "query_name"], "left").select("topic_id", "query_name", F.col("known").isNull().alias("is_new"))
 
 

@@ -192,12 +192,13 @@ def thread_list(spark, sf_dir):
 
 
 @query("""
-    SELECT source AS film_slug, upper(source) AS title, count(*) AS article_count, sum(n_chars)::BIGINT AS characters,
-           string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) FILTER (WHERE doc_id % 10 = 0) AS refs FROM documents GROUP BY source""")
+    WITH f AS (SELECT source, count(*) AS article_count, sum(n_chars)::BIGINT AS characters FROM documents GROUP BY source)
+    SELECT f.source AS film_slug, upper(f.source) AS title, article_count, characters, d.doc_id AS ref FROM documents d JOIN f ON f.source = d.source""")
 def films_from_articles(spark, sf_dir):
-    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("doc_id") % 10 == 0, F.col("doc_id")))), lambda d: d.cast("string")), ",")
-    return table(spark, sf_dir, "documents").groupBy(F.col("source").alias("film_slug")).agg(
-        F.upper(F.first("source")).alias("title"), F.count(F.lit(1)).alias("article_count"), F.sum("n_chars").alias("characters"), F.nullif(listed, F.lit("")).alias("refs"))
+    """Films with their totals, a row for each article that refers to them: a film of any number of articles is no long list."""
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("film_slug"), F.col("doc_id").alias("ref"), "n_chars")
+    films = docs.groupBy("film_slug").agg(F.upper(F.first("film_slug")).alias("title"), F.count(F.lit(1)).alias("article_count"), F.sum("n_chars").alias("characters"))
+    return docs.drop("n_chars").join(films, "film_slug")
 
 
 @query("""
@@ -233,12 +234,12 @@ def batch_totals(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.sum("value").isNotNull().alias("timed"), F.count_distinct("user_id").alias("episodes"), F.count_if(F.col("value") >= 50).alias("slow"))
 
 
-RUN_STATE = "CASE WHEN max_by(event_type, ts) = 'purchase' THEN 'diarized' WHEN count(*) > 60 THEN 'transcribed_no_speakers' ELSE 'pending' END"
+RUN_STATE = "CASE WHEN last(event_type ORDER BY ts, event_id) = 'purchase' THEN 'diarized' WHEN count(*) > 60 THEN 'transcribed_no_speakers' ELSE 'pending' END"
 
 
 @query(f"SELECT user_id, {RUN_STATE} AS state, count(*) AS runs FROM events GROUP BY user_id")
 def run_states(spark, sf_dir):
-    last = F.max_by("event_type", "ts")
+    last = F.max_by("event_type", F.struct("ts", "event_id"))
     state = F.when(last == "purchase", "diarized").when(F.count(F.lit(1)) > 60, "transcribed_no_speakers").otherwise("pending")
     return table(spark, sf_dir, "events").groupBy("user_id").agg(state.alias("state"), F.count(F.lit(1)).alias("runs"))
 

@@ -168,7 +168,7 @@ BREAK_SQL = with_views("v_segments") + f""",
     seg AS (SELECT *, {TOKENS.format("text")} AS ws, count(*) OVER (PARTITION BY doc_id) AS n_all, start - lag("end") OVER (PARTITION BY doc_id ORDER BY id) AS gap FROM v_segments),
     st AS (SELECT doc_id, id, term, count(*) AS n FROM (SELECT doc_id, id, unnest(ws) AS term FROM seg) WHERE length(term) > 2 AND NOT list_contains({_stop_sql()}, term) GROUP BY ALL),
     lv AS ({_vector_sql("-6", "-1")}), rv AS ({_vector_sql("0", "5")}),
-    ln AS (SELECT doc_id, id, sqrt(sum(n * n)) AS m FROM lv GROUP BY ALL), rn AS (SELECT doc_id, id, sqrt(sum(n * n)) AS m FROM rv GROUP BY ALL),
+    ln AS (SELECT doc_id, id, sum(n * n) AS m FROM lv GROUP BY ALL), rn AS (SELECT doc_id, id, sum(n * n) AS m FROM rv GROUP BY ALL),
     dt AS (SELECT l.doc_id, l.id, sum(l.n * r.n) AS d FROM lv l JOIN rv r ON r.doc_id = l.doc_id AND r.id = l.id AND r.term = l.term GROUP BY ALL),
     side AS (SELECT doc_id, id, gap, count(*) OVER lw AS n_l, count(*) OVER rw AS n_r, n_all,
              list(list_distinct(list_transform(list_filter(ws, lambda w: length(w) > 8), lambda w: w[1:1]))) OVER lw AS tl, list(list_distinct(list_transform(list_filter(ws, lambda w: length(w) > 8), lambda w: w[1:1]))) OVER rw AS tr,
@@ -176,21 +176,21 @@ BREAK_SQL = with_views("v_segments") + f""",
              FROM seg WINDOW lw AS (PARTITION BY doc_id ORDER BY id ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING), rw AS (PARTITION BY doc_id ORDER BY id ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING)),
     sp AS (SELECT b.doc_id, b.id, (SELECT speaker FROM v_segments x WHERE x.doc_id = b.doc_id AND x.id BETWEEN b.id - 6 AND b.id - 1 GROUP BY speaker ORDER BY count(*) DESC, speaker LIMIT 1) AS a,
              (SELECT speaker FROM v_segments x WHERE x.doc_id = b.doc_id AND x.id BETWEEN b.id AND b.id + 5 GROUP BY speaker ORDER BY count(*) DESC, speaker LIMIT 1) AS b FROM seg b),
-    sc AS (SELECT s.doc_id, s.id, CASE WHEN ln.m IS NULL OR rn.m IS NULL THEN 1.0 ELSE 1 - coalesce(dt.d, 0) / (ln.m * rn.m) END AS coherence,
+    sc AS (SELECT s.doc_id, s.id, CASE WHEN ln.m IS NULL OR rn.m IS NULL THEN 1.0 ELSE 1 - coalesce(dt.d, 0) / sqrt(ln.m * rn.m) END AS coherence,
              CASE WHEN greatest(gap, 0) < 2 THEN 0 ELSE least(greatest(gap, 0) / 8, 1) END AS pause,
              CASE WHEN len(list_distinct(flatten(tl) || flatten(tr))) = 0 THEN 0 ELSE 1 - len(list_intersect(list_distinct(flatten(tl)), list_distinct(flatten(tr)))) / len(list_distinct(flatten(tl) || flatten(tr)))::DOUBLE END AS topic,
              CASE WHEN sp.a <> sp.b THEN 1 ELSE 0 END AS speaker_turn,
              len(list_filter(list_distinct(flatten(fr)), lambda f: NOT list_contains(flatten(fl), f))) / greatest(len(list_distinct(flatten(fr))), 1)::DOUBLE AS film
              FROM side s JOIN sp ON sp.doc_id = s.doc_id AND sp.id = s.id LEFT JOIN ln ON ln.doc_id = s.doc_id AND ln.id = s.id LEFT JOIN rn ON rn.doc_id = s.doc_id AND rn.id = s.id
              LEFT JOIN dt ON dt.doc_id = s.doc_id AND dt.id = s.id WHERE n_l >= 2 AND n_r >= 2 AND n_all >= 4)
-    SELECT doc_id, id, round(coherence, 5)::DOUBLE AS coherence, round(pause, 5)::DOUBLE AS pause, round(topic, 5)::DOUBLE AS topic, speaker_turn::DOUBLE AS speaker_turn, round(film, 5)::DOUBLE AS film,
-           round(0.35 * coherence + 0.2 * pause + 0.2 * topic + 0.1 * speaker_turn + 0.15 * film, 5)::DOUBLE AS score FROM sc"""
+    SELECT doc_id, id, round(coherence, 4)::DOUBLE AS coherence, round(pause, 4)::DOUBLE AS pause, round(topic, 4)::DOUBLE AS topic, speaker_turn::DOUBLE AS speaker_turn, round(film, 4)::DOUBLE AS film,
+           round(0.35 * coherence + 0.2 * pause + 0.2 * topic + 0.1 * speaker_turn + 0.15 * film, 4)::DOUBLE AS score FROM sc"""
 
 
 @query(BREAK_SQL)
 def break_scores(spark, sf_dir):
     found = ops.break_scores(_tagged(spark, sf_dir), STOP)
-    return found.select("doc_id", "id", *[F.round(c, 5).alias(c) for c in ("coherence", "pause", "topic", "speaker_turn", "film", "score")])
+    return found.select("doc_id", "id", *[F.round(c, 4).alias(c) for c in ("coherence", "pause", "topic", "speaker_turn", "film", "score")])
 
 
 def _chapters(spark, sf_dir):

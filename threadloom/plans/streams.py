@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from threadloom.sources.scratch import scratch
@@ -28,7 +26,7 @@ def _events(spark, sf_dir):
 
 
 def _final(df, spark, mode):
-    return jobs.run_to_table(df, spark, "t" + uuid.uuid4().hex, mode, scratch(spark))
+    return jobs.run_to_table(df, spark, scratch(spark), mode, scratch(spark))
 
 
 @query("SELECT topic_id, count(*) AS accesses FROM (SELECT user_id % 40 AS topic_id FROM events) GROUP BY topic_id")

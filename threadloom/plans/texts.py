@@ -23,14 +23,14 @@ def query(sql: str | None = None):
 
 
 @query("""
-    WITH d AS (SELECT doc_id, n_chars, substr(text, 1, 60) AS title, 'SEASON ' || (doc_id % 9 + 1)::VARCHAR || ' - EPISODE ' || (doc_id % 50)::VARCHAR || ' - ' || upper(lang) || ' Guest - Role' AS full_title FROM documents)
+    WITH d AS (SELECT doc_id, n_chars, text AS title, 'SEASON ' || (doc_id % 9 + 1)::VARCHAR || ' - EPISODE ' || (doc_id % 50)::VARCHAR || ' - ' || upper(lang) || ' Guest - Role' AS full_title FROM documents)
     SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(lower(trim(title, ' ')), '[^a-z0-9\\s-]', '', 'g'), '[\\s-]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 80) AS slug,
            regexp_replace(title, '[^\\p{L}\\p{N} _-]', '_', 'g') AS file_name, lower(regexp_replace(trim(title, ' '), '\\s+', ' ', 'g')) AS title_key,
            regexp_replace(full_title, '(?i)^season\\s+\\d+\\s*-\\s*episode\\s+\\d+\\s*-\\s*', '') AS plain_title, (doc_id % 9 + 1)::INTEGER AS season, (doc_id % 50)::INTEGER AS episode,
            printf('%02d:%02d:%02d', n_chars // 3600, (n_chars % 3600) // 60, n_chars % 60) AS clock, n_chars::INTEGER AS seconds FROM d""")
 def slug_and_date_functions(spark, sf_dir):
     full = F.concat(F.lit("SEASON "), F.col("doc_id") % 9 + 1, F.lit(" - EPISODE "), F.col("doc_id") % 50, F.lit(" - "), F.upper("lang"), F.lit(" Guest - Role"))
-    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars", F.substring("text", 1, 60).alias("title"), full.alias("full_title"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars", F.col("text").alias("title"), full.alias("full_title"))
     season, episode = tx.season_episode(F.col("full_title"))
     clock = tx.clock_of(F.col("n_chars"))
     return d.select(

@@ -44,13 +44,12 @@ def thread_stats(spark, sf_dir):
 
 
 @query(with_views("v_posts", recursive=True) + TREE_SQL + """
-    SELECT topic_slug, post_id, row_number() OVER (PARTITION BY topic_slug ORDER BY path) AS ordinal FROM tree WHERE topic_slug::BIGINT % 4 = 1""")
+    SELECT topic_slug, post_id, row_number() OVER (PARTITION BY topic_slug ORDER BY path) AS ordinal FROM tree""")
 def rebuild_trees(spark, sf_dir):
-    """Depth-first order of the topics that have no tree yet (here every fourth is taken to be missing)."""
+    """Depth-first order of the topics that have no tree yet, which here are all."""
     from pyspark.sql import Window
 
-    missing = views.posts(spark, sf_dir).filter("conv_id % 4 = 1")
-    return ops.reply_tree(missing).select("topic_slug", "post_id", F.row_number().over(Window.partitionBy("topic_slug").orderBy("path")).alias("ordinal"))
+    return ops.reply_tree(views.posts(spark, sf_dir)).select("topic_slug", "post_id", F.row_number().over(Window.partitionBy("topic_slug").orderBy("path")).alias("ordinal"))
 
 
 @query(with_views("v_posts") + """

@@ -14,6 +14,8 @@ def scratch(spark: SparkSession) -> str:
     """A new path below spark.checkpoint.dir; below a folder of this machine only where that is unset, as in tests."""
     sc = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not shared and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not shared:
         shared = _OWN.setdefault(sc.applicationId, "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"

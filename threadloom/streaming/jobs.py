@@ -50,11 +50,18 @@ def debounced(log: DataFrame, key: str, gap: str = "2 seconds", late: str = "10
     return log.withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("w"), key).agg(F.count(F.lit(1)).alias("changes"), F.max_by("value", "ts").alias("value"))
 
 
-def run_to_table(df: DataFrame, spark: SparkSession, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Drain a bounded stream into an in-memory table: for small results of tests and reports."""
-    query = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_to_table(df: DataFrame, spark: SparkSession, path: str, mode: str, checkpoint: str) -> DataFrame:
+    """Drain a bounded stream and return its result, written by each batch as a generation under path; with mode 'complete' the
+    last one is whole. Nothing passes through the driver."""
+    def write(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/gen={n}")
+
+    query = df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.table(name)
+    done = query.lastProgress
+    if done is None:
+        return spark.createDataFrame([], df.schema)
+    return spark.read.schema(df.schema).parquet(f"{path}/gen={done['batchId']}" if mode == "complete" else f"{path}/gen=*")
 
 
 def to_parquet(df: DataFrame, path: str, checkpoint: str):
