@@ -8,7 +8,7 @@ chance lists stay short.) The lists that a pair shares are counted: k equal byte
 reach the minimum, C(5, depth), are verified by their bits.
 
 Posting lists over `hot` members are refined: their members, as a table of their own, are filed under five positions at
-once, where one shared list is the minimum; members of lists over `hot` of those differ in 24 bits only and are filed again,
+once, where one shared list is the minimum; members of lists over 4 * `hot` of those differ in 24 bits only and are filed again,
 under five of these bits' eight groups of three. Such a list holds at most 2^9 fingerprints, so pairs grow with the members
 of long lists and not with their square. No pair is lost and none is capped.
 
@@ -23,7 +23,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import joinable, materialize, slices
@@ -77,21 +77,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
-def _byte(fp: str, i: int) -> Column:
-    return F.shiftrightunsigned(F.col(fp), 8 * (7 - i)).bitwiseAND(F.lit(255))
+def _masks(groups: int, bits: int, depth: int) -> list[int]:
+    """A mask, as a signed long, for each choice of `depth` of the groups of so many bits."""
+    one = (1 << bits) - 1
+    masks = [sum(one << bits * i for i in at) for at in combinations(range(groups), depth)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def _packed(parts: list[Column], bits: int, first: int) -> Column:
-    key = F.lit(first).cast("long")
-    for part in parts:
-        key = F.shiftleft(key, bits).bitwiseOR(part)
-    return key
-
-
-def _filed(fps: DataFrame, groups: list[Column], bits: int, depth: int, *keep: str) -> DataFrame:
-    """fps with a row for each choice of `depth` of the groups: `post` is the choice's number and those groups' values."""
-    sets = list(combinations(range(len(groups)), depth))
-    return fps.select("fp", *keep, F.explode(F.array(*[_packed([groups[i] for i in at], bits, k) for k, at in enumerate(sets)])).alias("post"))
+def _filed(rows: DataFrame, value: str, masks: list[int], mask: str, key: str) -> DataFrame:
+    """rows with a row for each mask: the posting list is named by the mask and the value's bits under it."""
+    every = rows.withColumn(mask, F.explode(F.expr(f"array({', '.join(f'{m}L' for m in masks)})")))
+    return every.withColumn(key, F.col(value).bitwiseAND(F.col(mask)))
 
 
 def _lists(postings: DataFrame, hot: int, *keys: str) -> tuple[DataFrame, DataFrame | None]:
@@ -117,24 +113,23 @@ def fingerprint_links(fps: DataFrame, hot: int = 16, depth: int | None = None) -
     its count is whole.
     """
     depth = depth or index_depth(fps.count())
-    parts = [_byte("fp", i) for i in range(BYTES)]
-    usual, long = _lists(_filed(fps, parts, 8, depth), hot, "post")
-    links = _pairs(usual, comb(LEAST_EQUAL, depth), "post")
+    name = ["mask", "key"]
+    usual, long = _lists(_filed(fps.select("fp"), "fp", _masks(BYTES, 8, depth), *name), hot, *name)
+    links = _pairs(usual, comb(LEAST_EQUAL, depth), *name)
     if long is None:
         return links
+    # Most members of a list of five equal bytes are links, so these lists may be longer.
     again = materialize(long.select("fp").distinct(), "hot-fingerprints")
-    fine, longest = _lists(_filed(again, parts, 8, LEAST_EQUAL), hot, "post")
-    links = links.unionByName(_pairs(fine, 1, "post"))
+    fine, longest = _lists(_filed(again, "fp", _masks(BYTES, 8, LEAST_EQUAL), *name), 4 * hot, *name)
+    links = links.unionByName(_pairs(fine, 1, *name))
     if longest is None:
         return links
-    # The 24 bits of the three positions outside of a set of five, eight groups of three bits.
-    sets = list(combinations(range(BYTES), LEAST_EQUAL))
-    free = [_packed([parts[i] for i in range(BYTES) if i not in at], 8, 0) for at in sets]
-    number = F.shiftright("post", 8 * LEAST_EQUAL).cast("int")
-    named = longest.select("fp", F.col("post").alias("list"), F.get(F.array(*free), number).alias("free"))
-    groups = [F.shiftright("free", 3 * i).bitwiseAND(F.lit(7)) for i in range(8)]
-    finest = _filed(named, groups, 3, LEAST_EQUAL, "list")
-    return links.unionByName(_pairs(finest, 1, "list", "post"))
+    # The 24 bits of the three bytes outside of the mask, as eight groups of three bits.
+    byte = lambda of, i: F.shiftright(F.col(of), (i * 8).cast("int")).bitwiseAND(F.lit(255))
+    outside = F.filter(F.sequence(F.lit(0), F.lit(BYTES - 1)), lambda i: byte("mask", i) == 0)
+    free = F.aggregate(outside, F.lit(0).cast("long"), lambda acc, i: F.shiftleft(acc, 8).bitwiseOR(byte("fp", i)))
+    finest = _filed(longest.withColumn("free", free), "free", _masks(8, 3, LEAST_EQUAL), "mask3", "key3")
+    return links.unionByName(_pairs(finest, 1, *name, "mask3", "key3"))
 
 
 def near_links(nodes: DataFrame, hot: int = 16) -> DataFrame:
