@@ -69,6 +69,16 @@ def test_fingerprints_are_nodes(spark):
     assert sorted(map(sorted, by_text.values())) == [[(5, 5)], [(5, 5), (8, 5)], [(8, 8), (9, 8)]]
 
 
+def test_fingerprints_that_differ_in_three_bytes_only(spark):
+    """Lists of five equal bytes that are too long are refined by groups of the 24 bits left."""
+    rng = random.Random(4)
+    fps = {0xF00F << 40 | sum(rng.choice([0, 1, 2, 4, 8, 64, 129]) << 8 * i for i in (0, 3, 7)) for _ in range(60)}
+    rows = list(enumerate(sorted(fps)))
+    nodes = spark.createDataFrame([(i, x - (1 << 64) if x >> 63 else x) for i, x in rows], "node long, fp long")
+    got = {(min(r.a, r.b), max(r.a, r.b)) for r in simhash.near_links(nodes, 1).collect()}
+    assert got == {(i, j) for i, a in rows for j, b in rows if i < j and (a ^ b).bit_count() <= 3} and len(got) > 50
+
+
 def test_near_copies_of_a_large_loose_group(spark, monkeypatch):
     """Copies of one text with many edits: most pairs are below 0.8, and the rest hangs together over few links."""
     rng = random.Random(9)
