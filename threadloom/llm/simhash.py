@@ -125,7 +125,7 @@ def fingerprint_links(fps: DataFrame, hot: int = 16, depth: int | None = None) -
     if longest is None:
         return links
     # The 24 bits of the three bytes outside of the mask, as eight groups of three bits.
-    byte = lambda of, i: F.shiftright(F.col(of), (i * 8).cast("int")).bitwiseAND(F.lit(255))
+    byte = lambda of, i: F.call_function("shiftright", F.col(of), (i * 8).cast("int")).bitwiseAND(F.lit(255))
     outside = F.filter(F.sequence(F.lit(0), F.lit(BYTES - 1)), lambda i: byte("mask", i) == 0)
     free = F.aggregate(outside, F.lit(0).cast("long"), lambda acc, i: F.shiftleft(acc, 8).bitwiseOR(byte("fp", i)))
     finest = _filed(longest.withColumn("free", free), "free", _masks(8, 3, LEAST_EQUAL), "mask3", "key3")
