@@ -1,8 +1,11 @@
 """Reports on hand-made rows: nulls, empty tables, missing names."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from threadloom.operators import curation, reports
+from threadloom.sources import extract, leaves
 
 POST = "post_id string, author string, role string, forum_slug string, topic_slug string, content_text string"
 
@@ -66,3 +69,21 @@ def test_batch_report(spark):
     expected = spark.createDataFrame([(1,), (2,), (3,), (3,)], "k int")
     found = sorted(tuple(r) for r in reports.batch_report(runs, expected, "k", F.col("state") == "bad", F.col("state") == "ok").collect() if r.key)
     assert found == [("failure", "1", 1), ("failure", "2", 2), ("gap", "2", 0), ("gap", "3", 0), ("result", "1", 1)]
+
+
+def test_manifest_and_named_leaves(spark, tmp_path):
+    (tmp_path / "index.json").write_text(json.dumps({"forums": [{"slug": "a", "title": "A"}, {"slug": "b"}], "other": 1}, indent=1))
+    assert {tuple(r) for r in leaves.read_manifest(spark, f"{tmp_path}/index.json", "forums", "slug string, title string").collect()} == {("a", "A"), ("b", None)}
+    films = tmp_path / "films"
+    films.mkdir()
+    (films / "blade-runner.json").write_text(json.dumps({"title": "Blade"}, indent=1))
+    (films / "broken.json").write_text("{")
+    (films / "notes.txt").write_text("x")
+    assert {r.leaf_id: r.title for r in leaves.named_leaves(spark, str(films), "title string").collect()} == {"blade-runner": "Blade", "broken": None}
+    assert {r.leaf_id for r in leaves.leaf_ids(spark, str(films)).collect()} == {"blade-runner", "broken"}
+
+
+def test_forum_refs(spark):
+    html = '<a href="/forums/forum/light/">Light</a><a href="/forums/forum/light/"></a><a href="/forums/forum/light/">Light 2</a><a href="/forums/forum/x/y">no</a><a href="https://e.org/forums/forum/cams">Cams</a><a href="/forums/topic/t/">t</a>'
+    pages = spark.createDataFrame([(1, "https://e.org/forums/", html), (2, "https://e.org/", None)], "page_id long, url string, html string")
+    assert {tuple(r) for r in extract.forum_refs(pages).collect()} == {(1, "https://e.org/forums/forum/light/", "light", "Light 2"), (1, "https://e.org/forums/forum/cams", "cams", "Cams")}

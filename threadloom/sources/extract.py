@@ -159,6 +159,14 @@ def topic_refs(pages: DataFrame) -> DataFrame:
     return links.select("page_id", F.col("l.href").alias("url"), F.regexp_extract("l.href", "/topic/([^/]+)/?$", 1).alias("slug"), F.col("l.text").alias("title")).distinct()
 
 
+def forum_refs(pages: DataFrame) -> DataFrame:
+    """(page_id, url, slug, title) of links to forums of an index page: one row per url, with the title of its last link that has one."""
+    links = extract_pages(pages).select("page_id", F.posexplode("links").alias("pos", "l"))
+    slug = F.regexp_extract(F.parse_url("l.href", F.lit("PATH")), "^/forums/forum/([^/]+)/?$", 1)
+    found = links.select("page_id", "pos", F.col("l.href").alias("url"), slug.alias("slug"), F.col("l.text").alias("title")).filter("slug <> '' and title <> ''")
+    return found.groupBy("page_id", "url", "slug").agg(F.max_by("title", "pos").alias("title"))
+
+
 def outcome(html: Column) -> Column:
     return F.when(html.isNull() | (html == ""), "empty").when(html.contains("wpmem_restricted_msg"), "restricted").when(~html.contains("<article"), "no_article").otherwise("parsed")
 

@@ -106,3 +106,21 @@ def latest_reports(reports: DataFrame) -> DataFrame:
 
 def batch_failures(report: DataFrame) -> DataFrame:
     return report.select(F.explode("failures").alias("episode_id")).union(report.select(F.explode(F.filter("gaps", lambda g: g["has_audio"])).alias("g")).select("g.episode_id")).distinct()
+
+
+def read_manifest(spark: SparkSession, path: str, field: str, item: str) -> DataFrame:
+    """Rows of a manifest, a JSON document with an array of items under `field`; item is the DDL of a struct. A missing or broken array has none."""
+    found = spark.read.schema(f"{field} array<struct<{item}>>").option("multiLine", True).json(path)
+    return found.select(F.explode(field).alias("i")).select("i.*")
+
+
+def named_leaves(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """Leaves of a folder of JSON files with their `leaf_id`, the file name without .json; a broken file has null fields."""
+    found = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json").json(folder)
+    return found.withColumn("leaf_id", F.url_decode(F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1)))
+
+
+def leaf_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """(leaf_id) of a folder, from the file list alone; join with it to ask which leaves exist."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder).select("path")
+    return files.select(F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("leaf_id"))
