@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe_sql import round_trip
 from .chat import chat_report
 from .common import crc_remainder, table
 from .decontam import contamination, contamination_report
 from .exact_dedup import exact_dedup
+from .hard_negatives import mine_hard_negatives, whole_vectors
 from .langid import identify_languages
 from .packing import pack_documents, piece_digests
+from .periodic import periodic_runs, plant_periods, run_report
 from .secrets import scan_secrets, secret_report
 from .simhash import simhash_components
 from .toxicity import learn_toxicity, score_toxicity
@@ -70,9 +73,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, learn_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(periodic_runs(plant_periods(table(spark, sf_dir, "documents"))))
+
+
+def op12_bpe_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(whole_vectors(table(spark, sf_dir, "embeddings").withColumn("label", label)))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_wavelet_tokens, op2_exact_dedup, op3_chat_format, op4_language_id, op5_warc, op6_secret_scan, op7_decontaminate, op8_simhash, op9_packing, op10_toxicity)
+    for f in (op1_wavelet_tokens, op2_exact_dedup, op3_chat_format, op4_language_id, op5_warc, op6_secret_scan, op7_decontaminate, op8_simhash, op9_packing, op10_toxicity, op11_periodic_runs, op12_bpe_sql, op13_hard_negatives)
 }
 
 A_Z = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -103,6 +121,17 @@ ORACLE_SQL = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
                sum(length('### ') + length(role) + length(': ') + escaped + length(' </turn>') + 1)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op13_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v, row_number() OVER () AS r
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        a AS (SELECT * FROM v WHERE vec_id % 100 = 0),
+        s AS (SELECT a.r AS ar, a.vec_id AS anchor_id, v.r, v.vec_id, a.label = v.label AS same, list_inner_product(a.v, v.v)::BIGINT AS score FROM a, v WHERE a.r <> v.r),
+        p AS (SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, r) AS n FROM s WHERE same),
+        m AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                     row_number() OVER (PARTITION BY p.ar, p.r ORDER BY s.score DESC, s.vec_id, s.r) AS rank
+              FROM p JOIN s ON p.ar = s.ar AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score WHERE n <= 5)
+        SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM m WHERE rank <= 10""",
     "op7_decontaminate": f"""
         WITH d AS (SELECT doc_id, regexp_extract_all({A_Z}, '{WORDS}') AS w FROM documents),
         b AS (SELECT item_id, w, least(10, len(w)) AS k FROM (SELECT item_id, regexp_extract_all({A_Z}, '{WORDS}') AS w FROM benchmark) WHERE len(w) > 0),
