@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from .common import slices
 
 #: Pieces that a worker remembers; bytes of one recursive query; length from which pieces take the keyed recursion.
-KEEP, BATCH_BYTES, LONG = 200_000, 1_000_000, 48
+KEEP, BATCH_BYTES, LONG = 200_000, 400_000, 48
 #: Tokens of one decoding query; a longer document is decoded in parts.
-DECODE_TOKENS = 2_000_000
+DECODE_TOKENS = 1_000_000
 
 CONTRACT = """
 WITH RECURSIVE chain(step, word, pos, tok) AS (

@@ -259,7 +259,7 @@ def mine_hard_negatives(vectors: DataFrame, every: int = 100, positives: int = 5
     open_window = F.array(F.struct(F.lit(0).alias("name"), F.lit(LEAST).alias("low"), F.lit(MOST).alias("high"), F.lit(LEAST).alias("floor"), F.lit(MOST).alias("floor_id")))
     anchors = materialize(vectors.filter(F.col("vec_id") % every == 0).withColumn("windows", open_window), "anchors")
     good = _filled(vectors, anchors, positives, True)
-    bounds = F.struct(F.col("row").alias("name"), F.expr(f"({low} * score + 99) div 100").alias("low"), F.expr(f"({high} * score) div 100").alias("high"), F.lit(LEAST).alias("floor"), F.lit(MOST).alias("floor_id"))
+    bounds = F.struct(F.col("row").alias("name"), F.expr(f"({low} * cast(score as decimal(20, 0)) + 99) div 100").alias("low"), F.expr(f"({high} * cast(score as decimal(20, 0))) div 100").alias("high"), F.lit(LEAST).alias("floor"), F.lit(MOST).alias("floor_id"))
     asked = good.filter("score >= 0").groupBy("query").agg(F.collect_list(bounds).alias("windows")).withColumnRenamed("query", "row")
     asked = materialize(anchors.drop("windows").join(asked, "row"), "anchors-windows")
     bad = _filled(vectors, asked, negatives, False)
