@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import tokens
@@ -11,27 +13,16 @@ from threadloom.functions.text import tokens
 K1, B = 1.2, 0.75
 
 
-def _fold(text):
-    """Tokens of a text without Latin accents."""
-    plain = F.translate(F.lower(text), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
-    return tokens(plain)
-
-
-def postings(docs: DataFrame, key: str, fields: dict[str, str], fold: bool = False) -> DataFrame:
-    """(key, field, term, tf, positions) of docs; fields maps index field to column. Terms of a document meet in its own row
-    group: the aggregation keys hold the document, so a term of every document is no hot key."""
-    parts = [docs.select(key, F.lit(f).alias("field"), F.posexplode((_fold if fold else tokens)(F.coalesce(F.col(c).cast("string"), F.lit("")))).alias("pos", "term")) for f, c in fields.items()]
+def postings(docs: DataFrame, key: str, fields: dict[str, str], cut: Callable[[Column], Column] = tokens) -> DataFrame:
+    """(key, field, term, tf, positions) of docs; fields maps index field to column, cut gives the tokens of a text. Terms of a document
+    meet in its own row group: the aggregation keys hold the document, so a term of every document is no hot key."""
+    parts = [docs.select(key, F.lit(f).alias("field"), F.posexplode(cut(F.coalesce(F.col(c).cast("string"), F.lit("")))).alias("pos", "term")) for f, c in fields.items()]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
     return rows.groupBy(key, "field", "term").agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
-def write_index(index: DataFrame, table_name: str, buckets: int = 64) -> None:
-    """The postings as a table bucketed by term, so that a query reads the buckets of its terms."""
-    index.write.bucketBy(buckets, "term").sortBy("term").mode("overwrite").saveAsTable(table_name)
-
-
 def lengths(index: DataFrame, key: str) -> DataFrame:
     return index.groupBy(key).agg(F.sum("tf").alias("length"))
 
@@ -176,12 +167,17 @@ def porter_stem(word: str) -> str:
     return word[:-1] if measure(word) > 1 and double(word) and word.endswith("l") else word
 
 
-def stem_index(index: DataFrame, key: str) -> DataFrame:
-    """The index with stems for terms. Only distinct terms go through Python; the stems join back by term."""
+def stemmed(term: str) -> Column:
     @F.pandas_udf("string")
     def stem(terms: pd.Series) -> pd.Series:
         return terms.map(porter_stem)
 
-    vocabulary = index.select("term").distinct().select("term", stem("term").alias("stem"))
+    return stem(term)
+
+
+def stem_index(index: DataFrame, key: str, *keep: str) -> DataFrame:
+    """The index with stems for terms; keep names further columns that depend on the key. Only distinct terms go through Python; the stems
+    join back by term."""
+    vocabulary = index.select("term").distinct().select("term", stemmed("term").alias("stem"))
     joined = index.join(vocabulary, "term")
-    return joined.groupBy(key, "field", F.col("stem").alias("term")).agg(F.sum("tf").alias("tf"), F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions"))
+    return joined.groupBy(key, *keep, "field", F.col("stem").alias("term")).agg(F.sum("tf").alias("tf"), F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions"))

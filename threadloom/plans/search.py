@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadloom.operators import search as ops
+from threadloom.operators.search_index import SearchIndex
 from threadloom.sources.views import table
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -35,51 +36,106 @@ def _rank(test: str, found: str, limit: int = 20, fields: str = "TRUE") -> str:
     FROM tf JOIN found ON found.doc_id = tf.doc_id JOIN df ON df.term = tf.term JOIN size ON size.doc_id = tf.doc_id, stats GROUP BY tf.doc_id ORDER BY score DESC, tf.doc_id LIMIT {limit}"""
 
 
-def _index(spark, sf_dir):
-    return ops.postings(table(spark, sf_dir, "documents"), "doc_id", {"body": "text", "source": "source"})
+_STORED: dict[tuple, SearchIndex] = {}
+
+
+def stored(spark, sf_dir, tokens="words", stem=False) -> SearchIndex:
+    """The stored index of the documents: built on first use in a session, then read by every query."""
+    name = (spark.sparkContext.applicationId, sf_dir, tokens, stem)
+    if name not in _STORED:
+        _STORED[name] = SearchIndex.build(table(spark, sf_dir, "documents"), "doc_id", {"body": "text", "source": "source"}, tokens=tokens, stem=stem)
+    return _STORED[name]
+
+
+@query(INDEX_SQL + " SELECT count(DISTINCT doc_id) AS docs, count(*) AS tokens, (SELECT count(*) FROM (SELECT DISTINCT doc_id, field, term FROM tok)) AS postings FROM tok")
+def search_index_build(spark, sf_dir):
+    """A new stored index, and what it holds."""
+    index = SearchIndex.build(table(spark, sf_dir, "documents"), "doc_id", {"body": "text", "source": "source"})
+    _STORED[spark.sparkContext.applicationId, sf_dir, "words", False] = index
+    return index.live().agg(F.lit(index.docs).cast("long").alias("docs"), F.sum("tf").alias("tokens"), F.count(F.lit(1)).alias("postings"))
 
 
 @query(INDEX_SQL + _rank("term IN ('licensed', 'the')", "SELECT doc_id FROM tok WHERE term IN ('licensed', 'the') GROUP BY doc_id HAVING count(DISTINCT term) = 2"))
 def search_and(spark, sf_dir):
-    return ops.search(_index(spark, sf_dir), "doc_id", all_of=["licensed", "the"])
+    return stored(spark, sf_dir).search(all_of=["licensed", "the"])
 
 
 @query(INDEX_SQL + _rank("term IN ('token', 'idiot') OR starts_with(term, 'licens')", """
     SELECT DISTINCT doc_id FROM tok WHERE term IN ('token', 'idiot') OR starts_with(term, 'licens') EXCEPT SELECT doc_id FROM tok WHERE term IN ('und', 'clown')"""))
 def search_bool(spark, sf_dir):
-    return ops.search(_index(spark, sf_dir), "doc_id", any_of=["token", "idiot"], prefix=["licens"], none_of=["und", "clown"])
+    return stored(spark, sf_dir).search(any_of=["token", "idiot"], prefix=["licens"], none_of=["und", "clown"])
 
 
 @query(INDEX_SQL + _rank("term IN ('licensed', 'under')", """
     SELECT DISTINCT a.doc_id FROM tok a JOIN tok b ON b.doc_id = a.doc_id AND b.field = a.field AND b.pos = a.pos + 1 WHERE a.term = 'licensed' AND b.term = 'under' AND a.field = 'body' """, fields="field = 'body'"))
 def search_phrase(spark, sf_dir):
-    return ops.search(_index(spark, sf_dir), "doc_id", phrase=["licensed", "under"], columns=["body"])
+    return stored(spark, sf_dir).search(phrase=["licensed", "under"], columns=["body"])
 
 
 @query(INDEX_SQL + _rank("term IN ('than')", "SELECT DISTINCT t.doc_id FROM tok t JOIN documents d ON d.doc_id = t.doc_id WHERE t.term = 'than' AND d.lang = 'en' AND d.source IN ('src1', 'src2')"))
 def search_facets(spark, sf_dir):
     facets = table(spark, sf_dir, "documents").filter(F.col("source").isin("src1", "src2") & (F.col("lang") == "en")).select("doc_id")
-    return ops.search(_index(spark, sf_dir), "doc_id", any_of=["than"], facets=facets)
+    return stored(spark, sf_dir).search(any_of=["than"], facets=facets)
 
 
 @query(INDEX_SQL + """, q AS (SELECT * FROM (VALUES ('a', 'idiot'), ('a', 'moron'), ('b', 'licensed'), ('c', 'neverfound')) AS t(name, keyword))
     SELECT q.name, count(DISTINCT tok.doc_id) AS hits FROM q LEFT JOIN tok ON tok.term = q.keyword GROUP BY q.name""")
 def search_batch(spark, sf_dir):
     queries = spark.createDataFrame([("a", "idiot"), ("a", "moron"), ("b", "licensed"), ("c", "neverfound")], "name string, keyword string")
-    return ops.hit_counts(_index(spark, sf_dir), "doc_id", queries)
+    return stored(spark, sf_dir).hit_counts(queries)
 
 
 @query(INDEX_SQL + " SELECT field, count(*) AS tokens, count(DISTINCT term) AS terms, count(DISTINCT doc_id) AS docs FROM tok GROUP BY field")
 def search_index_stats(spark, sf_dir):
-    return _index(spark, sf_dir).groupBy("field").agg(F.sum("tf").alias("tokens"), F.count_distinct("term").alias("terms"), F.count_distinct("doc_id").alias("docs"))
+    return stored(spark, sf_dir).statistics()
 
 
 @query()
 def search_stemmed(spark, sf_dir):
-    return ops.search(ops.stem_index(_index(spark, sf_dir), "doc_id"), "doc_id", all_of=[ops.porter_stem("licensed")])
+    return stored(spark, sf_dir, stem=True).search(all_of=["licensed"])
 
 
 @query()
 def search_snippet(spark, sf_dir):
     hits = search_and(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return ops.snippets(hits, "text", ["licensed", "the"]).select("doc_id", "score", "snippet")
+
+
+FOLDED = "regexp_extract_all(strip_accents(lower(coalesce({}, ''))), '[\\p{{L}}\\p{{N}}]+')"
+FOLDED_SQL = f"""WITH tok AS (
+        SELECT doc_id, 'body' AS field, unnest({FOLDED.format("text")}) AS term, unnest(range(len({FOLDED.format("text")}))) AS pos FROM documents
+        UNION ALL SELECT doc_id, 'source', unnest({FOLDED.format("source")}), unnest(range(len({FOLDED.format("source")}))) FROM documents),
+    size AS (SELECT doc_id, count(*) AS length FROM tok GROUP BY doc_id), stats AS (SELECT count(*) AS docs, avg(length) AS mean FROM size)"""
+
+
+@query(FOLDED_SQL + _rank("term IN ('uber', 'fur') OR starts_with(term, 'gro')", "SELECT DISTINCT doc_id FROM tok WHERE term IN ('uber', 'fur') OR starts_with(term, 'gro')"))
+def search_folded(spark, sf_dir):
+    """Words of any script without accents: `Über` finds `uber` and `über`."""
+    return stored(spark, sf_dir, "unicode").search(any_of=["Über", "für"], prefix=["Gro"])
+
+
+@query(FOLDED_SQL + " SELECT field, count(*) AS tokens, count(DISTINCT term) AS terms, count(DISTINCT doc_id) AS docs FROM tok GROUP BY field")
+def search_folded_stats(spark, sf_dir):
+    return stored(spark, sf_dir, "unicode").statistics()
+
+
+UPDATED = INDEX_SQL.replace("WITH tok", "WITH changed AS (SELECT doc_id, CASE WHEN doc_id % 100 = 7 THEN 'Newly licensed under other terms ' || doc_id::VARCHAR ELSE text END AS text, source FROM documents WHERE doc_id % 100 <> 9), tok").replace("FROM documents", "FROM changed").replace("FROM changed WHERE", "FROM documents WHERE", 1)
+
+
+def _updated(spark, sf_dir) -> SearchIndex:
+    """The stored index after two updates: a hundredth of the documents with new texts, another hundredth deleted."""
+    docs = table(spark, sf_dir, "documents")
+    new = docs.filter("doc_id % 100 = 7").withColumn("text", F.concat(F.lit("Newly licensed under other terms "), F.col("doc_id").cast("string")))
+    index = SearchIndex.build(docs, "doc_id", {"body": "text", "source": "source"})
+    return index.update(new).update(deleted=docs.filter("doc_id % 100 = 9").select("doc_id"))
+
+
+@query(UPDATED + _rank("term IN ('licensed', 'under')", """
+    SELECT DISTINCT a.doc_id FROM tok a JOIN tok b ON b.doc_id = a.doc_id AND b.field = a.field AND b.pos = a.pos + 1 WHERE a.term = 'licensed' AND b.term = 'under' """))
+def search_updated(spark, sf_dir):
+    return _updated(spark, sf_dir).search(phrase=["licensed", "under"])
+
+
+@query(UPDATED + " SELECT field, count(*) AS tokens, count(DISTINCT term) AS terms, count(DISTINCT doc_id) AS docs FROM tok GROUP BY field")
+def search_compacted(spark, sf_dir):
+    return _updated(spark, sf_dir).compact().statistics()

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 
@@ -26,3 +27,8 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def joinable(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """A broadcast of df where it has been counted to be small; else the join shuffles, and AQE splits skew."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
