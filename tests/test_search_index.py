@@ -66,7 +66,9 @@ def test_prefix_with_many_terms_gives_the_same(index, monkeypatch):
 
 def test_keywords_of_several_words_and_capitals(index, spark):
     asked = spark.createDataFrame([("a", "Key Light"), ("b", "ARRI"), ("b", "café"), ("c", "light key light"), ("d", "no such"), ("e", "!")], "name string, keyword string")
-    assert {r["name"]: r.hits for r in index.hit_counts(asked).collect()} == {"a": 2, "b": 2, "c": 1, "d": 0, "e": 0}
+    assert {r["name"]: r.hits for r in index.hit_counts(asked, phrase=True).collect()} == {"a": 2, "b": 2, "c": 1, "d": 0, "e": 0}
+    assert {r["name"]: r.hits for r in index.hit_counts(asked, ["text"]).collect()} == {"a": 3, "b": 2, "c": 3, "d": 0, "e": 0}
+    assert index.hit_counts(asked.limit(0)).count() == 0
 
 
 def files(root):

@@ -53,30 +53,53 @@ def _phrase_hits(words: Column, keywords: list[str]) -> Column:
     return F.concat(*[found(n, own) for n, own in sorted(by_size.items())]) if by_size else F.array().cast("array<string>")
 
 
+#: A word character as dictionaries see it, and the pieces of a text: runs of word characters, or one other character.
+WORD_CHAR = r"[\p{L}\p{N}_]"
+PIECE = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+
+
+def _bounded(keyword: Column) -> Column:
+    """A pattern of the keyword, as it is written, between word boundaries; it looks ahead, so that occurrences may overlap."""
+    quoted = F.concat(F.lit(r"\Q"), F.replace(keyword, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    return F.concat(F.lit(f"(?<!{WORD_CHAR})(?="), quoted, F.lit(f"(?!{WORD_CHAR}))"))
+
+
+def _written_hits(texts: DataFrame, known: DataFrame, key: list[str], text: str) -> DataFrame:
+    """(key..., keyword, n) of keywords that hold more than the tokens' letters. Each is filed under its longest piece; the distinct pieces
+    of the texts meet these by equality, and what meets is looked for in the text itself. Texts move for such pairs only."""
+    low = F.lower("keyword")
+    pieces = F.regexp_extract_all(low, F.lit(PIECE), F.lit(0))
+    longest = F.element_at(F.array_sort(F.transform(pieces, lambda p: F.struct((-F.char_length(p)).alias("n"), p.alias("p")))), 1)["p"]
+    filed = known.select("keyword", F.when(F.size(pieces) > 0, longest).alias("_piece")).filter("_piece is not null")
+    there = texts.select(*key, F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(PIECE), F.lit(0)))).alias("_piece"))
+    met = there.join(filed, "_piece").select(*key, "keyword")
+    n = F.regexp_count("_low", _bounded(F.lower("keyword")))
+    return texts.select(*key, F.lower(text).alias("_low")).join(met, key).select(*key, "keyword", n.cast("long").alias("n")).filter("n > 0")
+
+
 def dictionary_hits(texts: DataFrame, dictionary: DataFrame, key: list[str], text: str, small: int = 2000) -> DataFrame:
     """(key..., class, keyword, n): counts of dictionary keywords on word boundaries. Overlapping keywords each count.
 
-    Keywords may have any number of words. Up to `small` of them (counted) are looked up inside each row, so that hits alone are
-    exploded; more meet the n-grams of the texts by an equality join, for the lengths that the dictionary has. Keywords that
-    are not made of the tokens' letters (accents, signs) are matched on Unicode word boundaries.
+    Keywords may have any number of words and of characters. Those of the tokens' letters are compared with tokens: up to `small` of them
+    (counted) are looked up inside each row, so that hits alone are exploded; more meet the n-grams of the texts by an equality join, for
+    the lengths that the dictionary has. Others (accents, signs, capitals as written in lower case) are matched as they are written, on
+    Unicode word boundaries, by way of their longest piece. The result doesn't depend on the size of the dictionary. Null and blank
+    keywords match nothing; key names one row of texts.
     """
     known = dictionary.select("keyword").filter("keyword is not null").distinct()
-    odd = ~F.col("keyword").rlike(rf"^({TOKEN})( ({TOKEN}))*$")
-    few = [r.keyword for r in known.limit(small + 1).collect()]
+    plain = F.col("keyword").rlike(rf"^({TOKEN})( ({TOKEN}))*$")
+    few = [r.keyword for r in known.filter(plain).limit(small + 1).collect()]
     words = tokens(F.col(text))
     if len(few) <= small:
-        plain = {r.keyword for r in known.filter(~odd).collect()}
-        own = texts.select(*key, F.lower(text).alias("_low"), words.alias("_words"))
-        hits = _phrase_hits(F.col("_words"), sorted(plain))
-        for k in sorted(set(few) - plain):
-            n = F.regexp_count("_low", F.lit(r"(?<![\p{L}\p{N}_])\Q" + k.lower() + r"\E(?![\p{L}\p{N}_])"))
-            hits = F.concat(hits, F.array_repeat(F.lit(k), n))
-        counts = own.select(*key, F.explode(hits).alias("keyword"))
+        found = texts.select(*key, words.alias("_words")).select(*key, F.explode(_phrase_hits(F.col("_words"), sorted(few))).alias("keyword"))
     else:
-        sizes = [r.n for r in known.filter(~odd).select((F.size(F.split("keyword", " "))).alias("n")).distinct().collect()]
+        sizes = [r.n for r in known.filter(plain).select((F.size(F.split("keyword", " "))).alias("n")).distinct().collect()]
         grams = texts.select(*key, words.alias("_words")).select(*key, F.explode(F.concat(*[ngrams(F.col("_words"), n) for n in sorted(sizes)])).alias("keyword"))
-        counts = grams.join(known, "keyword", "left_semi")
-    counts = counts.groupBy(*key, "keyword").agg(F.count(F.lit(1)).alias("n"))
+        found = grams.join(known.filter(plain), "keyword", "left_semi")
+    counts = found.groupBy(*key, "keyword").agg(F.count(F.lit(1)).alias("n"))
+    written = known.filter(~plain)
+    if not written.isEmpty():
+        counts = counts.unionByName(_written_hits(texts, written, key, text))
     return counts.join(dictionary, "keyword").select(*key, *[c for c in dictionary.columns if c not in ("keyword", *key)], "keyword", "n")
 
 

@@ -23,11 +23,10 @@ def coverage_delta(now: DataFrame, before: DataFrame) -> DataFrame:
     return now.join(old, "forum_slug", "left").select("forum_slug", (F.col("topics_scraped") - F.coalesce("old", F.lit(0))).alias("delta"), F.col("old").isNull().alias("is_new"))
 
 
-def question_coverage(questions: DataFrame, texts: DataFrame, key: str, text: str, most: int = 1000) -> DataFrame:
-    """(name, hits, enough) of questions(name, keyword, least): hits of a keyword count up to `most`."""
-    words = texts.select(key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("keyword"))
-    hits = words.join(questions.select("keyword").distinct(), "keyword", "left_semi").groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
-    joined = questions.join(hits, "keyword", "left").withColumn("n", F.least(F.coalesce("n", F.lit(0)), F.lit(most)))
+def question_coverage(questions: DataFrame, keyword_hits: DataFrame, most: int = 1000) -> DataFrame:
+    """(name, hits, enough) of questions(name, keyword, least), with keyword_hits(keyword, hits) from a search for each keyword: hits of
+    a keyword count up to `most`."""
+    joined = questions.join(keyword_hits, "keyword", "left").withColumn("n", F.least(F.coalesce("hits", F.lit(0)), F.lit(most)))
     return joined.groupBy("name").agg(F.sum("n").cast("long").alias("hits"), (F.sum("n") >= F.max("least")).alias("enough"))
 
 

@@ -61,16 +61,26 @@ def coverage_span(topics: DataFrame, forums: DataFrame) -> DataFrame:
     return joined.select("forum_slug", name.alias("name"), "topics_scraped", F.coalesce("total_topics", "topics_scraped").alias("total_topics"), "first_scraped", "last_scraped")
 
 
-def question_report(questions: DataFrame, texts: DataFrame, key: str, text: str, forum: str, most: int = 1000) -> DataFrame:
+def keyword_hits(keywords: DataFrame, texts: DataFrame, text: str) -> DataFrame:
+    """(keyword, hits): texts that hold all words of a keyword, whatever its capitals. One join by word; without an index."""
+    words = tokens(F.col("keyword"))
+    asked = keywords.select("keyword", F.size(F.array_distinct(words)).alias("n"), F.explode(F.array_distinct(words)).alias("word")).distinct()
+    numbered = texts.select(F.monotonically_increasing_id().alias("_row"), F.array_distinct(tokens(F.col(text))).alias("words"))
+    there = numbered.select("_row", F.explode("words").alias("word"))
+    met = there.join(asked, "word").groupBy("keyword", "n", "_row").agg(F.count(F.lit(1)).alias("met")).filter("met = n")
+    return met.groupBy("keyword").agg(F.count(F.lit(1)).alias("hits"))
+
+
+def question_report(questions: DataFrame, texts: DataFrame, key: str, text: str, forum: str, most: int = 1000, hits: DataFrame | None = None) -> DataFrame:
     """(name, hits, complete, note) of questions(name, keywords array, forums array, least).
 
-    Hits of a keyword count up to `most`. Complete: at least half of the required forums occur and hits reach `least`;
-    the note names the missing forums first, in order, else the shortfall.
+    Keywords may have several words and capitals; a text with all words of a keyword is a hit. hits(keyword, hits) may come from a stored
+    index (SearchIndex.hit_counts). Hits of a keyword count up to `most`. Complete: at least half of the required forums occur and hits
+    reach `least`; the note names the missing forums first, in order, else the shortfall.
     """
     wanted = questions.select("name", F.explode("keywords").alias("keyword"))
-    words = texts.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("keyword"))
-    counts = words.join(wanted.select("keyword").distinct(), "keyword", "left_semi").groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
-    hits = wanted.join(counts, "keyword", "left").groupBy("name").agg(F.sum(F.least(F.coalesce("n", F.lit(0)), F.lit(most))).alias("hits"))
+    found = keyword_hits(wanted, texts, text) if hits is None else hits
+    hits = wanted.join(found, "keyword", "left").groupBy("name").agg(F.sum(F.least(F.coalesce("hits", F.lit(0)), F.lit(most))).alias("hits"))
     there = texts.select(F.col(forum).alias("forum")).distinct().withColumn("there", F.lit(True))
     required = questions.select("name", F.explode("forums").alias("forum")).distinct().join(there, "forum", "left")
     forums = required.groupBy("name").agg(F.count(F.lit(1)).alias("required"), F.count("there").alias("available"), F.array_sort(F.collect_set(F.when(F.col("there").isNull(), F.col("forum")))).alias("missing"))

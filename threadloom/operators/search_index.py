@@ -197,21 +197,28 @@ class SearchIndex:
         part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(self.total / max(self.docs, 1))))
         return scored.groupBy(self.key).agg(F.round(F.sum(part), 6).alias("score")).orderBy(F.desc("score"), self.key).limit(limit)
 
-    def hit_counts(self, queries: DataFrame) -> DataFrame:
-        """(name, hits) for queries(name, keyword), of any number: documents with the keyword, or with its words in a row in one field.
+    def hit_counts(self, queries: DataFrame, columns: Iterable[str] = (), phrase: bool = False) -> DataFrame:
+        """(name, hits) for queries(name, keyword), of any number: documents that hold all words of one of the name's keywords, or with
+        `phrase` these words in a row in one field.
 
-        Keywords are cut as texts are, so `Key Light` is found where the words follow each other. The keywords meet the postings in one
-        join by term; words of a keyword meet by position.
+        Keywords are cut as texts are, so capitals and several words are found. The keywords meet the postings in one join by term, which
+        reads the buckets of their terms if these are few; words of a phrase meet by position.
         """
         words = TOKENS[self.tokens](F.col("keyword"))
         asked = queries.select("name", F.xxhash64("name", "keyword").alias("q"), F.size(words).alias("n"), F.posexplode(words).alias("i", "term"))
         if self.stem:
             asked = asked.withColumn("term", stemmed("term"))
         some = [r.term for r in asked.select("term").distinct().limit(PREFIX_TERMS + 1).collect()]
-        rows = self.live(F.col("term").isin(some)) if len(some) <= PREFIX_TERMS else self.live()  # few terms: their buckets only
-        at = asked.join(rows, "term").select("name", "q", "n", "i", "field", self.key, F.explode("positions").alias("p"))
-        rows = at.groupBy("name", "q", "n", "field", self.key, (F.col("p") - F.col("i")).alias("first")).agg(F.count(F.lit(1)).alias("met")).filter("met = n")
-        hits = rows.select("name", self.key).distinct().groupBy("name").agg(F.count(F.lit(1)).alias("hits"))
+        test = F.col("term").isin(some) if len(some) <= PREFIX_TERMS else F.lit(True)
+        if columns:
+            test = test & F.col("field").isin(list(columns))
+        at = asked.join(self.live(test), "term")
+        if phrase:
+            at = at.select("name", "q", "n", "i", "field", self.key, F.explode("positions").alias("p"))
+            met = at.groupBy("name", "q", "n", "field", self.key, (F.col("p") - F.col("i")).alias("first")).agg(F.count(F.lit(1)).alias("met"))
+        else:
+            met = at.groupBy("name", "q", "n", self.key).agg(F.count_distinct("i").alias("met"))
+        hits = met.filter("met = n").select("name", self.key).distinct().groupBy("name").agg(F.count(F.lit(1)).alias("hits"))
         return queries.select("name").distinct().join(hits, "name", "left").select("name", F.coalesce("hits", F.lit(0)).alias("hits"))
 
     def statistics(self) -> DataFrame:

@@ -65,13 +65,46 @@ def best_overlap(segments: DataFrame, speaker_turns: DataFrame, bin_s: float = 6
     return segments.select(key, "id").join(best, [key, "id"], "left")
 
 
-def topic_tags(segments: DataFrame, dictionary: DataFrame, key: list[str], least: float = 0.3) -> DataFrame:
-    """(key..., class, confidence, keywords): .4 * min(k / 3, 1) + .6 * min(10 k / words, 1) for k matching keywords."""
+def corpus_terms(posts: DataFrame, text: str, topic: str) -> tuple[DataFrame, DataFrame]:
+    """(term, tfidf) of a corpus, tf * ln(documents / df), and its index (term, topic, n) of the documents of a topic that hold a term.
+
+    Per document first, so that a hot term crosses the shuffle once per document and task."""
+    numbered = posts.select(F.monotonically_increasing_id().alias("_doc"), F.col(topic).alias("topic"), F.col(text).alias("text"))
+    words = numbered.select("_doc", "topic", F.explode(tokens(F.col("text"))).alias("term"))
+    per_doc = words.groupBy("_doc", "topic", "term").agg(F.count(F.lit(1)).alias("n"))
+    stats = per_doc.groupBy("term").agg(F.sum("n").alias("tf"), F.count(F.lit(1)).alias("df"))
+    total = posts.filter(F.col(text) != "").agg(F.count(F.lit(1)).alias("docs"))
+    scored = stats.join(F.broadcast(total)).select("term", (F.col("tf") * F.log(F.col("docs") / F.col("df"))).alias("tfidf"))
+    return scored, per_doc.filter("topic is not null").groupBy("term", "topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+def topic_tags(segments: DataFrame, dictionary: DataFrame, key: list[str], least: float = 0.3, corpus: DataFrame | None = None, index: DataFrame | None = None, related: int = 3) -> DataFrame:
+    """(key..., class, confidence, keywords): .4 * min(k / 3, 1) + .6 * min(10 k / words, 1) for k matching keywords.
+
+    corpus(term, tfidf) adds min(mean tfidf of the matching keywords / 100, .3), up to 1; a keyword that is no term of the corpus adds
+    nothing. index(term, topic, n), from corpus_terms, adds `related`: the topics with most documents that hold the keywords, ties by
+    name. Related topics are ranked once per set of keywords, however many segments share it.
+    """
     long = segments.filter(F.char_length(F.trim("text")) >= 10)
-    hits = dictionary_hits(long, dictionary, key, "text").groupBy(*key, "class").agg(F.count_distinct("keyword").alias("k"), F.array_join(F.array_sort(F.collect_set("keyword")), ",").alias("keywords"))
+    hits = dictionary_hits(long, dictionary, key, "text").select(*key, "class", "keyword").distinct()
+    boost = F.lit(0.0)
+    if corpus is not None:
+        hits = hits.join(corpus.select(F.col("term").alias("keyword"), "tfidf"), "keyword", "left")
+        boost = F.least(F.sum(F.coalesce("tfidf", F.lit(0.0))) / F.count(F.lit(1)) / 100.0, F.lit(0.3))
+    hits = hits.groupBy(*key, "class").agg(F.count(F.lit(1)).alias("k"), F.array_join(F.array_sort(F.collect_set("keyword")), ",").alias("keywords"), boost.alias("boost"))
     sized = long.select(*key, word_count(F.col("text")).alias("w"))
-    score = F.round(0.4 * F.least(F.col("k") / 3.0, F.lit(1.0)) + 0.6 * F.least(10.0 * F.col("k") / F.greatest("w", F.lit(1)), F.lit(1.0)), 3)
-    return hits.join(sized, key).select(*key, "class", score.alias("confidence"), "keywords").filter(F.col("confidence") >= least)
+    score = 0.4 * F.least(F.col("k") / 3.0, F.lit(1.0)) + 0.6 * F.least(10.0 * F.col("k") / F.greatest("w", F.lit(1)), F.lit(1.0))
+    raw = score if corpus is None else F.least(score + F.col("boost"), F.lit(1.0))
+    tags = hits.join(sized, key).withColumn("confidence", raw)
+    tags = tags.filter((F.round("confidence", 3) if corpus is None else F.col("confidence")) >= least).select(*key, "class", F.round("confidence", 3).alias("confidence"), "keywords")
+    if index is None:
+        return tags
+    sets = tags.select("keywords").distinct().select("keywords", F.explode(F.split("keywords", ",")).alias("term"))
+    scores = sets.join(index, "term").groupBy("keywords", "topic").agg(F.sum("n").alias("n"))
+    order = Window.partitionBy("keywords").orderBy(F.desc("n"), "topic")
+    first = scores.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= related)
+    named = first.groupBy("keywords").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "topic"))), lambda x: x["topic"]), ",").alias("related"))
+    return tags.join(named, "keywords", "left").select(*key, "class", "confidence", "keywords", F.coalesce("related", F.lit("")).alias("related"))
 
 
 def mentions(segments: DataFrame, dictionary: DataFrame, key: list[str]) -> DataFrame:

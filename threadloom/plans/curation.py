@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from threadloom.operators import curation as ops
 from threadloom.operators import quality
+from threadloom.plans.search import HOLDS_SQL, keyword_hits
 from threadloom.sources import views
 from threadloom.sources.views import table, with_views
 
@@ -252,13 +253,13 @@ def coverage_ranking(spark, sf_dir):
 
 
 @query("""
-    WITH q AS (SELECT * FROM (VALUES ('q1', 'licensed', 3), ('q1', 'token', 3), ('q2', 'idiot', 2), ('q3', 'neverfound', 1)) AS t(name, keyword, least)),
-    h AS (SELECT q.name, q.least, q.keyword, count(d.doc_id) AS hits FROM q LEFT JOIN documents d ON list_contains(regexp_extract_all(lower(d.text), '[a-z][a-z0-9''-]*[a-z0-9]|[a-z]'), q.keyword) GROUP BY 1, 2, 3)
+    WITH q AS (SELECT * FROM (VALUES ('q1', 'licensed', 3), ('q1', 'token', 3), ('q2', 'idiot', 2), ('q3', 'neverfound', 1), ('q4', 'Of The', 2), ('q4', 'IDIOT', 2)) AS t(name, keyword, least)),
+    h AS (SELECT q.name, q.least, q.keyword, count(d.doc_id) AS hits FROM q LEFT JOIN documents d ON """ + HOLDS_SQL.format("q.keyword") + """ GROUP BY 1, 2, 3)
     SELECT name, sum(least(hits, 1000))::BIGINT AS hits, sum(least(hits, 1000)) >= max(least) AS enough FROM h GROUP BY name""")
 def question_coverage(spark, sf_dir):
     """All keywords of all questions meet the postings in one join; a keyword counts for 1,000 hits at most."""
-    questions = spark.createDataFrame([("q1", "licensed", 3), ("q1", "token", 3), ("q2", "idiot", 2), ("q3", "neverfound", 1)], "name string, keyword string, least int")
-    return quality.question_coverage(questions, table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    questions = spark.createDataFrame([("q1", "licensed", 3), ("q1", "token", 3), ("q2", "idiot", 2), ("q3", "neverfound", 1), ("q4", "Of The", 2), ("q4", "IDIOT", 2)], "name string, keyword string, least int")
+    return quality.question_coverage(questions, keyword_hits(spark, sf_dir, questions))
 
 
 @query(with_views("v_access") + """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from threadloom.operators import curation, reports
 from threadloom.plans import curation as curated
 from threadloom.plans import segments as tagged
+from threadloom.plans.search import HOLDS_SQL, keyword_hits
 from threadloom.sources import views
 from threadloom.sources.views import table, with_views
 
@@ -73,7 +74,7 @@ def coverage_span(spark, sf_dir):
 
 QUESTIONS = [
     ("light", ["the", "and"], ["src0", "src1"], 5), ("half", ["que"], ["src0", "nowhere"], 1), ("absent", ["der"], ["nowhere", "elsewhere", "src0"], 1),
-    ("rare", ["neverfound"], ["src0"], 3), ("free", ["les"], [], 1),
+    ("rare", ["neverfound"], ["src0"], 3), ("free", ["les"], [], 1), ("words", ["Of The", "LICENSED under", "neverfound the"], ["src0"], 7),
 ]
 _QUESTION_ROWS = ", ".join(f"('{n}', {k}::VARCHAR[], {f}::VARCHAR[], {m})" for n, k, f, m in QUESTIONS)
 
@@ -81,7 +82,7 @@ _QUESTION_ROWS = ", ".join(f"('{n}', {k}::VARCHAR[], {f}::VARCHAR[], {m})" for n
 @query(f"""
     WITH q AS (SELECT * FROM (VALUES {_QUESTION_ROWS}) AS t(name, keywords, forums, least)),
     w AS (SELECT name, unnest(keywords) AS keyword FROM q),
-    h AS (SELECT w.name, w.keyword, count(d.doc_id) AS n FROM w LEFT JOIN documents d ON list_contains(regexp_extract_all(lower(d.text), '[a-z][a-z0-9''-]*[a-z0-9]|[a-z]'), w.keyword) GROUP BY ALL),
+    h AS (SELECT w.name, w.keyword, count(d.doc_id) AS n FROM w LEFT JOIN documents d ON {HOLDS_SQL.format("w.keyword")} GROUP BY ALL),
     s AS (SELECT name, sum(least(n, 1000))::BIGINT AS hits FROM h GROUP BY name),
     u AS (SELECT DISTINCT name, unnest(forums) AS forum FROM q),
     m AS (SELECT q.name, coalesce(x.missing, []) AS missing FROM q LEFT JOIN (SELECT name, list(forum ORDER BY forum) AS missing FROM u WHERE forum NOT IN (SELECT source FROM documents WHERE source IS NOT NULL) GROUP BY name) x ON x.name = q.name),
@@ -90,7 +91,8 @@ _QUESTION_ROWS = ", ".join(f"('{n}', {k}::VARCHAR[], {f}::VARCHAR[], {m})" for n
            ELSE '⚠ Only ' || hits || '/' || least || ' posts found' END AS note FROM r""")
 def question_report(spark, sf_dir):
     questions = spark.createDataFrame(QUESTIONS, "name string, keywords array<string>, forums array<string>, least int")
-    return reports.question_report(questions, table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+    hits = keyword_hits(spark, sf_dir, questions.select(F.explode("keywords").alias("keyword")))
+    return reports.question_report(questions, table(spark, sf_dir, "documents"), "doc_id", "text", "source", hits=hits)
 
 
 LOW_SQL = with_views("v_topics") + "," + curated.CATEGORY_SQL + ", low AS (SELECT * FROM cat WHERE reply_count IN (0, 1, 2)), big AS (SELECT category FROM low GROUP BY category HAVING count(*) >= 5)"

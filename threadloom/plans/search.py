@@ -47,6 +47,16 @@ def stored(spark, sf_dir, tokens="words", stem=False) -> SearchIndex:
     return _STORED[name]
 
 
+def keyword_hits(spark, sf_dir, keywords):
+    """(keyword, hits): documents whose texts hold all words of a keyword."""
+    asked = keywords.select(F.col("keyword").alias("name"), "keyword").distinct()
+    return stored(spark, sf_dir).hit_counts(asked, ["body"]).withColumnRenamed("name", "keyword")
+
+
+#: The rule of keyword_hits: all words of the lower-case keyword w are among the words of a text.
+HOLDS_SQL = "list_has_all(regexp_extract_all(lower(d.text), '[a-z][a-z0-9''-]*[a-z0-9]|[a-z]'), regexp_extract_all(lower({}), '[a-z][a-z0-9''-]*[a-z0-9]|[a-z]'))"
+
+
 @query(INDEX_SQL + " SELECT count(DISTINCT doc_id) AS docs, count(*) AS tokens, (SELECT count(*) FROM (SELECT DISTINCT doc_id, field, term FROM tok)) AS postings FROM tok")
 def search_index_build(spark, sf_dir):
     """A new stored index, and what it holds."""

@@ -127,6 +127,25 @@ def topic_tags(spark, sf_dir):
     return ops.topic_tags(views.segments(spark, sf_dir), _dictionary(spark, TOPICS), ["doc_id", "id"])
 
 
+@query(TAGS_SQL + f""",
+    post AS (SELECT doc_id, source, {TOKENS.format("text")} AS ws FROM documents), docs AS (SELECT count(*) AS docs FROM documents WHERE text <> ''),
+    pt AS (SELECT doc_id, source, unnest(ws) AS term FROM post),
+    vocab AS (SELECT term, count(*) * ln(docs / count(DISTINCT doc_id)::DOUBLE) AS tfidf FROM pt, docs GROUP BY term, docs),
+    bk AS (SELECT h.doc_id, h.id, h.class, least(sum(coalesce(tfidf, 0)) / count(*) / 100, 0.3::DOUBLE) AS boost FROM hit h LEFT JOIN vocab ON vocab.term = h.keyword GROUP BY ALL),
+    bt AS (SELECT k.doc_id, k.id, k.class, k.keywords, least(0.4::DOUBLE * least(k / 3.0::DOUBLE, 1.0) + 0.6::DOUBLE * least(10.0::DOUBLE * k / greatest(len(regexp_extract_all(text, '\\S+')), 1), 1.0) + boost, 1.0::DOUBLE) AS confidence
+           FROM k JOIN bk ON bk.doc_id = k.doc_id AND bk.id = k.id AND bk.class = k.class),
+    ix AS (SELECT term, source, count(DISTINCT doc_id) AS n FROM pt WHERE source IS NOT NULL GROUP BY ALL),
+    sets AS (SELECT DISTINCT keywords FROM bt),
+    rel AS (SELECT keywords, source, row_number() OVER (PARTITION BY keywords ORDER BY sum(n) DESC, source) AS r FROM (SELECT keywords, unnest(string_split(keywords, ',')) AS term FROM sets) s JOIN ix USING (term) GROUP BY keywords, source),
+    named AS (SELECT keywords, string_agg(source, ',' ORDER BY r) AS related FROM rel WHERE r <= 3 GROUP BY keywords)
+    SELECT doc_id, id, class, round(confidence, 3) AS confidence, keywords, coalesce(related, '') AS related FROM bt LEFT JOIN named USING (keywords) WHERE confidence >= 0.3""")
+def topic_tags_by_corpus(spark, sf_dir):
+    """Tags raised by the weight of their keywords in the corpus, with the sources that hold these keywords most."""
+    docs = table(spark, sf_dir, "documents")
+    corpus, index = ops.corpus_terms(docs, "text", "source")
+    return ops.topic_tags(views.segments(spark, sf_dir), _dictionary(spark, TOPICS), ["doc_id", "id"], corpus=corpus, index=index)
+
+
 @query(with_views("v_segments") + _hits_sql(FILMS) + " SELECT doc_id, id, class, least(count(*) / 2.0::DOUBLE, 1.0)::DOUBLE AS confidence FROM hit GROUP BY ALL")
 def film_mentions(spark, sf_dir):
     return ops.mentions(views.segments(spark, sf_dir), _dictionary(spark, FILMS), ["doc_id", "id"]).withColumn("confidence", F.col("confidence").cast("double"))
