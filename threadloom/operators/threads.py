@@ -64,24 +64,13 @@ def direct_replies(posts: DataFrame, parents: DataFrame) -> DataFrame:
     return found.select("parent_post_id", "post_id", F.row_number().over(order).alias("ordinal"))
 
 
-def author_subtrees(tree: DataFrame, posts: DataFrame, name: str) -> DataFrame:
-    """(root_id, post_id): nodes whose author contains name, with everything below them: each node meets the roots among its
-    own path's prefixes by equality."""
-    named = tree.join(posts.select("post_id", "author"), "post_id").filter(F.col("author").contains(name)).select("topic_slug", F.col("post_id").alias("root_id"), F.col("path").alias("root_path"))
-    steps = F.split(F.col("path"), r"(?<=\.)")
-    steps = F.filter(steps, lambda s: s != "")
-    prefixes = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), ""))
-    above = tree.select("topic_slug", "post_id", F.explode(prefixes).alias("root_path"))
-    return above.join(named, ["topic_slug", "root_path"]).select("root_id", "post_id")
-
-
 def on_cycles(posts: DataFrame) -> DataFrame:
     """(post_id, cycle_length) of the posts whose parent chain comes back to themselves; cycles of any length.
 
     Posts that some post names as parent and that have a parent jump up by 1, 2, 4, ... parents; a post whose chain ends
-    drops out. After as many steps as there can be such posts only cycles lead anywhere and each jump ends on one.
+    drops out. An id of several posts goes by the least of their parents. After as many steps as there can be such posts only cycles lead anywhere and each jump ends on one.
     """
-    links = posts.filter("parent_post_id is not null").select("post_id", "parent_post_id").distinct()
+    links = posts.filter("parent_post_id is not null").groupBy("post_id").agg(F.min("parent_post_id").alias("parent_post_id"))
     links = materialize(links)
     inner = links.join(links.select(F.col("parent_post_id").alias("post_id")).distinct(), "post_id", "left_semi")
     walk = materialize(inner.select(F.col("post_id").alias("start"), F.col("parent_post_id").alias("at"), F.col("post_id").alias("least")))

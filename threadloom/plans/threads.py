@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadloom.operators import quality
+from threadloom.operators import intervals, quality
 from threadloom.operators import threads as ops
 from threadloom.sources import views
 from threadloom.sources.views import with_views
@@ -40,16 +40,21 @@ def reply_tree_recursive(spark, sf_dir):
 
 @query(with_views("v_posts", recursive=True) + TREE_SQL + " SELECT topic_slug, count(*) AS total, count(*) - 1 AS replies, max(depth) AS max_depth FROM tree GROUP BY topic_slug")
 def thread_stats(spark, sf_dir):
-    return ops.thread_stats(ops.reply_tree(views.posts(spark, sf_dir)))
+    return ops.thread_stats(intervals.tree_intervals(views.posts(spark, sf_dir)))
+
+
+@query(with_views("v_posts", recursive=True) + TREE_SQL + """,
+    placed AS (SELECT *, row_number() OVER (PARTITION BY topic_slug ORDER BY path) - 1 AS first FROM tree)
+    SELECT p.topic_slug, p.post_id, p.depth, p.first, (SELECT max(b.first) FROM placed b WHERE b.topic_slug = p.topic_slug AND starts_with(b.path, p.path)) AS last FROM placed p""")
+def tree_intervals(spark, sf_dir):
+    return intervals.tree_intervals(views.posts(spark, sf_dir))
 
 
 @query(with_views("v_posts", recursive=True) + TREE_SQL + """
     SELECT topic_slug, post_id, row_number() OVER (PARTITION BY topic_slug ORDER BY path) AS ordinal FROM tree""")
 def rebuild_trees(spark, sf_dir):
     """Depth-first order of the topics that have no tree yet, which here are all."""
-    from pyspark.sql import Window
-
-    return ops.reply_tree(views.posts(spark, sf_dir)).select("topic_slug", "post_id", F.row_number().over(Window.partitionBy("topic_slug").orderBy("path")).alias("ordinal"))
+    return intervals.tree_intervals(views.posts(spark, sf_dir)).select("topic_slug", "post_id", (F.col("first") + 1).alias("ordinal"))
 
 
 @query(with_views("v_posts") + """
@@ -64,7 +69,7 @@ def direct_replies(spark, sf_dir):
     SELECT r.post_id AS root_id, t.post_id FROM tree r JOIN v_posts p ON p.post_id = r.post_id JOIN tree t ON t.topic_slug = r.topic_slug AND starts_with(t.path, r.path) WHERE contains(p.author, 'assistant_1')""")
 def author_subtrees(spark, sf_dir):
     posts = views.posts(spark, sf_dir)
-    return ops.author_subtrees(ops.reply_tree(posts), posts, "assistant_1")
+    return intervals.author_subtrees(intervals.tree_intervals(posts), posts, "assistant_1")
 
 
 FAULTY = """,
@@ -87,6 +92,23 @@ def cycle_check(spark, sf_dir):
     return ops.on_cycles(_faulty(spark, sf_dir))
 
 
+RINGS = """,
+    ring AS (SELECT post_id, CASE WHEN turn > 0 THEN conv_id::VARCHAR || '-' || CASE WHEN turn = max(turn) OVER (PARTITION BY conv_id) THEN 1 ELSE turn + 1 END END AS parent_post_id FROM v_posts)"""
+
+
+@query(with_views("v_posts", recursive=True) + RINGS + """,
+    walk AS (SELECT post_id AS start, parent_post_id AS up, [post_id, parent_post_id] AS cycle FROM ring WHERE parent_post_id IS NOT NULL
+             UNION ALL SELECT w.start, r.parent_post_id, list_append(w.cycle, r.parent_post_id) FROM walk w JOIN ring r ON r.post_id = w.up WHERE r.parent_post_id IS NOT NULL AND w.up > w.start)
+    SELECT len(cycle)::INTEGER - 1 AS cycle_length, cycle FROM walk WHERE up = start""")
+def cycle_lists(spark, sf_dir):
+    """All replies of each topic in one ring: each names the next as its parent, the last the first."""
+    posts = views.posts(spark, sf_dir)
+    last = posts.groupBy("conv_id").agg(F.max("turn").alias("last"))
+    after = F.when(F.col("turn") == F.col("last"), 1).otherwise(F.col("turn") + 1)
+    ring = posts.join(last, "conv_id").withColumn("parent_post_id", F.when(F.col("turn") > 0, F.concat_ws("-", "conv_id", after)))
+    return intervals.cycle_lists(ring)
+
+
 @query(with_views("v_posts") + FAULTY + """
     SELECT 'warning' AS severity, 'empty_content' AS rule, post_id AS key FROM bad WHERE content_text IS NULL OR trim(content_text) = ''
     UNION ALL SELECT 'warning', 'missing_author', post_id FROM bad WHERE author IS NULL
