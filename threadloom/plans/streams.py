@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from threadloom.sources.scratch import scratch
 from threadloom.streaming import jobs
+from threadloom.streaming.refresh import items, keyed_state, refreshes
 
 QUERIES, ORACLE_SQL = {}, {}
 EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
@@ -47,7 +48,30 @@ def stream_upsert(spark, sf_dir):
     updates = _events(spark, sf_dir).select("user_id", F.md5(F.col("event_type").cast("binary")).alias("content_hash"), "event_id")
     q = jobs.upsert_stream(updates, f"{path}/table", f"{path}/checkpoint", "user_id", "event_id")
     q.awaitTermination()
-    return jobs.last_generation(spark, f"{path}/table", q)
+    return jobs.read_upserted(spark, f"{path}/table", updates.schema).drop("_bucket")
+
+
+@query("SELECT user_id AS episode_id, max_by(event_id, (ts, event_id)) AS run_id FROM events WHERE event_type <> 'error' GROUP BY user_id")
+def stream_manifests(spark, sf_dir):
+    """Runs as they come in; the last good run of an episode is its canonical one."""
+    path = scratch(spark)
+    runs = _events(spark, sf_dir).filter("event_type <> 'error'").select(F.col("user_id").alias("episode_id"), F.col("event_id").alias("run_id"), F.struct("ts", "event_id").alias("created_at"))
+    jobs.canonical_runs(runs, f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    return jobs.read_upserted(spark, f"{path}/table", runs.schema).select("episode_id", "run_id")
+
+
+@query("""
+    WITH e AS (SELECT (user_id % 500)::VARCHAR AS key, epoch_ms(ts) AS t, event_id, event_type FROM events),
+    f AS (SELECT *, CASE WHEN t - lag(t) OVER w < 3600000 THEN 0 ELSE 1 END AS fresh FROM e WINDOW w AS (PARTITION BY key ORDER BY t, event_id)),
+    s AS (SELECT *, sum(fresh) OVER (PARTITION BY key ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS burst FROM f),
+    b AS (SELECT key, burst, count(*) AS changes, max(t) AS t, arg_max(event_type, (t, event_id)) AS value FROM s GROUP BY ALL),
+    c AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY t DESC) AS r FROM b WHERE t + 3600000 <= (SELECT max(t) - 600000 FROM e))
+    SELECT key, value, changes, t AS "at" FROM c WHERE r = 1 AND value <> 'error'""")
+def stream_refresh(spark, sf_dir):
+    """Items after debounced changes of one hour's gap; an error takes an item out. Bursts that the watermark has not closed wait."""
+    changes = _events(spark, sf_dir).selectExpr("cast(user_id % 500 as string) as key", "ts", "event_id as seq", "event_type = 'error' as gone", "event_type as value")
+    with keyed_state(spark):
+        return items(_final(refreshes(changes, "1 hour"), spark, "append"))
 
 
 @query("""

@@ -6,33 +6,55 @@ the caller wants a bounded run. State is bounded by watermarks, or by keys that
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from threadloom.sources.scratch import materialize
 from threadloom.sources.sinks import changed_only, upsert_leaves
 
 
 def read_stream(spark: SparkSession, schema: str, path: str, kind: str = "parquet", files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).format(kind).load(path)
+    """A stream of files. Lines of text formats that don't parse are passed over."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).option("mode", "DROPMALFORMED").format(kind).load(path)
 
 
-def upsert_stream(updates: DataFrame, target: str, checkpoint: str, key: str, version: str):
-    """Each batch keeps its changed rows and writes the merged table as the next generation under target/gen=N.
+def read_upserted(spark: SparkSession, target: str, schema) -> DataFrame:
+    """The table that upsert_stream keeps; empty before its first batch."""
+    kept = StructType([*schema.fields, StructField("_bucket", IntegerType())])
+    try:
+        return spark.read.schema(kept).parquet(target)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], kept)
 
-    A batch that runs again reads the generation before its own, so its result is the same.
+
+def upsert_stream(updates: DataFrame, target: str, checkpoint: str, key: str, version: str, content_hash: str | None = "content_hash", buckets: int = 16):
+    """Each batch writes its latest rows of changed keys into the table at target, which is partitioned by a hash of the key.
+
+    Rows whose content_hash is known are passed over (with None, none is). Only the buckets of changed rows are read and written again. A
+    batch that runs again after a failure meets its own rows, which win or tie by version, so its result is the same.
     """
     def merge(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        old = spark.read.schema(batch.schema).parquet(f"{target}/gen={n - 1}") if n else None
-        fresh = upsert_leaves(None, batch, [key], version)
-        table = fresh if old is None else upsert_leaves(old, changed_only(old, fresh, key), [key], version)
-        table.write.mode("overwrite").parquet(f"{target}/gen={n}")
+        spark, schema = batch.sparkSession, batch.schema
+        fresh = upsert_leaves(None, batch, [key], version).withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets)))
+        old = read_upserted(spark, target, schema)
+        if content_hash:
+            fresh = changed_only(old, fresh, key, content_hash)
+        fresh = materialize(fresh)
+        touched = [r[0] for r in fresh.select("_bucket").distinct().collect()]  # at most `buckets`
+        if touched:
+            merged = materialize(upsert_leaves(old.filter(F.col("_bucket").isin(touched)), fresh, [key], version))
+            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(target)
 
     return updates.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def last_generation(spark: SparkSession, target: str, query) -> DataFrame:
-    return spark.read.parquet(f"{target}/gen={query.lastProgress['batchId']}")
+def canonical_runs(manifests: DataFrame, target: str, checkpoint: str):
+    """A stream of run manifests(episode_id, run_id, created_at, ...): the run that came last becomes an episode's canonical one."""
+    return upsert_stream(manifests, target, checkpoint, "episode_id", "created_at", content_hash=None)
 
 
 def access_counts(log: DataFrame, key: str = "topic_id") -> DataFrame:
@@ -56,12 +78,17 @@ def run_to_table(df: DataFrame, spark: SparkSession, path: str, mode: str, check
     def write(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/gen={n}")
 
-    query = df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    done = query.lastProgress
-    if done is None:
+    df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    kept = StructType([*df.schema.fields, StructField("gen", LongType())])
+    try:
+        rows = spark.read.schema(kept).parquet(path)
+    except AnalysisException as e:  # no batch, no result
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], df.schema)
-    return spark.read.schema(df.schema).parquet(f"{path}/gen={done['batchId']}" if mode == "complete" else f"{path}/gen=*")
+    if mode == "complete":
+        rows = rows.filter(F.col("gen") == rows.agg(F.max("gen")).first()[0])
+    return rows.drop("gen")
 
 
 def to_parquet(df: DataFrame, path: str, checkpoint: str):
