@@ -88,7 +88,6 @@ def test_near_copies_of_a_large_loose_group(spark, monkeypatch):
         for _ in range(rng.choice([1, 2, 4, 5, 7])):
             own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
         texts.append(" ".join(own))
-    monkeypatch.setattr(minhash, "BLOCK", 7)
     monkeypatch.setattr(minhash, "SHARE", 5)
     part = brute_near(texts)
     got = {r.doc_id: (r.component_id, r.kept) for r in simhash.near_duplicates(frame(spark, texts)).collect()}

@@ -3,10 +3,11 @@
 The helper of simhash.near_duplicates for similarities that 3 bits of a SimHash can't reach. Documents of similarity s share
 a band of `rows` minima with probability s^rows: two or more of 40 bands of 6 rows at 0.8 with 0.9999, above nearly always.
 
-Only components are asked for, so a bucket is linked without all of its pairs: its members are checked against one of them,
-chosen by a hash, so that a document that is in many buckets of a large group meets many others. The members that are then
-not in their centre's component, the strays, are checked against all members of other components: tasks hold an index of the
-shingles of a block of strays and stream the members past it, so that no pair but a link is ever a row.
+Only components are asked for, so a bucket is linked without all of its pairs: its members outside of a centre's component are checked against
+the centre, chosen by a hash, so that a document that is in many buckets of a large group meets many others. A centre that has met all
+others leaves its bucket; rounds with new centres go on over the buckets that still hold several components, until none is left or
+QUIET rounds in a row add no link. Buckets of up to as many members as rounds are thus examined whole; in larger ones a
+link can be missed only between documents that have met none of their near copies as a centre in any of their shared buckets.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from .common import joinable, materialize, slices
 from .components import connected_components
 
 BANDS, ROWS = 40, 6
-#: Strays of a block.
-BLOCK = 200
+#: Rounds in a row without a new link after which the search for links ends.
+QUIET = 2
 #: Pairs of one node that are checked by one task.
 SHARE = 1000
 
@@ -96,77 +97,39 @@ def _can_be(x: str, y: str, least: float) -> Column:
     return F.least(x, y) >= F.greatest(x, y) * F.lit(least)
 
 
-def _with_centre(members: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """members(bucket, node, n) of buckets of two or more parts, with their part, their bucket's centre and whether they
-    are strays, outside of the centre's part."""
-    if parts is None:
-        members = members.withColumn("part", F.col("node"))
-    else:
-        members = members.join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
+def _stars(members: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(members without their buckets' centres, pairs(a, b) of the centres and the members of other parts) of members(bucket, node, n,
+    part); buckets of one part are left out."""
     order = F.xxhash64("bucket", "node")
     centre = members.groupBy("bucket").agg(
         F.min_by("node", order).alias("centre"), F.min_by("n", order).alias("centre_n"), F.min_by("part", order).alias("centre_part"), F.min("part").alias("_low"), F.max("part").alias("_high"))
-    centred = members.join(centre.filter("_low < _high").drop("_low", "_high"), "bucket")
-    return centred.withColumn("stray", F.col("part") != F.col("centre_part"))
-
-
-class _Block:
-    """The shingle sets of some strays, by shingle."""
-
-    def __init__(self, rows: list[tuple]):
-        self.nodes, self.parts = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
-        grams = [np.frombuffer(r[2], np.uint64) for r in rows]
-        self.sizes = np.array([len(g) for g in grams])
-        every = np.concatenate(grams)
-        order = np.argsort(every, kind="stable")
-        self.owners = np.repeat(np.arange(len(rows)), self.sizes)[order]
-        self.grams, starts = np.unique(every[order], return_index=True)
-        self.bounds = np.append(starts, len(every))
-
-    def near(self, node: int, part: int, grams: np.ndarray, least: float) -> list[int]:
-        at = np.searchsorted(self.grams, grams)
-        at[at == len(self.grams)] = 0
-        at = at[self.grams[at] == grams]
-        first, counts = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
-        take = np.arange(counts.sum()) + np.repeat(first - np.cumsum(counts) + counts, counts)
-        both = np.bincount(self.owners[take], minlength=len(self.nodes))
-        return self.nodes[(both >= least * (self.sizes + len(grams) - both)) & (self.parts != part)].tolist()
-
-
-def stray_links(members: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
-    """Links between the strays of members(bucket, node, part, stray) and the members of other parts of their buckets."""
-    def run(batches):
-        key, rows, block = None, [], None
-        for b in slices(batches, 500, "grams"):
-            links = []
-            for bucket, share, head, node, part, grams in zip(*(b.column(c).to_pylist() for c in ("bucket", "share", "head", "node", "part", "grams")), strict=True):
-                if (bucket, share) != key:
-                    key, rows, block = (bucket, share), [], None
-                if head:
-                    rows.append((node, part, grams))
-                    continue
-                if not rows:
-                    continue  # no stray was dealt to this share
-                block = block or _Block(rows)
-                links += [(min(node, x), max(node, x)) for x in block.near(node, part, np.frombuffer(grams, np.uint64), least)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-    shares = members.groupBy("bucket").agg(F.ceil(F.count_if("stray") / BLOCK).cast("int").alias("shares")).filter("shares > 0")
-    rows = members.join(shares, "bucket").select("bucket", "node", "part", "stray", "shares")
-    heads = rows.filter("stray").select("bucket", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int").alias("share"), F.lit(True).alias("head"), "node", "part")
-    tails = rows.select("bucket", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(False).alias("head"), "node", "part")
-    asked = materialize(heads.unionByName(tails), "stray-rows")
-    dealt = asked.join(_sets(asked, texts, width), "node").repartition("bucket", "share").sortWithinPartitions("bucket", "share", F.desc("head"))
-    return materialize(dealt.select("bucket", "share", "head", "node", "part", "grams").mapInArrow(run, "a long, b long").distinct(), "stray-links")
+    centred = materialize(members.join(centre.filter("_low < _high").drop("_low", "_high"), "bucket").filter("node <> centre"), "band-members")
+    pairs = centred.filter((F.col("part") != F.col("centre_part")) & _can_be("n", "centre_n", least))
+    return centred.select("bucket", "node", "n", "part"), pairs.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
 
 
 def band_links(signed: DataFrame, texts: DataFrame, width: int, least: float, first: DataFrame) -> DataFrame:
     """(node, component) of the nodes that have a near copy, among signed(node, n, keys): the sizes of the shingle sets and
     the band keys of texts(node, text). first(a, b): candidates of other origin, checked with those of the bands."""
-    members = materialize(_with_centre(signed.select("node", "n", F.explode("keys").alias("bucket")), None), "band-members")
-    stars = members.filter(_can_be("n", "centre_n", least) & F.col("stray")).select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
-    parts = connected_components(similar(materialize(stars.unionByName(first).distinct(), "band-stars"), texts, width, least))
-    members = materialize(_with_centre(members.select("bucket", "node", "n"), parts), "band-members")
-    more = stray_links(members, texts, width, least)
-    # Components of components: the first ones' links stand for all that made them.
-    return connected_components(parts.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    rest, stars = _stars(signed.select("node", "n", F.explode("keys").alias("bucket"), F.col("node").alias("part")), least)
+    parts = materialize(connected_components(similar(materialize(stars.unionByName(first).distinct(), "band-stars"), texts, width, least)), "band-parts")
+    rest, quiet = rest.drop("part").join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node")), 0
+    while quiet < QUIET:
+        rest, stars = _stars(rest, least)
+        stars = materialize(stars, "band-stars")
+        if stars.isEmpty() and rest.isEmpty():
+            break
+        links = similar(stars, texts, width, least)
+        if links.isEmpty():
+            quiet += 1
+            continue
+        quiet = 0
+        # Components of components: only their names are linked anew.
+        name = parts.select("node", F.col("component").alias("part"))
+        named = links.join(name.withColumnsRenamed({"node": "a", "part": "pa"}), "a", "left").join(name.withColumnsRenamed({"node": "b", "part": "pb"}), "b", "left")
+        joined = materialize(connected_components(named.select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"))), "band-joined").withColumnRenamed("node", "part")
+        small = joinable(joined)
+        ends = parts.select("node", F.col("component").alias("part")).unionByName(links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(parts, "node", "left_anti").withColumn("part", F.col("node")))
+        parts = materialize(ends.join(small, "part", "left").select("node", F.coalesce("component", "part").alias("component")), "band-parts")
+        rest = rest.join(small, "part", "left").select("bucket", "node", "n", F.coalesce("component", "part").alias("part"))
+    return parts
