@@ -111,7 +111,11 @@ def _stars(members: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
 def band_links(signed: DataFrame, texts: DataFrame, width: int, least: float, first: DataFrame) -> DataFrame:
     """(node, component) of the nodes that have a near copy, among signed(node, n, keys): the sizes of the shingle sets and
     the band keys of texts(node, text). first(a, b): candidates of other origin, checked with those of the bands."""
-    rest, stars = _stars(signed.select("node", "n", F.explode("keys").alias("bucket"), F.col("node").alias("part")), least)
+    every = signed.select("node", "n", F.explode("keys").alias("bucket"))
+    # Most buckets hold one document; only the names of the others go on, so that the rows of the many never move with their columns.
+    several = materialize(every.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("bucket"), "band-buckets")
+    members = materialize(every.join(joinable(several), "bucket", "left_semi"), "band-members")
+    rest, stars = _stars(members.withColumn("part", F.col("node")), least)
     parts = materialize(connected_components(similar(materialize(stars.unionByName(first).distinct(), "band-stars"), texts, width, least)), "band-parts")
     rest, quiet = rest.drop("part").join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node")), 0
     while quiet < QUIET:
