@@ -57,7 +57,7 @@ def _sets(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     from .simhash import shingle_digests
 
     def run(batches):
-        for b in slices(batches, 500):
+        for b in slices(batches, 500, most=4_000_000):
             grams = [shingle_set(shingle_digests(t or b"", width)).tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(grams, pa.binary())], ["node", "grams"])
 
@@ -73,7 +73,7 @@ def similar(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> Dat
     """
     def run(batches):
         key, own = None, None
-        for b in slices(batches, 500, "grams"):
+        for b in slices(batches, 500, "grams", 4_000_000):
             keep = []
             for a, other, grams in zip(*(b.column(c).to_pylist() for c in ("a", "b", "grams")), strict=True):
                 grams = np.frombuffer(grams, np.uint64)

@@ -160,7 +160,7 @@ def _signatures(rows: DataFrame, width: int) -> DataFrame:
     from .minhash import band_keys, shingle_set
 
     def run(batches):
-        for b in slices(batches):
+        for b in slices(batches, 500, most=2_000_000):
             digests = [shingle_digests(t or b"", width) for t in b.column("text").to_pylist()]
             sets = [shingle_set(d) for d in digests]
             columns = [pa.array([majority(d) for d in digests], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))]
