@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import contains_any, dictionary_hits, whole_days
+from threadloom.sources.scratch import materialize
 
 
 def points(value: Column, steps: list[tuple[float, int]], strict: bool = False) -> Column:
@@ -134,3 +135,52 @@ def running_days(posts: DataFrame) -> DataFrame:
     """Whole days since the author's first post."""
     first = F.min("ts").over(Window.partitionBy("author"))
     return posts.select("post_id", "author", whole_days(first, F.col("ts")).alias("days"))
+
+
+def curation_summary(posts: DataFrame, dimensions: list[str]) -> DataFrame:
+    """(dimension, name, posts, chars) of each value of each dimension and of all posts ('total'), by one pass of grouping sets.
+
+    A null value is named 'none'; without posts there is only the total with zeros.
+    """
+    rows = posts.select(*[F.coalesce(F.col(d).cast("string"), F.lit("none")).alias(d) for d in dimensions], F.char_length("content_text").alias("_n"))
+    keys = [F.col(d) for d in dimensions]
+    # The total comes from the least set: grouping sets give no row for an empty input.
+    sets = rows.groupingSets([[k] for k in keys], *keys).agg(F.count(F.lit(1)).alias("posts"), F.coalesce(F.sum("_n"), F.lit(0)).alias("chars"), *[F.grouping(d).alias(f"_{d}") for d in dimensions])
+    which = F.coalesce(*[F.when(F.col(f"_{d}") == 0, F.lit(d)) for d in dimensions])
+    parts = materialize(sets.select(which.alias("dimension"), F.coalesce(*keys).alias("name"), "posts", "chars"))
+    total = parts.filter(F.col("dimension") == dimensions[0]).agg(F.coalesce(F.sum("posts"), F.lit(0)).alias("posts"), F.coalesce(F.sum("chars"), F.lit(0)).alias("chars"))
+    return parts.unionByName(total.select(F.lit("total").alias("dimension"), F.lit("all").alias("name"), "posts", "chars"))
+
+
+def summary_document(summary: DataFrame, dimensions: list[str], version: str) -> DataFrame:
+    """One JSON document of a summary: the total and, for each of `dimensions` (of few values), the posts by name in order."""
+    part = lambda d: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("dimension") == d, F.struct("name", "posts")))))
+    total = F.coalesce(F.sum(F.when(F.col("dimension") == "total", F.col("posts"))), F.lit(0))
+    found = summary.filter(F.col("dimension").isin("total", *dimensions)).agg(total.alias("total_posts"), *[part(d).alias(d) for d in dimensions])
+    return found.select(F.to_json(F.struct(F.lit(version).alias("curation_version"), "total_posts", *dimensions)).alias("document"))
+
+
+def persona_summary(personas: DataFrame, most: int = 20) -> DataFrame:
+    """(kind, name, tier, score, post_count, expert_topics): a 'tier' row with the number of authors in post_count per tier, an 'author'
+    row for each of the `most` best authors, by score, then name."""
+    personas = materialize(personas.select("author", "tier", "score", "post_count", "expert_topics"))  # read twice
+    tiers = personas.groupBy("tier").agg(F.count(F.lit(1)).alias("post_count"))
+    best = personas.orderBy(F.desc("score"), "author").limit(most)
+    nothing = lambda kind: F.lit(None).cast(kind)
+    of_tiers = tiers.select(F.lit("tier").alias("kind"), F.col("tier").alias("name"), "tier", nothing("double").alias("score"), "post_count", nothing("long").alias("expert_topics"))
+    of_authors = best.select(F.lit("author").alias("kind"), F.col("author").alias("name"), "tier", F.col("score").cast("double").alias("score"), F.col("post_count").cast("long").alias("post_count"), F.col("expert_topics").cast("long").alias("expert_topics"))
+    return of_tiers.unionByName(of_authors)
+
+
+def tier_authors(personas: DataFrame) -> DataFrame:
+    """(tier, author, score, post_count, expert_topics, authors): the authors of each tier with the size of the tier. Written sorted by
+    `write_tier_authors`; rows, so that a tier has no bound."""
+    personas = materialize(personas.select("author", "tier", "score", "post_count", "expert_topics"))  # read twice
+    sizes = personas.groupBy("tier").agg(F.count(F.lit(1)).alias("authors"))
+    return personas.select("tier", "author", F.col("score").cast("double").alias("score"), "post_count", "expert_topics").join(sizes, "tier")
+
+
+def write_tier_authors(authors: DataFrame, path: str) -> None:
+    """JSON lines in a folder per tier, the best author first; a large tier is cut into files in order."""
+    order = ["tier", F.desc("score"), "author"]
+    authors.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("tier").json(path)
