@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.functions.text import dictionary_hits, jaccard_distance, tokens, word_count
+from threadloom.functions.text import clock_of, dictionary_hits, jaccard_distance, tokens, word_count
 
 WEIGHTS = {"coherence": 0.35, "pause": 0.2, "topic": 0.2, "speaker": 0.1, "film": 0.15}
 
@@ -184,13 +184,18 @@ def choose_breaks(scored: DataFrame, least: float = 0.3, apart: float = 120.0, l
 
 
 def chapters(segments: DataFrame, breaks: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Segments with chapter_id (running count of breaks), then one row per chapter."""
+    """One row per chapter: times, segment range, words, speakers, text, the first three texts (opening), topic and film sets.
+
+    Chapters are numbered by the running count of breaks; topics and films (arrays of names) are empty sets where segments lack them.
+    """
     marked = segments.join(breaks.select(key, "id", F.lit(1).alias("_b")), [key, "id"], "left")
     numbered = marked.withColumn("chapter_id", F.sum(F.coalesce("_b", F.lit(0))).over(Window.partitionBy(key).orderBy("id")))
-    return numbered.groupBy(key, "chapter_id").agg(
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda s: s["text"])
+    names = lambda c: F.array_sort(F.filter(F.array_distinct(F.flatten(F.collect_set(c))), lambda x: x != "")) if c in segments.columns else F.array().cast("array<string>")
+    found = numbered.groupBy(key, "chapter_id").agg(
         F.min("start").alias("start_time"), F.max("end").alias("end_time"), (F.max("end") - F.min("start")).alias("duration"), F.min("id").alias("segment_lo"), F.max("id").alias("segment_hi"),
-        F.sum(word_count(F.col("text"))).alias("word_count"), F.array_join(F.array_sort(F.collect_set("speaker")), ",").alias("speakers"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda s: s["text"]), ". ").alias("text"))
+        F.sum(word_count(F.col("text"))).alias("word_count"), F.array_join(F.array_sort(F.collect_set("speaker")), ",").alias("speakers"), texts.alias("_texts"), names("topics").alias("topics"), names("films").alias("films"))
+    return found.withColumns({"text": F.array_join("_texts", ". "), "opening": F.slice("_texts", 1, 3)}).drop("_texts")
 
 
 def key_phrases(chapter_rows: DataFrame, stopwords: list[str], k: int = 10, key: str = "doc_id") -> DataFrame:
@@ -204,22 +209,114 @@ def key_phrases(chapter_rows: DataFrame, stopwords: list[str], k: int = 10, key:
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def chapter_titles(chapter_rows: DataFrame, phrases: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Title: 'Introduction' for the first chapter if it starts at 0, else its first question, else its top three terms."""
-    top = phrases.filter("rank <= 3").groupBy(key, "chapter_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda s: F.initcap(s["term"])), ", ").alias("top"))
-    question = F.regexp_extract(F.substring("text", 1, 2000), r"([^.?!]{10,120}\?)", 1)
-    joined = chapter_rows.join(top, [key, "chapter_id"], "left")
-    title = F.when((F.col("chapter_id") == 0) & (F.col("start_time") == 0), "Introduction").when(question != "", F.trim(question)).otherwise(F.coalesce("top", F.concat(F.lit("Chapter "), F.col("chapter_id") + 1)))
+# The words that titles go by.
+STARTERS = ["what ", "how ", "can you", "could you", "tell us", "when ", "where ", "why ", "do you", "did you", "have you"]
+LEADS = ["So ", "And ", "Now ", "But ", "Well "]
+TRAILS = ["the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by", "from", "about", "into", "your", "you", "our", "his", "her", "its"]
+
+
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
+def _first_words(text: Column, most: int) -> Column:
+    return F.array_join(F.slice(F.filter(F.split(text, r"\s+"), lambda w: w != ""), 1, most), " ")
+
+
+def clean_title(title: Column, most: int = 8) -> Column:
+    """At most so many words, without marks at the end, the first letter a capital; 'Untitled' if nothing is left."""
+    bare = F.regexp_replace(_stripped(title), r"[.,;:\-—–]+$", "")
+    cut = F.when(word_count(bare) > most, _first_words(bare, most)).otherwise(bare)
+    return F.when(bare == "", "Untitled").otherwise(F.concat(F.upper(F.substring(cut, 1, 1)), F.substr(cut, F.lit(2))))
+
+
+def question_title(text: Column, most: int = 8) -> Column:
+    """The question of a segment that ends with one or starts like one, cut to so many words and without a trailing article, pronoun or
+    preposition; null for other segments and for questions of fewer than three words."""
+    t = _stripped(text)
+    asks = t.endswith("?") | F.lower(t).rlike("^(" + "|".join(STARTERS) + ")")
+    trailing = r"(?i)(?:(?:^|\s+)(?:" + "|".join(TRAILS) + "))+$"
+    bare = F.regexp_replace(_stripped(F.regexp_replace(t, r"\?+$", "")), "^" + "".join(f"({w})?" for w in LEADS), "")
+    words = F.regexp_replace(_first_words(bare, 2**31 - 1), trailing, "")
+    cut = F.regexp_replace(_first_words(words, most), trailing, "")
+    return F.when(asks & (word_count(words) >= 3), F.when(word_count(words) > most, cut).otherwise(words))
+
+
+def guest_of(title: Column) -> Column:
+    """The name before a dash in an episode's title, in title case if it was all capitals; null without a dash."""
+    name = F.nullif(F.regexp_extract(_stripped(title), r"^(.+?)\s*[-—–]\s*(.+)$", 1), F.lit(""))
+    proper = F.array_join(F.transform(F.split(F.lower(name), "'"), lambda x: F.initcap(x)), "'")
+    return F.when((name == F.upper(name)) & (name != F.lower(name)), proper).otherwise(name)
+
+
+def chapter_titles(chapter_rows: DataFrame, phrases: DataFrame, key: str = "doc_id", episodes: DataFrame | None = None) -> DataFrame:
+    """(key, chapter_id, title). phrases come from key_phrases, 50 a chapter for the whole rule.
+
+    By turns: 'Introduction' (with the guest, if the episode's title names one) for a first chapter that starts before 30 s; the first
+    film with the best phrase that is no film; the first question among the first three segments; the two best terms of over three
+    letters; 'Chapter n', also for a chapter without any term. episodes(key, title) may be None; an episode without a title has no
+    introduction.
+    """
+    ranked = F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda s: s["term"])
+    joined = chapter_rows.join(phrases.groupBy(key, "chapter_id").agg(ranked.alias("_top")), [key, "chapter_id"], "left")
+    joined = joined.withColumn("_episode", F.lit(" ")) if episodes is None else joined.join(episodes.select(key, F.col("title").alias("_episode")), key, "left")
+    films = F.transform("films", lambda f: F.lower(f))
+    other = F.get(F.filter(F.slice("_top", 1, 5), lambda t: ~F.array_contains(films, t)), F.lit(0))
+    film = F.get("films", F.lit(0))
+    by_film = F.when(other.isNull(), F.concat(F.lit("On "), film)).otherwise(F.concat(film, F.lit(": "), F.initcap(other)))
+    asked = F.get(F.filter(F.transform("opening", lambda t: question_title(t)), lambda q: q.isNotNull()), F.lit(0))
+    long = F.transform(F.slice(F.filter("_top", lambda t: F.char_length(t) > 3), 1, 2), lambda t: F.initcap(t))
+    terms = F.nullif(F.array_join(long, " and "), F.lit(""))
+    numbered = F.concat(F.lit("Chapter "), F.col("chapter_id") + 1)
+    intro = (F.col("chapter_id") == 0) & (F.col("start_time") < 30) & (F.col("_episode") != "")
+    guest = guest_of(F.col("_episode"))
+    title = (
+        F.when(intro, F.concat(F.lit("Introduction"), F.when(guest.isNull(), "").otherwise(F.concat(F.lit(": "), guest))))
+        .when(F.col("_top").isNull(), numbered).when(film.isNotNull(), clean_title(by_film)).when(asked.isNotNull(), clean_title(asked)).otherwise(F.coalesce(clean_title(terms), numbered))
+    )
     return joined.select(key, "chapter_id", title.alias("title"))
 
 
 def chapter_summaries(chapter_rows: DataFrame, stopwords: list[str], sentences: int = 2, words: int = 40, key: str = "doc_id") -> DataFrame:
-    """Extractive summary: sentences of 5 to 35 words without questions, by share of content words (x .8 over 20 words), up
-    to `sentences` and `words`, stopping at the first that doesn't fit; in text order."""
-    split = chapter_rows.select(key, "chapter_id", F.posexplode(F.split("text", r"(?<=[.!?])\s+")).alias("pos", "sentence"))
+    """Extractive summary: sentences of 5 to 35 words that don't end with a question mark, by share of words of over three letters that
+    are no stopwords (x .8 over 20 words), up to `sentences` and `words`, stopping at the first that doesn't fit; the best first, ties
+    in text order."""
+    split = chapter_rows.select(key, "chapter_id", F.posexplode(F.split("text", r"(?<=[.!?])\s+")).alias("pos", "sentence")).withColumn("sentence", _stripped(F.col("sentence")))
     n = word_count(F.col("sentence"))
-    content = F.size(F.filter(tokens(F.col("sentence")), lambda w: ~w.isin(stopwords)))
-    good = split.withColumns({"n": n, "score": content / n * F.when(n > 20, 0.8).otherwise(1.0)}).filter((F.col("n") >= 5) & (F.col("n") <= 35) & ~F.col("sentence").contains("?"))
+    content = F.size(F.filter(F.split(F.lower("sentence"), r"\s+"), lambda w: ~w.isin(stopwords) & (F.char_length(w) > 3)))
+    good = split.withColumns({"n": n, "score": content / n * F.when(n > 20, 0.8).otherwise(1.0)}).filter((F.col("n") >= 5) & (F.col("n") <= 35) & ~F.col("sentence").endswith("?"))
     order = Window.partitionBy(key, "chapter_id").orderBy(F.desc("score"), "pos")
     ranked = good.withColumns({"rank": F.row_number().over(order), "used": F.sum("n").over(order)}).filter((F.col("rank") <= sentences) & (F.col("used") <= words))
-    return ranked.groupBy(key, "chapter_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sentence"))), lambda s: s["sentence"]), " ").alias("summary"))
+    return ranked.groupBy(key, "chapter_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "sentence"))), lambda s: s["sentence"]), " ").alias("summary"))
+
+
+def transcript_texts(segments: DataFrame, facts: DataFrame, chapter_rows: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, segments, chapters, text): a readable transcript per row of facts(key, title, date, duration, language, model, transcribed).
+
+    A head with the facts and the list of chapters, then each segment with its time, after the head of the chapter(title, summary,
+    start_time, segment_lo) that starts with it and the name of a speaker who differs from the last one known; then totals. Missing
+    facts are 'unknown', a null or empty speaker changes nothing, a null text is empty.
+    """
+    order = Window.partitionBy(key).orderBy("id")
+    named = F.nullif(F.col("speaker"), F.lit(""))
+    before = F.last(named, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = chapter_rows.select(key, F.col("segment_lo").alias("id"), F.col("title").alias("_title"), F.col("summary").alias("_summary"))
+    headed = segments.withColumn("_fresh", named.isNotNull() & ~named.eqNullSafe(before)).join(starts, [key, "id"], "left")
+    head = F.concat(F.lit("\n--- "), "_title", F.lit(" ---\n"), F.when(F.coalesce("_summary", F.lit("")) != "", F.concat(F.lit("    "), "_summary", F.lit("\n"))).otherwise(""), F.lit("\n"))
+    whole = F.floor("start").cast("long")
+    time = F.format_string("[%02d:%02d:%06.3f]  ", F.floor(whole / 3600), F.floor(whole % 3600 / 60), F.col("start") % 60)
+    text = F.coalesce("text", F.lit(""))
+    line = F.concat(F.coalesce(head, F.lit("")), F.when(F.col("_fresh"), F.concat(F.lit("\n["), "speaker", F.lit("]\n"))).otherwise(""), time, text)
+    joined = lambda: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda s: s["line"]), "\n")
+    body = headed.select(key, F.col("id").alias("at"), line.alias("line"), word_count(text).alias("w")).groupBy(key).agg(joined().alias("_body"), F.count(F.lit(1)).alias("_n"), F.sum("w").alias("_words"))
+    listed = chapter_rows.select(key, F.col("chapter_id").alias("at"), F.concat(F.lit("  "), clock_of(F.col("start_time")), F.lit("  "), "title").alias("line")).groupBy(key).agg(joined().alias("_list"), F.count(F.lit(1)).alias("_chapters"))
+    total = lambda c: F.coalesce(c, F.lit(0))
+    fact = lambda label, c: F.concat(F.lit(label + ": "), F.coalesce(F.col(c).cast("string"), F.lit("unknown")))
+    seconds = F.floor(F.coalesce("duration", F.lit(0.0))).cast("long")
+    lasting = F.when(seconds >= 3600, F.format_string("%d:%02d:%02d", F.floor(seconds / 3600), F.floor(seconds % 3600 / 60), seconds % 60)).otherwise(F.format_string("%d:%02d", F.floor(seconds / 60), seconds % 60))
+    rule = F.lit("=" * 72)
+    page = F.concat_ws(
+        "\n", fact("TRANSCRIPT", "title"), fact("Date", "date"), F.concat(F.lit("Duration: "), lasting), fact("Language", "language"), fact("Model", "model"), fact("Transcribed", "transcribed"), F.lit(""),
+        F.when(F.col("_chapters") > 0, F.concat(F.lit("CHAPTERS:\n"), "_list", F.lit("\n"))), rule, F.lit(""), "_body", F.lit(""), rule,
+        F.concat(F.lit("Total segments: "), total("_n")), F.concat(F.lit("Total words: "), total("_words")), F.concat(F.lit("Total chapters: "), total("_chapters")))
+    return facts.join(body, key, "left").join(listed, key, "left").select(key, total("_n").alias("segments"), total("_chapters").alias("chapters"), page.alias("text"))

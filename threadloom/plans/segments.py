@@ -9,6 +9,7 @@ from threadloom.functions import text as tx
 from threadloom.operators import review
 from threadloom.operators import segments as ops
 from threadloom.sources import views
+from threadloom.sources.scratch import materialize
 from threadloom.sources.views import table, with_views
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -213,19 +214,19 @@ def break_scores(spark, sf_dir):
 
 
 def _chapters(spark, sf_dir):
-    segs = _tagged(spark, sf_dir)
-    return ops.chapters(segs, ops.choose_breaks(ops.break_scores(segs, STOP)))
+    segs = materialize(_tagged(spark, sf_dir))
+    return materialize(ops.chapters(segs, ops.choose_breaks(ops.break_scores(segs, STOP))))
 
 
 @query()
 def chapters(spark, sf_dir):
-    return _chapters(spark, sf_dir).drop("text")
+    return _chapters(spark, sf_dir).drop("text", "opening")
 
 
 @query()
 def chapter_titles(spark, sf_dir):
     rows = _chapters(spark, sf_dir)
-    return ops.chapter_titles(rows, ops.key_phrases(rows, STOP))
+    return ops.chapter_titles(rows, ops.key_phrases(rows, STOP, 50))
 
 
 @query()
@@ -237,7 +238,7 @@ def chapter_summaries(spark, sf_dir):
 def chapter_exports(spark, sf_dir):
     """The podcast JSON and the plain-text line of each chapter."""
     rows = _chapters(spark, sf_dir)
-    titled = rows.join(ops.chapter_titles(rows, ops.key_phrases(rows, STOP)), ["doc_id", "chapter_id"])
+    titled = rows.join(ops.chapter_titles(rows, ops.key_phrases(rows, STOP, 50)), ["doc_id", "chapter_id"])
     end = F.when(F.col("end_time") > F.col("start_time"), F.bround("end_time").cast("int"))
     doc = F.to_json(F.struct(F.bround("start_time").cast("int").alias("startTime"), end.alias("endTime"), "title", F.lit(True).alias("toc")))
     return titled.select("doc_id", "chapter_id", doc.alias("json"), F.concat_ws(" ", tx.clock_of(F.col("start_time")), F.col("title")).alias("line"))
@@ -322,3 +323,37 @@ def review_progress(spark, sf_dir):
     SELECT slug, strftime(session, '%Y-%m-%d') AS session, fresh, reviewed FROM c WHERE r <= 20""")
 def review_sessions(spark, sf_dir):
     return review.sessions(views.reviews(spark, sf_dir), keep=20).withColumn("session", F.date_format("session", "yyyy-MM-dd"))
+
+
+@query(with_views("v_segments") + """
+    , seg AS (SELECT doc_id, id, text, start, "end", CASE WHEN id % 7 = 3 THEN NULL ELSE speaker END AS speaker FROM v_segments),
+    b AS (SELECT *, last_value(speaker IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM seg),
+    body AS (SELECT doc_id, count(*) AS n, sum(len(regexp_extract_all(text, '\\S+')))::BIGINT AS words, max("end") AS duration, count(*) FILTER (WHERE id % 20 = 0) AS chapters,
+             string_agg(CASE WHEN id % 20 = 0 THEN chr(10) || '--- Part ' || (id // 20 + 1) || ' ---' || chr(10) || CASE WHEN id // 20 % 2 = 0 THEN '    Said by ' || coalesce(speaker, 'nobody') || chr(10) ELSE '' END || chr(10) ELSE '' END
+                 || CASE WHEN speaker IS NOT NULL AND speaker IS DISTINCT FROM before THEN chr(10) || '[' || speaker || ']' || chr(10) ELSE '' END
+                 || printf('[%02d:%02d:%06.3f]  ', floor(start)::BIGINT // 3600, floor(start)::BIGINT % 3600 // 60, start % 60) || text, chr(10) ORDER BY id) AS body,
+             string_agg(printf('  %02d:%02d:%02d  Part %d', floor(start)::BIGINT // 3600, floor(start)::BIGINT % 3600 // 60, floor(start)::BIGINT % 60, id // 20 + 1), chr(10) ORDER BY id) FILTER (WHERE id % 20 = 0) AS listed FROM b GROUP BY doc_id),
+    f AS (SELECT d.doc_id, d.lang, coalesce(body.n, 0) AS n, coalesce(words, 0) AS words, floor(coalesce(duration, 0))::BIGINT AS s, coalesce(chapters, 0) AS chapters, body, listed FROM documents d LEFT JOIN body ON body.doc_id = d.doc_id)
+    SELECT doc_id, n AS segments, chapters, md5(concat_ws(chr(10), 'TRANSCRIPT: Document ' || doc_id, 'Date: unknown',
+        'Duration: ' || CASE WHEN s >= 3600 THEN printf('%d:%02d:%02d', s // 3600, s % 3600 // 60, s % 60) ELSE printf('%d:%02d', s // 60, s % 60) END, 'Language: ' || coalesce(lang, 'unknown'), 'Model: none', 'Transcribed: unknown', '',
+        'CHAPTERS:' || chr(10) || listed || chr(10), repeat('=', 72), '', body, '', repeat('=', 72), 'Total segments: ' || n, 'Total words: ' || words, 'Total chapters: ' || chapters)) AS text_md5 FROM f""")
+def transcript_headed(spark, sf_dir):
+    """Transcripts with chapter heads, here a part at each twentieth segment; each seventh segment has no speaker."""
+    segs = views.segments(spark, sf_dir).withColumn("speaker", F.when(F.col("id") % 7 != 3, F.col("speaker")))
+    part = F.floor(F.col("id") / 20).cast("long")
+    said = F.when(part % 2 == 0, F.concat(F.lit("Said by "), F.coalesce("speaker", F.lit("nobody"))))
+    parts = segs.filter("id % 20 = 0").select("doc_id", part.alias("chapter_id"), F.col("start").alias("start_time"), F.col("id").alias("segment_lo"), F.concat(F.lit("Part "), part + 1).alias("title"), said.alias("summary"))
+    lasting = segs.groupBy("doc_id").agg(F.max("end").alias("duration"))
+    facts = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("Document "), "doc_id").alias("title"), F.lit(None).cast("string").alias("date"), F.col("lang").alias("language"), F.lit("none").alias("model"), F.lit(None).cast("string").alias("transcribed"))
+    found = ops.transcript_texts(segs, facts.join(lasting, "doc_id", "left"), parts)
+    return found.select("doc_id", "segments", "chapters", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query()
+def chapter_transcripts(spark, sf_dir):
+    """Readable transcripts under the titles and summaries of their own chapters."""
+    rows = _chapters(spark, sf_dir)
+    titled = rows.join(ops.chapter_titles(rows, ops.key_phrases(rows, STOP, 50)), ["doc_id", "chapter_id"]).join(ops.chapter_summaries(rows, STOP), ["doc_id", "chapter_id"], "left")
+    nothing = F.lit(None).cast("string")
+    facts = rows.groupBy("doc_id").agg(F.max("end_time").alias("duration")).select("doc_id", F.concat(F.lit("Document "), "doc_id").alias("title"), nothing.alias("date"), "duration", nothing.alias("language"), nothing.alias("model"), nothing.alias("transcribed"))
+    return ops.transcript_texts(views.segments(spark, sf_dir), facts, titled)
