@@ -18,15 +18,21 @@ def record(fields: list[tuple[str, Column]], text: Column, missing: str = "N/A",
     return F.concat_ws("\n", *([F.lit(RULE)] if framed else []), *heads, F.lit(RULE), F.coalesce(text, F.lit("")))
 
 
+def _time_field(posts: DataFrame) -> list[tuple[str, Column]]:
+    known = [F.nullif(F.col(c), F.lit("")) for c in ("parsed_iso", "raw_time") if c in posts.columns]
+    return [("TIMESTAMP", F.coalesce(*known))] if known else []
+
+
 def post_records(posts: DataFrame) -> DataFrame:
-    """(post_id, record) of all posts."""
+    """(post_id, record) of all posts; with a TIMESTAMP line, the parsed time or the raw one, where posts have parsed_iso and raw_time."""
     fields = [("POST ID", F.col("post_id")), ("AUTHOR", F.coalesce("author", F.lit("Unknown"))), ("ROLE", F.col("role")), ("FORUM", F.col("forum_slug")), ("TOPIC", F.col("topic_slug"))]
-    return posts.select("post_id", record(fields, F.col("content_text")).alias("record"))
+    return posts.select("post_id", record(fields + _time_field(posts), F.col("content_text")).alias("record"))
 
 
 def role_records(posts: DataFrame, name: str) -> DataFrame:
-    """(post_id, record) of the posts whose role contains a name; a null role contains none."""
-    fields = [("POST ID", F.col("post_id")), ("TOPIC", F.col("topic_slug")), ("FORUM", F.col("forum_slug"))]
+    """(post_id, record) of the posts whose role contains a name; a null role contains none. TIMESTAMP and URL lines
+    where posts have parsed_iso or raw_time, and source_url."""
+    fields = [("POST ID", F.col("post_id")), ("TOPIC", F.col("topic_slug")), ("FORUM", F.col("forum_slug")), *_time_field(posts), *([("URL", F.col("source_url"))] if "source_url" in posts.columns else [])]
     return posts.filter(F.col("role").contains(name)).select("post_id", record(fields, F.col("content_text"), framed=False).alias("record"))
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadloom.operators import curation
+from threadloom.functions.text import blocks_of, urls_of, word_count
+from threadloom.operators import curation, reports
 from threadloom.plans import curation as curated
 from threadloom.sources import curated as store
-from threadloom.sources import views
+from threadloom.sources import ledger, menus, sinks, views
 from threadloom.sources.scratch import scratch
 from threadloom.sources.views import table, with_views
 
@@ -96,3 +97,63 @@ def coverage_history(spark, sf_dir):
     end = spark.range(1).select(marks[-1]).first()[0]
     now = store.previous_snapshot(spark, target, end + 1, schema).drop("snapshot")
     return store.snapshot_change(now, target, end, schema)
+
+
+@query("""
+    WITH l AS (SELECT page_id, unnest(range(1, len(regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>')) + 1)) AS n, html FROM pages)
+    SELECT page_id, n - 1 AS pos, regexp_extract_all(html, '<li><a href="([^"]*)">[^<]*</a></li>', 1)[n] AS url, trim(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1)[n]) AS title FROM l""")
+def page_menus(spark, sf_dir):
+    """Items of the lists of pages."""
+    return menus.list_items(table(spark, sf_dir, "pages")).select("page_id", F.col("pos").cast("long").alias("pos"), "url", "title")
+
+
+@query("""
+    SELECT 'documents' AS job, true AS success, unnest(['rows', 'words', 'without_text']) AS name,
+           unnest([count(*), coalesce(sum(len(regexp_extract_all(text, '\\S+'))), 0)::BIGINT, count(*) FILTER (WHERE text IS NULL)]) AS value FROM documents""")
+def run_ledger(spark, sf_dir):
+    """Documents are written under a ledger that counts them on the way; its row is read back."""
+    home = scratch(spark)
+    counts = {"rows": F.count(F.lit(1)), "words": F.sum(word_count(F.col("text"))), "without_text": F.count_if(F.col("text").isNull())}
+    ledger.logged(table(spark, sf_dir, "documents"), "documents", lambda df: df.write.parquet(f"{home}/documents"), f"{home}/runs", counts)
+    return ledger.canonical(ledger.read_ledger(spark, f"{home}/runs")).select("job", "success", F.explode("counts").alias("name", "value"))
+
+
+def _full_posts(spark, sf_dir):
+    """Posts with times, lists and addresses; each fifth has only a raw time, each seventh none."""
+    text = F.coalesce("content_text", F.lit(""))
+    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    n = F.col("conv_id") + F.col("turn")
+    return views.posts(spark, sf_dir).withColumns({
+        "parsed_iso": F.when((n % 5 != 0) & (n % 7 != 0), at), "raw_time": F.when(n % 7 != 0, F.concat(F.lit("at "), at)), "quotes": F.filter(blocks_of(text), lambda b: b["type"] == "quote"),
+        "links": urls_of(text), "media": F.filter(urls_of(text), lambda u: u.rlike(r"\\.(png|jpg)$")), "source_url": F.concat(F.lit("https://forum.example.org/topic/"), "topic_slug", F.lit("#post-"), "post_id")})
+
+
+FULL_SQL = with_views("v_posts") + """
+    , u AS (SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS stamp, 'https://forum.example.org/topic/' || topic_slug || '#post-' || post_id AS source_url, coalesce(content_text, '') AS t, conv_id + turn AS n FROM v_posts),
+    w AS (SELECT *, CASE WHEN n % 5 <> 0 AND n % 7 <> 0 THEN stamp END AS iso, CASE WHEN n % 7 <> 0 THEN 'at ' || stamp END AS raw,
+          list_distinct(list_concat(regexp_extract_all(t, '\\[[^\\]]*\\]\\((https?://[^)\\s]+)\\)', 1), regexp_extract_all(t, 'https?://[^\\s)\\]<>"]+'))) AS links FROM u)"""
+
+
+@query(FULL_SQL + f"""
+    SELECT post_id, concat_ws(chr(10), '{reports.RULE}', 'POST ID: ' || post_id, 'AUTHOR: ' || coalesce(author, 'Unknown'), 'ROLE: ' || coalesce(role, 'N/A'), 'FORUM: ' || coalesce(forum_slug, 'N/A'),
+           'TOPIC: ' || coalesce(topic_slug, 'N/A'), 'TIMESTAMP: ' || coalesce(iso, raw, 'N/A'), '{reports.RULE}', t) AS record FROM w""")
+def post_export(spark, sf_dir):
+    return reports.post_records(_full_posts(spark, sf_dir))
+
+
+@query(FULL_SQL + f"""
+    SELECT post_id, concat_ws(chr(10), 'POST ID: ' || post_id, 'TOPIC: ' || coalesce(topic_slug, 'N/A'), 'FORUM: ' || coalesce(forum_slug, 'N/A'), 'TIMESTAMP: ' || coalesce(iso, raw, 'N/A'), 'URL: ' || source_url,
+           '{reports.RULE}', t) AS record FROM w WHERE contains(role, 'assist')""")
+def role_export(spark, sf_dir):
+    return reports.role_records(_full_posts(spark, sf_dir), "assist")
+
+
+@query(FULL_SQL + """
+    SELECT post_id, author, role, forum_slug, topic_slug, iso AS timestamp_iso, raw AS timestamp_raw, md5(t) AS text_md5, len(list_filter(list_filter(list_transform(string_split(t, chr(10) || chr(10)), lambda x: trim(x)), lambda x: x <> ''),
+           lambda x: starts_with(x, '>') OR contains(x, 'wrote:')))::BIGINT AS num_quotes, len(links)::BIGINT AS num_links, len(list_filter(links, lambda x: regexp_matches(x, '\\.(png|jpg)$')))::BIGINT AS num_media, source_url FROM w""")
+def csv_export(spark, sf_dir):
+    """The twelve columns to CSV and back; what was empty comes back as null."""
+    path, rows = scratch(spark), sinks.csv_rows(_full_posts(spark, sf_dir))
+    sinks.write_csv(rows, path)
+    back = sinks.read_csv(spark, path, rows.schema)
+    return back.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in ("timestamp_iso", "timestamp_raw")}).withColumn("text_md5", F.md5(F.coalesce("content_text", F.lit("")).cast("binary"))).drop("content_text")

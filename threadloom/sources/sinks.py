@@ -36,6 +36,27 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).options(**CSV).csv(path)
 
 
+def csv_rows(posts: DataFrame) -> DataFrame:
+    """The twelve columns of the posts' CSV: texts as they are, nulls of names and times as empty, lists as their sizes (0 if null).
+
+    posts needs post_id, author, role, forum_slug, topic_slug, parsed_iso, raw_time, content_text, quotes, links, media, source_url.
+    """
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    size = lambda c: F.when(F.col(c).isNull(), 0).otherwise(F.size(c)).cast("long")
+    return posts.select(
+        "post_id", *[blank(c).alias(c) for c in ("author", "role", "forum_slug", "topic_slug")], blank("parsed_iso").alias("timestamp_iso"), blank("raw_time").alias("timestamp_raw"),
+        blank("content_text").alias("content_text"), *[size(c).alias(f"num_{c}") for c in ("quotes", "links", "media")], "source_url")
+
+
+def write_records(records: DataFrame, path: str, order: list[str], head: str | None = None, after: str = "\n") -> None:
+    """Text records in order, each followed by `after` and a line end, under an optional head. Ranges of the order are files, so none grows without bound."""
+    rows = records.select(F.lit(1).alias("_part"), *order, F.concat("record", F.lit(after)).alias("value"))
+    if head is not None:
+        top = records.sparkSession.range(1).select(F.lit(0).alias("_part"), F.lit(f"{head}\n{'=' * 80}\n").alias("value"))
+        rows = rows.unionByName(top, allowMissingColumns=True)
+    rows.orderBy("_part", *order).select("value").write.text(path)
+
+
 def write_author_texts(posts: DataFrame, path: str) -> None:
     """Texts by author in one folder each; rows of a folder follow the topic and position."""
     text = F.concat(F.lit("=== "), "post_id", F.lit("\n"), "content_text", F.lit("\n"))
