@@ -8,7 +8,7 @@ from threadloom.functions.text import blocks_of, urls_of, word_count
 from threadloom.operators import curation, reports
 from threadloom.plans import curation as curated
 from threadloom.sources import curated as store
-from threadloom.sources import ledger, menus, sinks, views
+from threadloom.sources import articles, ledger, menus, sinks, views
 from threadloom.sources.scratch import scratch
 from threadloom.sources.views import table, with_views
 
@@ -157,3 +157,24 @@ def csv_export(spark, sf_dir):
     sinks.write_csv(rows, path)
     back = sinks.read_csv(spark, path, rows.schema)
     return back.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in ("timestamp_iso", "timestamp_raw")}).withColumn("text_md5", F.md5(F.coalesce("content_text", F.lit("")).cast("binary"))).drop("content_text")
+
+
+@query("""
+    WITH p AS (SELECT page_id, page_id % 4 AS k, replace(replace(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', ' '), '&amp;', '&') AS title,
+               regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*)/*$', 1) AS slug FROM pages)
+    SELECT page_id, slug AS article_slug, CASE WHEN k = 3 THEN slug ELSE page_id::VARCHAR END AS article_id, trim(regexp_replace(title, '\\s+', ' ', 'g')) AS title, CASE WHEN k IN (1, 2) THEN 'Writer ' || page_id % 7 END AS author,
+           CASE WHEN k IN (1, 2) THEN '2024-01-' || lpad((page_id % 28 + 1)::VARCHAR, 2, '0') WHEN k = 0 THEN '2023-05-01' END AS date_published, CASE WHEN k = 1 THEN 'https://img.example.org/' || page_id || '.jpg' END AS image,
+           CASE WHEN k = 0 THEN 'light,lens' ELSE '' END AS tags FROM p""")
+def page_articles(spark, sf_dir):
+    """Facts of pages, to which structured data is added by page: a graph, an object after a broken block, tags and a time, or none."""
+    pages = table(spark, sf_dir, "pages")
+    n, k = F.col("page_id"), F.col("page_id") % 4
+    day, who = F.concat(F.lit("2024-01-"), F.lpad((n % 28 + 1).cast("string"), 2, "0")), F.concat(F.lit("Writer "), n % 7)
+    image = F.concat(F.lit("https://img.example.org/"), n, F.lit(".jpg"))
+    script = lambda body: F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))
+    graph = F.concat(F.lit('{"@graph":[{"@type":"Person","name":"x"},{"@type":"Article","datePublished":"'), day, F.lit('","author":[{"name":"'), who, F.lit('"}],"image":{"url":"'), image, F.lit('"}}]}'))
+    alone = F.concat(F.lit('{"datePublished":"'), day, F.lit('","author":{"name":"'), who, F.lit('"}}'))
+    extra = F.when(k == 1, script(graph)).when(k == 2, F.concat(script(F.lit("{broken")), script(alone))).when(k == 0, F.lit('<a rel="tag" href="#">light</a><a href="#" rel="x tag"><b>lens</b></a><time class="entry-date updated" datetime="2023-05-01">May</time>')).otherwise("")
+    body = F.when(k == 3, F.col("html")).otherwise(F.replace("html", F.lit("<body>"), F.concat(F.lit('<body class="single postid-'), n, F.lit('">'))))
+    found = articles.article_facts(pages.withColumn("html", F.concat(body, extra)))
+    return found.select("page_id", "article_slug", "article_id", "title", "author", "date_published", "image", F.array_join("tags", ",").alias("tags"))
