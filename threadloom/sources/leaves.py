@@ -87,14 +87,6 @@ def read_runs(versioned: DataFrame, legacy: DataFrame) -> DataFrame:
     return versioned.unionByName(old, allowMissingColumns=True)
 
 
-def assemble_episodes(metadata: DataFrame, manifests: DataFrame, reports: DataFrame, chapters: DataFrame) -> DataFrame:
-    """Episodes with their canonical run's report and the topics and films of its chapters; all joins are left joins."""
-    canonical = manifests.select("episode_id", F.coalesce("canonical", "canonical_run_id").alias("run_id"))
-    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
-    facts = chapters.groupBy("episode_id").agg(F.count(F.lit(1)).alias("n_chapters"), union("topics").alias("topics"), union("films").alias("films"))
-    return metadata.join(canonical, "episode_id", "left").join(reports, ["episode_id", "run_id"], "left").join(facts, "episode_id", "left")
-
-
 def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Paths, sizes and times without reading contents."""
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
