@@ -63,6 +63,37 @@ def joinable(df: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if small(df, rows) else df
 
 
+def once(docs: DataFrame, id_col: str, digest: Column) -> DataFrame:
+    """docs with one row for each id and digest; null is an id like others. Only rows of ids that stand several times move, and equal
+    ones meet map-side first; the ids are counted by a scan of their column alone."""
+    again = docs.groupBy(F.col(id_col).alias("_again_id")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_again_id")
+    again = materialize(again, "repeated-ids")
+    if again.isEmpty():
+        return docs
+    known = joinable(again)
+    alone = docs.join(known, docs[id_col].eqNullSafe(known["_again_id"]), "left_anti")
+    marked = docs.withColumn("_once_digest", digest)
+    several = marked.join(known, marked[id_col].eqNullSafe(known["_again_id"]), "left_semi").dropDuplicates([id_col, "_once_digest"])
+    return alone.unionByName(several.drop("_once_digest"))
+
+
+def bounded_sample(rows: DataFrame, most: int, label: str | None = None, by: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """At most `most` rows (of each label, if one is named), distinct in the columns `by`, chosen by a hash of these.
+
+    A group of fewer distinct rows comes in whole, so no label is lost to copies. Rows are thinned where they are read, by approximate
+    counts, and then ranked by their hash, which makes the bound a hard one. Adds the hash as `_h`.
+    """
+    from pyspark.sql import Window
+
+    marked = rows.withColumns({"_h": F.xxhash64(F.lit("sample"), *by), "_k": F.col(label) if label else F.lit(0)})
+    sizes = materialize(marked.groupBy("_k").agg(F.approx_count_distinct("_h", 0.02).alias("_size")), "sample-sizes")
+    # A fifth more than wanted, for the error of the counts and of the thinning; the rank takes it off again.
+    wanted = most * 1.2 + 50
+    thin = marked.join(joinable(sizes), "_k").filter(F.pmod("_h", F.lit(1 << 40)).cast("double") * F.col("_size") < float(1 << 40) * wanted)
+    one = thin.dropDuplicates(["_k", "_h"])
+    return one.withColumn("_r", F.row_number().over(Window.partitionBy("_k").orderBy("_h"))).filter(F.col("_r") <= most).drop("_r", "_k", "_size")
+
+
 def slices(batches, rows: int = 2000, text: str = "text", most: int = 16_000_000):
     """Arrow batches in slices of up to so many rows and bytes of text (one row at least), so that Python objects of whole
     texts exist for a few at a time."""

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import bounded_sample, materialize, slices
 
 BITS = 15
 DIM = 1 << BITS
@@ -143,23 +143,25 @@ class LanguageModel:
         return out, scores
 
 
-def train_language_model(docs: DataFrame, per_label: int = 1500) -> LanguageModel:
-    """From docs(doc_id, text, label) without null labels. Without documents the model answers `und`."""
-    sizes = {r.label: r["count"] for r in docs.groupBy("label").count().collect()}
-    labels = sorted(sizes)
+def train_language_model(docs: DataFrame, per_label: int = 1500, most_labels: int = 1000) -> LanguageModel:
+    """From docs(doc_id, text, label) without null labels. Without documents the model answers `und`.
+
+    Learns from at most per_label documents of each label, distinct in id and text, whatever the ids; each label has some. More than
+    most_labels labels are an error, as the model is a row of weights for each.
+    """
+    labels = sorted(r.label for r in docs.select("label").distinct().limit(most_labels + 1).collect())
+    if len(labels) > most_labels:
+        raise ValueError(f"more than {most_labels} languages")
     df, n = document_frequencies(docs)
     idf = np.log((1 + n) / (1 + df)) + 1
     if not labels:
         return LanguageModel([], idf, np.zeros((DIM, 0)), 1.0)
-    share = F.lit(0.0)
-    for x in labels:
-        share = F.when(F.col("label") == x, min(1.0, per_label / sizes[x])).otherwise(share)
-    chosen = docs.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) < share * 1_000_000)
+    chosen = bounded_sample(docs, per_label, "label")
 
     def extract(batches):
         for b in batches:
             found = [(at.astype("<i4").tobytes(), _weights(at, c, idf).astype("<f4").tobytes()) for _, at, c in gram_counts(b.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.binary())], ["doc_id", "label", "at", "x"])
+            yield pa.RecordBatch.from_arrays([b.column("_h"), b.column("label"), pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.binary())], ["_h", "label", "at", "x"])
 
     def fit(batches):
         rows = []
@@ -173,9 +175,9 @@ def train_language_model(docs: DataFrame, per_label: int = 1500) -> LanguageMode
         t = fit_temperature(scores, np.array([r[0] for r in aside])) if aside else 1.0
         yield pa.RecordBatch.from_pydict({"weights": [weights.astype("<f4").tobytes()], "temperature": [t]})
 
-    sample = materialize(chosen.select("doc_id", "label", "text").mapInArrow(extract, "doc_id long, label string, at binary, x binary"), "language-sample")
+    sample = materialize(chosen.select("_h", "label", "text").mapInArrow(extract, "_h long, label string, at binary, x binary"), "language-sample")
     # A bounded sample: one task fits it, in an order that doesn't depend on how the rows were dealt.
-    got = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").mapInArrow(fit, "weights binary, temperature double").first()
+    got = sample.repartition(1).sortWithinPartitions("_h", "label").mapInArrow(fit, "weights binary, temperature double").first()
     weights = np.frombuffer(got.weights, "<f4").reshape(DIM, len(labels))
     return LanguageModel(labels, idf, weights, got.temperature)
 

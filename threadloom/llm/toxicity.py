@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import Hasher, blocks, mix, word_bounds, word_bytes
-from .common import joinable, materialize, slices
+from .common import bounded_sample, joinable, materialize, slices
 
 BITS = 20
 DIM = 1 << BITS
@@ -202,11 +202,10 @@ def fit_model(rows, buckets, y, seeds, folds: int = 4) -> ToxicityModel:
 
 
 def train_toxicity(docs: DataFrame, max_rows: int = 6_000, seeds: tuple[str, ...] = SEEDS) -> ToxicityModel:
-    """From docs(doc_id, text, toxic 0/1). Two labels of one id are two rows."""
+    """From docs(doc_id, text, toxic 0/1). Two labels of one id are two rows; at most max_rows rows, distinct in id, text and label, whatever
+    the ids."""
     lexicon = seed_buckets(seeds)
-    total = docs.count()
-    share = min(1.0, max_rows / max(1, total))
-    chosen = docs.filter(F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1_000_000)) < share * 1_000_000)
+    chosen = bounded_sample(docs, max_rows, by=("doc_id", "text", "toxic"))
 
     def extract(batches):
         for b in slices(batches):
@@ -216,7 +215,7 @@ def train_toxicity(docs: DataFrame, max_rows: int = 6_000, seeds: tuple[str, ...
                 r, c = distinct(rows, buckets)
                 for k, part in zip(np.unique(r).tolist(), np.split(c, np.flatnonzero(np.diff(r)) + 1), strict=True) if len(r) else ():
                     own[k] = part
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array([x.astype("<i4").tobytes() for x in own], pa.binary())], ["doc_id", "toxic", "buckets"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("_h"), b.column("toxic"), pa.array([x.astype("<i4").tobytes() for x in own], pa.binary())], ["doc_id", "_h", "toxic", "buckets"])
 
     def fit(batches):
         y, parts = [], []
@@ -228,26 +227,27 @@ def train_toxicity(docs: DataFrame, max_rows: int = 6_000, seeds: tuple[str, ...
         at = np.flatnonzero(model.weights)
         yield pa.RecordBatch.from_pydict({"at": [at.astype("<i4").tobytes()], "w": [model.weights[at].astype("<f4").tobytes()], "slope": [model.slope], "offset": [model.offset]})
 
-    rows = chosen.select("doc_id", F.col("text").cast("binary").alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    sample = materialize(rows.mapInArrow(extract, "doc_id long, toxic int, buckets binary"), "toxicity-sample")
+    rows = chosen.select("doc_id", "_h", F.col("text").cast("binary").alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    sample = materialize(rows.mapInArrow(extract, "doc_id long, _h long, toxic int, buckets binary"), "toxicity-sample")
     if sample.isEmpty():
         return fit_model(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), lexicon)
     # A bounded sample: one task fits it, in an order that doesn't depend on how the rows were dealt.
-    got = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "toxic").mapInArrow(fit, "at binary, w binary, slope double, offset double").first()
+    got = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "toxic", "_h").mapInArrow(fit, "at binary, w binary, slope double, offset double").first()
     weights = np.zeros(DIM + len(PATTERNS), np.float32)
     weights[np.frombuffer(got["at"], "<i4")] = np.frombuffer(got.w, "<f4")
     return ToxicityModel(weights, got.slope, got.offset, lexicon)
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> ToxicityModel:
-    """Labels other than 0 and 1, null ids and labels of unknown ids are left out. Equal labels of an id are one, so that the
-    sample, by a hash of the id, keeps its bound; it is broadcast where it has been counted to be small."""
+    """Labels other than 0 and 1, null ids and labels of unknown ids are left out; equal labels of an id are one. About max_rows labels are
+    drawn by a hash of their ids, broadcast where counted to be small; an id on many rows of docs can't exceed twice that number
+    of rows (bounded_sample)."""
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
     marked = materialize(marked.filter(~held_out(F.col("doc_id"))).distinct(), "labels")
     n = marked.count()
     most = options.pop("max_rows", 6_000)
     # Thin the labels before the join, so that only the sample's texts move.
-    marked = marked.filter(F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1_000_000)) < min(1.0, most / max(1, n)) * 1_000_000)
+    marked = marked.filter(F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1 << 40)).cast("double") < min(1.0, most / max(1, n)) * float(1 << 40))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return train_toxicity(texts.join(joinable(marked), "doc_id"), max_rows=max(most * 2, 1), **options)
 
