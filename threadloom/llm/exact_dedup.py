@@ -2,8 +2,8 @@
 
 Texts are equal when identical after lower-casing A-Z; null counts as empty. Of equal texts the row with the largest id
 stays. Only rows that share their length with another row enter the prefix level, and only rows that share length and
-prefix hash enter the digest level. Rows that share an id as well as a text are one document: all of them are kept.
-A null id loses against any other; a group of null ids alone keeps them.
+prefix hash enter the digest level. Rows that share an id as well as a text are one document: exact_dedup, with a row for each,
+marks all of them as kept, drop_exact_copies leaves one. A null id loses against any other; a group of null ids alone keeps them.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, joinable, materialize
+from .common import ascii_lower, joinable, materialize, once
 
 KEYS = ["n_bytes", "prefix_hash"]
 
@@ -62,8 +62,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the same columns; of equal texts the row with the largest id stays.
 
-    Rows go by id and digest, so an id that stands for two texts loses the copied one only.
+    Rows go by id and digest, so an id that stands for two texts loses the copied one only. Of rows that share id and text (a null
+    id is one id here) one stays, any of them.
     """
+    docs = once(docs, id_col, text_digest(F.col(text_col)))
     gone = exact_dedup(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_digest"))
     gone = joinable(materialize(gone.distinct(), "dedup-gone"))
     return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]) & (text_digest(docs[text_col]) == gone["_gone_digest"]), "left_anti")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import joinable, materialize, slices
+from .common import joinable, materialize, once, slices
 from .components import connected_components
 
 BITS, BYTES = 3, 8
@@ -205,7 +205,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs with the same columns; of each component of near_duplicates one document stays. Rows go by id and text."""
+    """docs with the same columns; of each component of near_duplicates one document stays. Rows go by id and text; of rows that share
+    both (a null id is one id here) one stays, any of them."""
+    docs = once(docs, id_col, F.xxhash64(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
     gone = near_duplicates(docs, id_col, text_col, **options).filter("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash"))
     gone = joinable(materialize(gone.distinct(), "near-gone"))
     own = F.xxhash64(F.coalesce(docs[text_col], F.lit("")).cast("binary"))
