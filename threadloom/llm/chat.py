@@ -9,9 +9,12 @@ under the loss mask.
 Prefixes are whole, so that templates may number turns, demand an order of roles or rewrite any earlier turn; their time
 grows with the square of the turns. A template whose text for a turn depends on no more than the last k turns and never
 changes may say so by an attribute `look_back` = k (or the caller by `history`); its prefixes hold k turns, and a
-conversation of any length takes bounded memory and time per turn. Long conversations are written in pieces of `piece` turns.
-A conversation whose template rewrote history is written as the template's last output, in one piece; its turns' texts
-are located in that output by a probe, and a turn that it no longer shows has an empty text.
+conversation of any length takes bounded memory and time per turn. The word is not taken for it: each block of turns (`block_turns`),
+the first from the conversation's start, is rendered once more as a whole and must equal its joined spans. Else a conversation of one
+block takes whole prefixes; a longer one does so if its first block fails, and has its pieces flagged if a later one does.
+Long conversations are written in pieces of `piece` turns. A conversation whose template rewrote history, or shows a text not
+exactly once, is flagged and written as the template's last output, in one piece; its turns' texts are located in that output by a
+probe character that it doesn't hold, and a turn that it no longer shows, or shows twice, has an empty text.
 
 Rows without a conversation id are one conversation.
 
@@ -23,7 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from itertools import groupby
+from itertools import accumulate, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +34,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-PROBE = "\U0010fffd"
+#: Characters of a block of a streamed conversation, which is rendered once more as a whole.
+BLOCK_CHARS = 4_000_000
 
 
 def escape(text: str) -> str:
@@ -57,22 +61,33 @@ def _common(a: str, b: str) -> int:
     return low
 
 
-def _text_bounds(shown: str, probed: str, at: int = 0) -> tuple[int, int]:
-    """Bounds of a turn's text in an output, from the same output with the probe for that text; the end twice if not shown."""
-    start = probed.find(PROBE, at)
-    end = len(shown) - (len(probed) - start - 1) if start >= 0 else -1
-    return (start, end) if at <= start <= end else (len(shown), len(shown))
+def free_probe(texts) -> str:
+    """A character that occurs in none of the texts: the last free one of the private planes."""
+    used = set().union(*map(set, texts)) if texts else set()
+    return next(c for c in map(chr, range(0x10FFFD, 0xEFFFF, -1)) if c not in used)
 
 
-def render_turns(turns, template, history: int | None = None):
-    """(role, span text, start and end of the text in it, rewritten) of each turn; rewritten: this turn changed what stood before."""
+def _text_bounds(shown: str, probed: str, probe: str, at: int = 0) -> tuple[int, int, bool]:
+    """(start, end, found) of a turn's text in an output, from the same output with the probe for that text. Not found: the text
+    isn't shown exactly once, or the template shows other things with another text; the bounds are then the end twice."""
+    start = probed.find(probe, at)
+    end = len(shown) - (len(probed) - start - 1)
+    if start < at or end < start or probed.count(probe) != 1 or probe in shown or shown[:start] != probed[:start] or shown[end:] != probed[start + 1 :]:
+        return len(shown), len(shown), False
+    return start, end, True
+
+
+def render_turns(turns, template, history: int | None = None, before=()):
+    """(role, span text, start and end of the text in it, rewritten) of each turn after the turns `before`; rewritten: this turn changed
+    what stood before, or its text isn't shown exactly once."""
     history = getattr(template, "look_back", None) if history is None else history
-    before, old = [], template([])
+    turns, before = list(turns), list(before)
+    probe, old = free_probe([x for turn in (*before, *turns) for x in turn]), template(before)
     for role, text in turns:
         new = template([*before, (role, text)])
         at = len(old) if new.startswith(old) else _common(old, new)
-        start, end = _text_bounds(new, template([*before, (role, PROBE)]), at)
-        yield role, new[at:], start - at, end - at, at < len(old)
+        start, end, found = _text_bounds(new, template([*before, (role, probe)]), probe, at)
+        yield role, new[at:], start - at, end - at, at < len(old) or not found
         before.append((role, text))
         if history is not None and len(before) > history:
             before = before[-history:] if history else []
@@ -83,12 +98,14 @@ def render_turns(turns, template, history: int | None = None):
 def render_rewritten(turns: list[tuple[str, str]], template) -> tuple[str, list[int], list[tuple[int, int]]]:
     """(last output, where each turn begins in it, bounds of its text) for a template that rewrites history.
 
-    A turn begins where the last output parts from the output of the turns before it, but not before an earlier turn.
+    A turn begins where the last output parts from the output of the turns before it, but not before an earlier turn. A text that
+    the output doesn't show exactly once has the output's end as its bounds.
     """
     final, begins, bounds = template(turns), [], []
+    probe = free_probe([x for turn in turns for x in turn])
     for i in range(len(turns)):
         begins.append(max(_common(template(turns[:i]), final), begins[-1] if begins else 0))
-        bounds.append(_text_bounds(final, template([*turns[:i], (turns[i][0], PROBE), *turns[i + 1 :]])))
+        bounds.append(_text_bounds(final, template([*turns[:i], (turns[i][0], probe), *turns[i + 1 :]]), probe)[:2])
     return final, begins, bounds
 
 
@@ -102,11 +119,24 @@ def _conversations(batches, names):
     return groupby(rows, key=lambda r: r[0])
 
 
-def format_chats(chats: DataFrame, template=turn_template, loss_roles=("assistant",), conv_col: str = "conv_id", history: int | None = None, piece: int = 256) -> DataFrame:
+def _blocks(turns, most: int):
+    """Turns in lists of bounded length and text."""
+    block, chars = [], 0
+    for role, text in turns:
+        block.append((role, text))
+        chars += len(text)
+        if len(block) == most or chars >= BLOCK_CHARS:
+            yield block
+            block, chars = [], 0
+    if block:
+        yield block
+
+
+def format_chats(chats: DataFrame, template=turn_template, loss_roles=("assistant",), conv_col: str = "conv_id", history: int | None = None, piece: int = 256, block_turns: int = 4096) -> DataFrame:
     """One row per conversation and piece: the formatted text and, for each turn, its start, its text's bounds and the mask.
 
     Rows go by conversation, turn, role, text; a null text or role is empty, null turns come first, equal rows are turns
-    of their own. With a bounded look-back a conversation streams through its task turn by turn, whatever its length.
+    of their own. With a bounded look-back a conversation streams through its task in blocks, whatever its length.
     """
     look_back = getattr(template, "look_back", None) if history is None else history
 
@@ -120,35 +150,27 @@ def format_chats(chats: DataFrame, template=turn_template, loss_roles=("assistan
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], COLUMNS)
 
         for conv, rows in _conversations(batches, ["conv_id", "role", "text"]):
-            number, held, turns = 0, [], ((r[1], r[2]) for r in rows)
-
-            def close():
-                at, starts, texts, ends = 0, [], [], []
-                for _, span, s, e, _ in held:
-                    starts.append(at)
-                    texts.append(at + s)
-                    ends.append(at + e)
-                    at += len(span)
-                out.append((conv, number, "".join(h[1] for h in held), [h[0] for h in held], starts, texts, ends, [h[0] in loss_roles for h in held], False))  # noqa: B023
-
-            if look_back is None:  # whole prefixes: the template may still rewrite any turn
-                turns = list(turns)
-                rendered = list(render_turns(turns, template))
-                if any(t[-1] for t in rendered):
-                    final, begins, bounds = render_rewritten(turns, template)
-                    out.append((conv, 0, final, [t[0] for t in turns], begins, [x[0] for x in bounds], [x[1] for x in bounds], [t[0] in loss_roles for t in turns], True))
-                    rendered = []
-            else:
-                rendered = render_turns(turns, template, look_back)
-            for turn in rendered:
-                held.append(turn)
-                if len(held) == piece:
-                    close()
-                    number, held = number + 1, []
-            if held:
-                close()
-            if len(out) >= 500:
-                yield flush()
+            number, before, turns = 0, [], ((r[1], r[2]) for r in rows)
+            for block in [list(turns)] if look_back is None else _blocks(turns, block_turns):
+                rendered = list(render_turns(block, template, look_back if look_back is not None else len(block), before))
+                again = any(t[-1] for t in rendered) or look_back is not None and template([*before, *block]) != template(before) + "".join(t[1] for t in rendered)
+                if again and not before and number == 0:
+                    block += turns  # the rest of the conversation
+                    if look_back is not None:
+                        rendered = list(render_turns(block, template, len(block)))
+                    if any(t[-1] for t in rendered):
+                        final, begins, bounds = render_rewritten(block, template)
+                        out.append((conv, 0, final, [t[0] for t in block], begins, [x[0] for x in bounds], [x[1] for x in bounds], [t[0] in loss_roles for t in block], True))
+                        rendered = []
+                    again = False
+                for i in range(0, len(rendered), piece):
+                    held = rendered[i : i + piece]
+                    starts = [0, *accumulate(len(h[1]) for h in held)][:-1]
+                    out.append((conv, number, "".join(h[1] for h in held), [h[0] for h in held], starts, [at + h[2] for at, h in zip(starts, held, strict=True)], [at + h[3] for at, h in zip(starts, held, strict=True)], [h[0] in loss_roles for h in held], again))
+                    number += 1
+                before = [*before, *block][-look_back:] if look_back else []
+                if len(out) >= 500:
+                    yield flush()
         if out:
             yield flush()
 
