@@ -106,3 +106,25 @@ def test_the_last_run_becomes_canonical(spark, tmp_path):
         stream = jobs.read_stream(spark, schema, f"{tmp_path}/in")
         jobs.canonical_runs(stream, f"{tmp_path}/table", f"{tmp_path}/checkpoint").awaitTermination()
     assert {(r.episode_id, r.run_id) for r in jobs.read_upserted(spark, f"{tmp_path}/table", stream.schema).collect()} == {("e1", "r3"), ("e2", "r2")}
+
+
+def test_refresh_of_files_in_no_order_of_time_equals_its_sql(spark, tmp_path):
+    """Parts of a table overlap in time, and times have microseconds, which the SQL rounds to milliseconds."""
+    import duckdb
+
+    from threadloom.plans import streams
+
+    rng, rows = random.Random(4), []
+    for i in range(600):
+        at = T0 + timedelta(seconds=rng.randrange(0, 3 * 86400), microseconds=rng.randrange(0, 1_000_000))
+        rows.append((i, at, rng.randrange(0, 6), rng.choice(["error", "click", "view"]), 0.0, "{}"))
+    rows.append((600, T0 + timedelta(days=3, seconds=1), 7, "click", 0.0, "{}"))  # and the newest stands in the first part
+    parts = [rows[400:], rows[:200], rows[200:400]]
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, streams.EVENTS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+        assert len(list(Path(f"{tmp_path}/events.parquet").glob("*.parquet"))) == i + 1
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    con.execute("SET TimeZone = 'UTC'")
+    want = con.execute(streams.ORACLE_SQL["stream_refresh"]).fetchall()
+    assert want and sorted(tuple(r) for r in streams.stream_refresh(spark, str(tmp_path)).collect()) == sorted(want)

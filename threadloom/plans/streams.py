@@ -22,8 +22,8 @@ def query(sql: str | None = None):
     return add
 
 
-def _events(spark, sf_dir):
-    return jobs.read_stream(spark, EVENTS, f"{sf_dir}/events.parquet*")
+def _events(spark, sf_dir, files_per_trigger=1):
+    return jobs.read_stream(spark, EVENTS, f"{sf_dir}/events.parquet*", files_per_trigger=files_per_trigger)
 
 
 def _final(df, spark, mode):
@@ -68,8 +68,13 @@ def stream_manifests(spark, sf_dir):
     c AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY t DESC) AS r FROM b WHERE t + 3600000 <= (SELECT max(t) - 600000 FROM e))
     SELECT key, value, changes, t AS "at" FROM c WHERE r = 1 AND value <> 'error'""")
 def stream_refresh(spark, sf_dir):
-    """Items after debounced changes of one hour's gap; an error takes an item out. Bursts that the watermark has not closed wait."""
-    changes = _events(spark, sf_dir).selectExpr("cast(user_id % 500 as string) as key", "ts", "event_id as seq", "event_type = 'error' as gone", "event_type as value")
+    """Items after debounced changes of one hour's gap; an error takes an item out. Bursts that the watermark has not closed wait.
+
+    Times count in whole milliseconds, rounded as the SQL's epoch_ms rounds. The files of the table are in no order of time, so they make one
+    batch: by file, the changes of a later one would fall behind the watermark of the first.
+    """
+    changes = _events(spark, sf_dir, files_per_trigger=None).selectExpr(
+        "cast(user_id % 500 as string) as key", "timestamp_millis(cast(round(unix_micros(ts) / 1000) as bigint)) as ts", "event_id as seq", "event_type = 'error' as gone", "event_type as value")
     with keyed_state(spark):
         return items(_final(refreshes(changes, "1 hour"), spark, "append"))
 

@@ -15,9 +15,10 @@ from threadloom.sources.scratch import materialize
 from threadloom.sources.sinks import changed_only, upsert_leaves
 
 
-def read_stream(spark: SparkSession, schema: str, path: str, kind: str = "parquet", files_per_trigger: int = 1) -> DataFrame:
-    """A stream of files. Lines of text formats that don't parse are passed over."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).option("mode", "DROPMALFORMED").format(kind).load(path)
+def read_stream(spark: SparkSession, schema: str, path: str, kind: str = "parquet", files_per_trigger: int | None = 1) -> DataFrame:
+    """A stream of files, so many a batch (None: all that are there). Lines of text formats that don't parse are passed over."""
+    reader = spark.readStream.schema(schema).option("mode", "DROPMALFORMED").format(kind)
+    return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).load(path)
 
 
 def read_upserted(spark: SparkSession, target: str, schema) -> DataFrame:
