@@ -61,3 +61,35 @@ def test_transcript_with_heads_and_the_last_known_speaker(spark):
         "\n--- Start ---\n    All of it.\n\n\n[A]\n[00:00:00.000]  hi there\n[00:01:01.500]  and\n[01:01:40.250]  \n\n--- End ---\n\n\n[B]\n[01:01:41.000]  bye\n[01:01:42.000]  ok\n"
         "\n" + rule + "\nTotal segments: 5\nTotal words: 5\nTotal chapters: 2")
     assert found[2].text.startswith("TRANSCRIPT: unknown\nDate: unknown\nDuration: 0:00\n") and found[2].text.endswith("Total segments: 0\nTotal words: 0\nTotal chapters: 0")
+
+
+def test_coherence_by_hand_on_gaps_and_many_batches_without_a_shuffle_of_terms(spark):
+    """Boundaries see ids, not places; transcripts end within and at Arrow batches; of a scored transcript only its rows are dealt."""
+    import random
+    from collections import Counter
+
+    from threadloom.operators import segments as ops
+
+    rng, rows = random.Random(5), []
+    for doc in range(40):
+        ids = sorted(rng.sample(range(60), rng.randrange(1, 45)))
+        rows += [(doc, i, float(i), i + 1.0, " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "the", "an"]) for _ in range(rng.randrange(0, 6))), "S1", [], []) for i in ids]
+    segs = spark.createDataFrame(rows, "doc_id long, id long, start double, end double, text string, speaker string, topics array<string>, films array<string>")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for most in ("7", before):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+            scored = ops.break_scores(segs, ["the"])
+            got = {(r.doc_id, r.id): r.coherence for r in scored.collect()}
+            assert got
+            for (doc, at), value in got.items():
+                side = lambda lo, hi: Counter(w for d, i, *_, t, _s, _t, _f in rows if d == doc and at + lo <= i <= at + hi for w in t.split() if w not in ("the", "an"))  # noqa: B023, E731
+                left, right = side(-6, -1), side(0, 5)
+                size = sum(n * n for n in left.values()) * sum(n * n for n in right.values())
+                assert abs(value - (1 - sum(left[w] * right[w] for w in left) / size**0.5 if size else 1.0)) < 1e-12
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hash")
+    assert exchanges(scored) == 1
+    chapter_rows = spark.createDataFrame([(1, 0, "alpha beta alpha"), (1, 1, "beta gamma"), (2, 0, "alpha")], "doc_id long, chapter_id long, text string")
+    assert exchanges(ops.key_phrases(chapter_rows, ["the"])) == 1

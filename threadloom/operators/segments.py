@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from threadloom.functions.text import clock_of, dictionary_hits, jaccard_distance, tokens, word_count
 
@@ -113,18 +118,70 @@ def mentions(segments: DataFrame, dictionary: DataFrame, key: list[str]) -> Data
     return hits.select(*key, "class", F.least(F.col("k") / 2.0, F.lit(1.0)).alias("confidence"))
 
 
-def _cosine(segments: DataFrame, stopwords: list[str], span: int, key: str) -> DataFrame:
-    """(key, id, coherence): cosine distance of the terms of `span` segments before and from each boundary.
-
-    Each (segment, term) count adds to the boundaries it is near, as rows: two map-side aggregations, no map per frame.
-    """
-    words = F.filter(tokens(F.col("text")), lambda w: (F.char_length(w) > 2) & ~w.isin(stopwords))
-    counts = segments.select(key, "id", F.explode(words).alias("term")).groupBy(key, "id", "term").agg(F.count(F.lit(1)).alias("n"))
-    near = counts.select(key, "term", "n", F.explode(F.sequence(F.col("id") - (span - 1), F.col("id") + span)).alias("at"), "id")
-    left, right = F.when(F.col("id") < F.col("at"), F.col("n")).otherwise(0), F.when(F.col("id") >= F.col("at"), F.col("n")).otherwise(0)
-    sides = near.groupBy(key, "at", "term").agg(F.sum(left).alias("l"), F.sum(right).alias("r"))
-    dots = sides.groupBy(key, F.col("at").alias("id")).agg(F.sum(F.col("l") * F.col("r")).alias("d"), F.sum(F.col("l") * F.col("l")).alias("a"), F.sum(F.col("r") * F.col("r")).alias("b"))
-    return dots.select(key, "id", F.when((F.col("a") == 0) | (F.col("b") == 0), 1.0).otherwise(1 - F.col("d") / F.sqrt((F.col("a") * F.col("b")).cast("double"))).alias("coherence"))
+def _shared(batches: Iterator[pa.RecordBatch], span: int, key: str) -> Iterator[pa.RecordBatch]:
+    """batches, sorted by key and id, with d, a, b in place of `words`: the dot product and the squares of the terms of the ids from id - span
+    and those from id on. Transcripts are gathered whole, many at a time; the products of segments up to 2 * span - 1 ids apart suffice."""
+    def scored(rows: pa.Table) -> pa.RecordBatch:
+        keys, ids = rows[key].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(), rows["id"].to_numpy()
+        unit = np.cumsum(np.concatenate(([True], (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])))) - 1  # rows of one id count as one
+        first = np.flatnonzero(np.concatenate(([True], unit[1:] != unit[:-1])))
+        keys, ids, units = keys[first], ids[first], len(first)
+        words = rows["words"].combine_chunks()
+        terms, per_row = words.flatten().dictionary_encode(), np.diff(words.offsets.to_numpy())
+        codes, each = np.unique((keys[np.repeat(unit, per_row)].astype(np.int64) * max(len(terms.dictionary), 1) + terms.indices.to_numpy()) * units + np.repeat(unit, per_row), return_counts=True)
+        code, at, each = codes // units, codes % units, each.astype(np.float64)
+        band = np.bincount(at * (2 * span), each * each, units * 2 * span)
+        for k in range(1, 2 * span):
+            near = np.flatnonzero((code[k:] == code[:-k]) & (at[k:] - at[:-k] < 2 * span))
+            band += np.bincount(at[near] * (2 * span) + at[near + k] - at[near], each[near] * each[near + k], units * 2 * span)
+        band = np.vstack([band.reshape(units, -1), np.zeros((1, 2 * span))])
+
+        def there(shift: int, most: int) -> np.ndarray:
+            """The unit so many places on, if it is one of the transcript's and its id is near enough; else the row of zeros."""
+            to = np.arange(units) + shift
+            ok = (to >= 0) & (to < units)
+            ok[ok] = (keys[to[ok]] == keys[ok]) & (np.abs(ids[to[ok]] - ids[ok]) <= most)
+            return np.where(ok, to, units)
+
+        left, right = [there(-i, span) for i in range(1, span + 1)], [there(i, span - 1) for i in range(span)]
+        d, a, b = np.zeros(units), np.zeros(units), np.zeros(units)
+        for i in range(span):
+            for j in range(span):
+                d += np.where(right[j] < units, band[left[i], i + 1 + j], 0)
+            for j in range(i, span):
+                twice = 1 if i == j else 2
+                a += twice * np.where(left[i] < units, band[left[j], j - i], 0)
+                b += twice * np.where(right[j] < units, band[right[i], j - i], 0)
+        out = rows.drop_columns(["words"])
+        for name, values in (("d", d), ("a", a), ("b", b)):
+            out = out.append_column(name, pa.array(values[unit].astype(np.int64)))
+        return out.combine_chunks().to_batches()[0]
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).dictionary_encode(null_encoding="encode")
+        new = np.flatnonzero(keys.indices.to_numpy() == len(keys.dictionary) - 1)[0]  # the last transcript may go on
+        if held and (new or held[-1].column(key)[held[-1].num_rows - 1].as_py() != keys[0].as_py()):
+            yield scored(pa.Table.from_batches([*held, batch.slice(0, new)]))
+            held = []
+        elif new:
+            yield scored(pa.Table.from_batches([batch.slice(0, new)]))
+        held.append(batch.slice(new))
+    if held:
+        yield scored(pa.Table.from_batches(held))
+
+
+def _coherence(rows: DataFrame, stopwords: list[str], span: int, key: str) -> DataFrame:
+    """rows(key, id, text, ...), dealt by key, with `coherence` in place of text: the cosine distance of the terms of `span` segments before
+    and from each boundary. Terms are counted where the transcripts lie, so none of them is shuffled."""
+    words = F.filter(tokens(F.coalesce("text", F.lit(""))), lambda w: (F.char_length(w) > 2) & ~w.isin(stopwords))
+    cut = rows.sortWithinPartitions(key, "id").withColumn("words", words).drop("text")
+    kept = StructType([f for f in cut.schema if f.name != "words"])
+    found = cut.mapInArrow(lambda batches: _shared(batches, span, key), StructType([*kept, *[StructField(c, LongType()) for c in ("d", "a", "b")]]))
+    far = 1 - F.col("d") / F.sqrt((F.col("a") * F.col("b")).cast("double"))
+    return found.withColumn("coherence", F.when((F.col("a") == 0) | (F.col("b") == 0), 1.0).otherwise(far)).drop("d", "a", "b")
 
 
 def break_scores(segments: DataFrame, stopwords: list[str], span: int = 6, key: str = "doc_id") -> DataFrame:
@@ -135,8 +192,8 @@ def break_scores(segments: DataFrame, stopwords: list[str], span: int = 6, key:
     order = Window.partitionBy(key).orderBy("id")
     left, right = order.rowsBetween(-span, -1), order.rowsBetween(0, span - 1)
     item = F.struct("topics", "films", "speaker")
-    s = segments.withColumns({"_l": F.collect_list(item).over(left), "_r": F.collect_list(item).over(right), "_gap": F.greatest(F.col("start") - F.lag("end").over(order), F.lit(0.0)), "_n": F.count(F.lit(1)).over(Window.partitionBy(key))})
-    s = s.filter((F.size("_l") >= 2) & (F.size("_r") >= 2) & (F.col("_n") >= 4))
+    s = segments.select(key, "id", "start", "end", "text", "speaker", "topics", "films").repartition(key)
+    s = s.withColumns({"_l": F.collect_list(item).over(left), "_r": F.collect_list(item).over(right), "_gap": F.greatest(F.col("start") - F.lag("end").over(order), F.lit(0.0)), "_n": F.count(F.lit(1)).over(Window.partitionBy(key))})
     side = lambda c, f: F.transform(F.col(c), lambda x: x[f])
     union = lambda c, f: F.array_distinct(F.flatten(side(c, f)))
 
@@ -153,8 +210,9 @@ def break_scores(segments: DataFrame, stopwords: list[str], span: int = 6, key:
         "speaker_turn": F.when(a.isNotNull() & b.isNotNull() & (a != b), 1.0).otherwise(0.0),
         "film": F.size(F.array_except(fr, fl)) / F.greatest(F.size(fr), F.lit(1)),
     }
-    near = s.select(key, "id", "start", "end", *[c.alias(k) for k, c in parts.items()])
-    scored = near.join(_cosine(segments, stopwords, span, key), [key, "id"], "left").withColumn("coherence", F.coalesce("coherence", F.lit(1.0)))
+    edge = (F.size("_l") >= 2) & (F.size("_r") >= 2) & (F.col("_n") >= 4)
+    near = s.select(key, "id", "start", "end", "text", edge.alias("_edge"), *[c.alias(k) for k, c in parts.items()])
+    scored = _coherence(near, stopwords, span, key).filter("_edge").select(key, "id", "start", "end", "coherence", *parts)
     names = dict(zip(["coherence", *parts], WEIGHTS.values(), strict=True))
     return scored.withColumn("score", sum((F.col(k) * w for k, w in names.items()), F.lit(0.0)))
 
@@ -188,8 +246,9 @@ def chapters(segments: DataFrame, breaks: DataFrame, key: str = "doc_id") -> Dat
 
     Chapters are numbered by the running count of breaks; topics and films (arrays of names) are empty sets where segments lack them.
     """
-    marked = segments.join(breaks.select(key, "id", F.lit(1).alias("_b")), [key, "id"], "left")
-    numbered = marked.withColumn("chapter_id", F.sum(F.coalesce("_b", F.lit(0))).over(Window.partitionBy(key).orderBy("id")))
+    at = breaks.groupBy(key).agg(F.collect_set("id").alias("_at"))
+    marked = segments.join(at, key, "left").withColumn("_b", F.coalesce(F.array_contains("_at", F.col("id")).cast("long"), F.lit(0))).drop("_at")
+    numbered = marked.withColumn("chapter_id", F.sum("_b").over(Window.partitionBy(key).orderBy("id")))
     texts = F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda s: s["text"])
     names = lambda c: F.array_sort(F.filter(F.array_distinct(F.flatten(F.collect_set(c))), lambda x: x != "")) if c in segments.columns else F.array().cast("array<string>")
     found = numbered.groupBy(key, "chapter_id").agg(
@@ -200,11 +259,11 @@ def chapters(segments: DataFrame, breaks: DataFrame, key: str = "doc_id") -> Dat
 
 def key_phrases(chapter_rows: DataFrame, stopwords: list[str], k: int = 10, key: str = "doc_id") -> DataFrame:
     """Top k terms of each chapter by tf * ln((T + 1) / (g + 1)), T tokens and g occurrences of the transcript."""
-    words = chapter_rows.select(key, "chapter_id", F.explode(F.filter(tokens(F.col("text")), lambda w: (F.char_length(w) > 2) & ~w.isin(stopwords))).alias("term"))
+    # Texts are dealt by transcript once; all that follows groups by the transcript too, so terms are never shuffled.
+    words = chapter_rows.select(key, "chapter_id", "text").repartition(key).select(key, "chapter_id", F.explode(F.filter(tokens(F.col("text")), lambda w: (F.char_length(w) > 2) & ~w.isin(stopwords))).alias("term"))
     tf = words.groupBy(key, "chapter_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    g = tf.groupBy(key, "term").agg(F.sum("tf").alias("g"))
-    total = tf.groupBy(key).agg(F.sum("tf").alias("t"))
-    scored = tf.join(g, [key, "term"]).join(total, key).withColumn("score", F.col("tf") * F.log((F.col("t") + 1) / (F.col("g") + 1)))
+    sums = {"g": F.sum("tf").over(Window.partitionBy(key, "term")), "t": F.sum("tf").over(Window.partitionBy(key))}
+    scored = tf.withColumns(sums).withColumn("score", F.col("tf") * F.log((F.col("t") + 1) / (F.col("g") + 1))).drop("g", "t")
     rank = F.row_number().over(Window.partitionBy(key, "chapter_id").orderBy(F.desc("score"), "term"))
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
 
