@@ -63,3 +63,18 @@ def test_keywords_of_questions(spark):
     texts = spark.createDataFrame([("An ARRI with a key to the light", "f"), ("Roger Deakins said", "f"), ("deakins alone", "g")], "text string, forum string")
     questions = spark.createDataFrame([("q", ["key light", "ARRI"], ["f"], 2), ("r", ["Roger Deakins"], ["f"], 1), ("s", ["!", "no such"], [], 1)], "name string, keywords array<string>, forums array<string>, least int")
     assert {r["name"]: (r.hits, r.complete) for r in reports.question_report(questions, texts, "forum", "text", "forum").collect()} == {"q": (2, True), "r": (1, True), "s": (0, False)}
+
+
+def test_classes_are_grouped_inside_the_row_and_as_by_joins(spark):
+    from threadloom.functions.text import class_hits
+    from threadloom.operators import segments as ops
+
+    texts = spark.createDataFrame([(1, "the Cat of the house, a cat"), (2, "of the of"), (3, None), (4, "nothing")], "id long, text string")
+    dictionary = spark.createDataFrame([("a", "the"), ("a", "cat"), ("a", "cat"), ("b", "of the"), ("b", "cat"), ("c", None)], "class string, keyword string")
+    want = {(1, "a", ("cat", "the")), (1, "b", ("cat", "of the")), (2, "a", ("the",)), (2, "b", ("of the",))}
+    for small in (2000, 1):
+        found = class_hits(texts, dictionary, ["id"], "text", small)
+        assert {(r.id, r["class"], tuple(r.found)) for r in found.collect()} == want
+    assert class_hits(texts, dictionary.limit(0), ["id"], "text").count() == 0
+    tags = ops.topic_tags(texts, dictionary, ["id"], least=0.0)
+    assert "Exchange" not in tags._jdf.queryExecution().executedPlan().toString() and {r.keywords for r in tags.collect()} >= {"cat,the", "cat,of the"}

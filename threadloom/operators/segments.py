@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from threadloom.functions.text import clock_of, dictionary_hits, jaccard_distance, tokens, word_count
+from threadloom.functions.text import class_hits, clock_of, jaccard_distance, tokens, word_count
+from threadloom.sources.scratch import joinable, materialize
 
 WEIGHTS = {"coherence": 0.35, "pause": 0.2, "topic": 0.2, "speaker": 0.1, "film": 0.15}
 
@@ -90,17 +91,20 @@ def topic_tags(segments: DataFrame, dictionary: DataFrame, key: list[str], least
     nothing. index(term, topic, n), from corpus_terms, adds `related`: the topics with most documents that hold the keywords, ties by
     name. Related topics are ranked once per set of keywords, however many segments share it.
     """
-    long = segments.filter(F.char_length(F.trim("text")) >= 10)
-    hits = dictionary_hits(long, dictionary, key, "text").select(*key, "class", "keyword").distinct()
-    boost = F.lit(0.0)
-    if corpus is not None:
-        hits = hits.join(corpus.select(F.col("term").alias("keyword"), "tfidf"), "keyword", "left")
+    # The number of words stands with the key, so that segments and hits need not meet again.
+    long = segments.filter(F.char_length(F.trim("text")) >= 10).withColumn("_w", word_count(F.col("text")))
+    hits = class_hits(long, dictionary, [*key, "_w"], "text")
+    if corpus is None:
+        hits = hits.withColumn("boost", F.lit(0.0))
+    else:
+        named = corpus.select(F.col("term").alias("keyword"), "tfidf").join(joinable(dictionary.select("keyword").distinct()), "keyword", "left_semi")
+        each = hits.select(*key, "_w", "class", "found", F.explode("found").alias("keyword")).join(joinable(materialize(named)), "keyword", "left")
         boost = F.least(F.sum(F.coalesce("tfidf", F.lit(0.0))) / F.count(F.lit(1)) / 100.0, F.lit(0.3))
-    hits = hits.groupBy(*key, "class").agg(F.count(F.lit(1)).alias("k"), F.array_join(F.array_sort(F.collect_set("keyword")), ",").alias("keywords"), boost.alias("boost"))
-    sized = long.select(*key, word_count(F.col("text")).alias("w"))
-    score = 0.4 * F.least(F.col("k") / 3.0, F.lit(1.0)) + 0.6 * F.least(10.0 * F.col("k") / F.greatest("w", F.lit(1)), F.lit(1.0))
+        hits = each.groupBy(*key, "_w", "class", "found").agg(boost.alias("boost"))
+    hits = hits.withColumns({"k": F.size("found"), "keywords": F.array_join("found", ",")})
+    score = 0.4 * F.least(F.col("k") / 3.0, F.lit(1.0)) + 0.6 * F.least(10.0 * F.col("k") / F.greatest("_w", F.lit(1)), F.lit(1.0))
     raw = score if corpus is None else F.least(score + F.col("boost"), F.lit(1.0))
-    tags = hits.join(sized, key).withColumn("confidence", raw)
+    tags = hits.withColumn("confidence", raw)
     tags = tags.filter((F.round("confidence", 3) if corpus is None else F.col("confidence")) >= least).select(*key, "class", F.round("confidence", 3).alias("confidence"), "keywords")
     if index is None:
         return tags
@@ -114,8 +118,7 @@ def topic_tags(segments: DataFrame, dictionary: DataFrame, key: list[str], least
 
 def mentions(segments: DataFrame, dictionary: DataFrame, key: list[str]) -> DataFrame:
     """(key..., class, confidence min(k / 2, 1))."""
-    hits = dictionary_hits(segments, dictionary, key, "text").groupBy(*key, "class").agg(F.count_distinct("keyword").alias("k"))
-    return hits.select(*key, "class", F.least(F.col("k") / 2.0, F.lit(1.0)).alias("confidence"))
+    return class_hits(segments, dictionary, key, "text").select(*key, "class", F.least(F.size("found") / 2.0, F.lit(1.0)).alias("confidence"))
 
 
 def _shared(batches: Iterator[pa.RecordBatch], span: int, key: str) -> Iterator[pa.RecordBatch]:
