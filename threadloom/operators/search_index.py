@@ -24,8 +24,10 @@ from threadloom.sources.scratch import joinable, scratch
 
 #: Terms that a prefix may bring into a query as a list; a prefix with more is matched inside the scan.
 PREFIX_TERMS = 2000
-#: Tokens for each bucket from which it is written as several files.
-FILE_TOKENS = 20_000_000
+#: Tokens of a file of a bucket: a task sorts one file, in memory.
+FILE_TOKENS = 2_000_000
+#: Tokens that a Python task groups at once.
+GROUP_TOKENS = 200_000
 
 
 @lru_cache
@@ -212,7 +214,7 @@ class SearchIndex:
         test = F.col("term").isin(some) if len(some) <= PREFIX_TERMS else F.lit(True)
         if columns:
             test = test & F.col("field").isin(list(columns))
-        at = asked.join(self.live(test), "term")
+        at = self.live(test).join(joinable(asked), "term")
         if phrase:
             at = at.select("name", "q", "n", "i", "field", self.key, F.explode("positions").alias("p"))
             met = at.groupBy("name", "q", "n", "field", self.key, (F.col("p") - F.col("i")).alias("first")).agg(F.count(F.lit(1)).alias("met"))
@@ -222,14 +224,28 @@ class SearchIndex:
         return queries.select("name").distinct().join(hits, "name", "left").select("name", F.coalesce("hits", F.lit(0)).alias("hits"))
 
     def statistics(self) -> DataFrame:
-        """(field, tokens, terms, docs) of the live postings."""
-        return self.live().groupBy("field").agg(F.sum("tf").alias("tokens"), F.count_distinct("term").alias("terms"), F.count_distinct(self.key).alias("docs"))
+        """(field, tokens, terms, docs) of the live postings. A document has one first token in a field, so documents are counted by these,
+        along with the terms, and keys are never shuffled."""
+        first = F.get("positions", F.lit(0)) == 0
+        per_term = self.live().groupBy("field", "term").agg(F.sum("tf").alias("tf"), F.count_if(first).alias("n"))
+        return per_term.groupBy("field").agg(F.sum("tf").alias("tokens"), F.count(F.lit(1)).alias("terms"), F.sum("n").alias("docs"))
+
+
+def _portions(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    """Batches in slices of up to GROUP_TOKENS words, one row at least."""
+    for b in batches:
+        ends, at = np.cumsum(np.diff(b.column("words").offsets.to_numpy()), dtype=np.int64), 0
+        while at < b.num_rows:
+            before = ends[at - 1] if at else 0
+            n = max(1, int(np.searchsorted(ends, before + GROUP_TOKENS, side="right")) - at)
+            yield b.slice(at, n)
+            at += n
 
 
 def group_terms(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
     """(key, length, field, term, tf, positions) from rows (key, length, field, words): the tokens of a field meet where they are read, so
     that postings need no shuffle of tokens."""
-    for b in batches:
+    for b in _portions(batches):
         words = b.column("words")
         terms = words.flatten().dictionary_encode()
         if not len(terms):
