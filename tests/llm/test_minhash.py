@@ -47,3 +47,31 @@ def test_near_stage_reaches_all_pairs_of_five_words_and_0_8(spark):
     got = corpus_pipeline.STAGES[2][1](spark, docs, "")
     assert got.columns == docs.columns and {r.doc_id for r in got.collect()} == kept | {None}
     assert corpus_pipeline.STAGES[2][1](spark, docs.limit(0), "").count() == 0
+
+
+def test_pairs_that_share_no_band_of_minima(spark):
+    """Pairs of exactly 0.8 (8 of 10 shingles) that no band of minima and no close fingerprint brings together."""
+    texts = []
+    for n in (56336, 10093747, 20075422, 50026599, 70093124):
+        words = [f"{n}v{j}" for j in range(13)]
+        texts += [" ".join(words), " ".join(words[:-1] + ["end"])]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(brute_near(texts))) == {i: i - i % 2 for i in range(10)}
+
+
+def test_prefixes_meet_whatever_the_order():
+    import numpy as np
+
+    from threadloom.llm import minhash
+
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        n = int(rng.integers(1, 60))
+        both = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        a, b = (np.unique(np.concatenate([both, rng.integers(0, 1 << 62, int(rng.integers(0, n // 6 + 1)), dtype=np.uint64)])) for _ in range(2))
+        known = np.unique(rng.permutation(np.union1d(a, b))[: int(rng.integers(0, 40))])
+        order = known, np.arange(len(known)) % 3 + 4
+        keys = [minhash.prefix_keys(s, order, 0.8) for s in (a, b)]
+        shared = len(np.intersect1d(a, b))
+        assert shared < 0.8 * len(np.union1d(a, b)) - 1e-9 or set(keys[0]) & set(keys[1])
+    assert len(minhash.prefix_keys(np.arange(15, dtype=np.uint64), (np.zeros(0, np.uint64), np.zeros(0)), 0.8)) == 4

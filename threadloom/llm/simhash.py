@@ -13,7 +13,7 @@ under five of these bits' eight groups of three. Such a list holds at most 2^9 f
 of long lists and not with their square. No pair is lost and none is capped.
 
 near_duplicates is the general form for word shingles of any width and a Jaccard similarity: fingerprints give the closest
-candidates, bands of minima (minhash.py) those that the distance of 3 bits can't reach, and each pair is checked exactly.
+candidates, a join by prefixes of shingle sets (minhash.py) all that the distance of 3 bits can't reach, and each pair is checked.
 """
 
 from __future__ import annotations
@@ -156,17 +156,19 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return found.select("doc_id", hexed.alias("fingerprint"), F.col("component_id"))
 
 
-def _signatures(rows: DataFrame, width: int) -> DataFrame:
-    from .minhash import band_keys, shingle_set
+def _signatures(rows: DataFrame, width: int, least: float) -> DataFrame:
+    from .minhash import common_shingles, marks, prefix_keys, read_common, shingle_set
+
+    path = common_shingles(rows, width)
 
     def run(batches):
         for b in slices(batches, 500, most=2_000_000):
             digests = [shingle_digests(t or b"", width) for t in b.column("text").to_pylist()]
             sets = [shingle_set(d) for d in digests]
-            columns = [pa.array([majority(d) for d in digests], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), *columns], ["doc_id", "text_hash", "fp", "n", "keys"])
+            columns = [pa.array([majority(d) for d in digests], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([prefix_keys(s, read_common(path), least) for s in sets], pa.list_(pa.int64())), pa.array([marks(s) for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), *columns], ["doc_id", "text_hash", "fp", "n", "keys", "marks"])
 
-    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long, n long, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long, n long, keys array<long>, marks array<long>")
 
 
 def _nodes(rows: DataFrame, several: DataFrame | None) -> DataFrame:
@@ -182,22 +184,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     word shingles. component_id is the smallest id reachable over near copies; the row of that id (of its texts the one with
     the smallest hash) is kept. text_hash is xxhash64 of the text in UTF-8 (null: empty), as a column of docs can give it.
 
-    Candidates are fingerprints within 3 bits (fingerprint_links) and documents that share bands of minima (minhash.py); all
-    are checked on whole texts. Rows with a null id have no part in it; equal rows are one document.
+    Candidates are fingerprints within 3 bits (fingerprint_links) and documents whose prefixes of shingle sets meet (minhash.py), which are
+    all that can have the similarity; each is checked on whole texts. Rows with a null id have no part in it; equal rows are one document.
     """
-    from .minhash import band_links
+    from .minhash import prefix_links
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).filter("doc_id is not null")
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
-    signed = materialize(_signatures(texts, width), "signatures")
+    signed = materialize(_signatures(texts, width, least), "signatures")
     several = materialize(signed.groupBy("doc_id").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b")).filter("a < b").select("doc_id"), "several-texts")
     several = None if several.isEmpty() else several
     signed, texts = _nodes(signed, several), _nodes(texts, several).select("node", "text")
     heads = materialize(signed.groupBy("fp").agg(F.min("node").alias("head")), "fp-heads")
     equal = signed.join(heads, "fp").filter("node > head").select(F.col("head").alias("a"), F.col("node").alias("b"))
     close = near_links(heads.select(F.col("head").alias("node"), "fp"), hot)
-    first = equal.unionByName(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    parts = band_links(signed.select("node", "n", "keys"), texts, width, least, first)
+    # The prefixes bring every pair, so one of the closest fingerprints is enough for each node.
+    close = close.groupBy(F.greatest("a", "b").alias("b")).agg(F.min(F.least("a", "b")).alias("a"))
+    parts = prefix_links(signed.select("node", "n", "keys", "marks"), texts, width, least, equal.unionByName(close))
     found = materialize(signed.join(parts, "node").select("doc_id", "text_hash", "component").distinct(), "near-rows")
     keep = found.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("keep"))
     named = found.join(keep, "component")
