@@ -93,3 +93,15 @@ def test_coherence_by_hand_on_gaps_and_many_batches_without_a_shuffle_of_terms(s
     assert exchanges(scored) == 1
     chapter_rows = spark.createDataFrame([(1, 0, "alpha beta alpha"), (1, 1, "beta gamma"), (2, 0, "alpha")], "doc_id long, chapter_id long, text string")
     assert exchanges(ops.key_phrases(chapter_rows, ["the"])) == 1
+
+
+def test_texts_move_once(spark):
+    """Segments that lie by transcript are not dealt again, and sentences are ranked inside of their chapter."""
+    from threadloom.plans import segments as plans
+
+    scored = ops.break_scores(plans._tagged(spark, "/root/testdata/sf0.001"), plans.STOP)
+    assert scored._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    rows = spark.createDataFrame([(1, 0, "One two three four five. Short one. Is this a question of words? " + "word " * 34 + "end. Holding several longer words matters greatly.")], "doc_id long, chapter_id long, text string")
+    found = ops.chapter_summaries(rows, [])
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.first().summary == "Holding several longer words matters greatly."  # the second best doesn't fit

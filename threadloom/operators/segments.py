@@ -195,7 +195,8 @@ def break_scores(segments: DataFrame, stopwords: list[str], span: int = 6, key:
     order = Window.partitionBy(key).orderBy("id")
     left, right = order.rowsBetween(-span, -1), order.rowsBetween(0, span - 1)
     item = F.struct("topics", "films", "speaker")
-    s = segments.select(key, "id", "start", "end", "text", "speaker", "topics", "films").repartition(key)
+    # The windows deal the rows by transcript, unless they lie so already: then texts don't move again.
+    s = segments.select(key, "id", "start", "end", "text", "speaker", "topics", "films")
     s = s.withColumns({"_l": F.collect_list(item).over(left), "_r": F.collect_list(item).over(right), "_gap": F.greatest(F.col("start") - F.lag("end").over(order), F.lit(0.0)), "_n": F.count(F.lit(1)).over(Window.partitionBy(key))})
     side = lambda c, f: F.transform(F.col(c), lambda x: x[f])
     union = lambda c, f: F.array_distinct(F.flatten(side(c, f)))
@@ -343,13 +344,17 @@ def chapter_summaries(chapter_rows: DataFrame, stopwords: list[str], sentences:
     """Extractive summary: sentences of 5 to 35 words that don't end with a question mark, by share of words of over three letters that
     are no stopwords (x .8 over 20 words), up to `sentences` and `words`, stopping at the first that doesn't fit; the best first, ties
     in text order."""
-    split = chapter_rows.select(key, "chapter_id", F.posexplode(F.split("text", r"(?<=[.!?])\s+")).alias("pos", "sentence")).withColumn("sentence", _stripped(F.col("sentence")))
-    n = word_count(F.col("sentence"))
-    content = F.size(F.filter(F.split(F.lower("sentence"), r"\s+"), lambda w: ~w.isin(stopwords) & (F.char_length(w) > 3)))
-    good = split.withColumns({"n": n, "score": content / n * F.when(n > 20, 0.8).otherwise(1.0)}).filter((F.col("n") >= 5) & (F.col("n") <= 35) & ~F.col("sentence").endswith("?"))
-    order = Window.partitionBy(key, "chapter_id").orderBy(F.desc("score"), "pos")
-    ranked = good.withColumns({"rank": F.row_number().over(order), "used": F.sum("n").over(order)}).filter((F.col("rank") <= sentences) & (F.col("used") <= words))
-    return ranked.groupBy(key, "chapter_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "sentence"))), lambda s: s["sentence"]), " ").alias("summary"))
+    # A chapter is one row, so its sentences are ranked inside of it and none is shuffled.
+    stripped = F.transform(F.split("text", r"(?<=[.!?])\s+"), lambda x, i: F.struct(i.alias("pos"), _stripped(x).alias("sentence")))
+    counted = F.transform(stripped, lambda x: F.struct(x["pos"].alias("pos"), x["sentence"].alias("sentence"), word_count(x["sentence"]).cast("long").alias("n")))
+    good = F.filter(counted, lambda x: (x["n"] >= 5) & (x["n"] <= 35) & ~x["sentence"].endswith("?"))
+    content = lambda x: F.size(F.filter(F.split(F.lower(x["sentence"]), r"\s+"), lambda w: ~w.isin(stopwords) & (F.char_length(w) > 3)))
+    score = lambda x: content(x) / x["n"] * F.when(x["n"] > 20, 0.8).otherwise(1.0)
+    scored = F.transform(good, lambda x: F.struct((-score(x)).alias("score"), x["pos"].alias("pos"), x["n"].alias("n"), x["sentence"].alias("sentence")))
+    best = chapter_rows.select(key, "chapter_id", F.slice(F.array_sort(scored), 1, sentences).alias("_best"))
+    used = lambda i: F.aggregate(F.slice("_best", F.lit(1), i + 1), F.lit(0).cast("long"), lambda n, x: n + x["n"])
+    fit = F.filter("_best", lambda x, i: used(i) <= words)
+    return best.withColumn("_best", fit).filter(F.size("_best") > 0).select(key, "chapter_id", F.array_join(F.transform("_best", lambda x: x["sentence"]), " ").alias("summary"))
 
 
 def transcript_texts(segments: DataFrame, facts: DataFrame, chapter_rows: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -214,7 +214,8 @@ def break_scores(spark, sf_dir):
 
 
 def _chapters(spark, sf_dir):
-    segs = materialize(_tagged(spark, sf_dir))
+    # Not written in between: the scores and the chapters read one exchange of the segments by transcript.
+    segs = _tagged(spark, sf_dir)
     return materialize(ops.chapters(segs, ops.choose_breaks(ops.break_scores(segs, STOP))))
 
 
