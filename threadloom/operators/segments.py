@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from threadloom.functions.text import class_hits, clock_of, jaccard_distance, tokens, word_count
 from threadloom.sources.scratch import joinable, materialize
@@ -121,6 +123,24 @@ def mentions(segments: DataFrame, dictionary: DataFrame, key: list[str]) -> Data
     return class_hits(segments, dictionary, key, "text").select(*key, "class", F.least(F.size("found") / 2.0, F.lit(1.0)).alias("confidence"))
 
 
+def _whole(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """batches, sorted by key, as tables that cut no transcript; each holds many."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).dictionary_encode(null_encoding="encode")
+        new = np.flatnonzero(keys.indices.to_numpy() == len(keys.dictionary) - 1)[0]  # the last transcript may go on
+        if held and (new or held[-1].column(key)[held[-1].num_rows - 1].as_py() != keys[0].as_py()):
+            yield pa.Table.from_batches([*held, batch.slice(0, new)])
+            held = []
+        elif new:
+            yield pa.Table.from_batches([batch.slice(0, new)])
+        held.append(batch.slice(new))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _shared(batches: Iterator[pa.RecordBatch], span: int, key: str) -> Iterator[pa.RecordBatch]:
     """batches, sorted by key and id, with d, a, b in place of `words`: the dot product and the squares of the terms of the ids from id - span
     and those from id on. Transcripts are gathered whole, many at a time; the products of segments up to 2 * span - 1 ids apart suffice."""
@@ -160,20 +180,7 @@ def _shared(batches: Iterator[pa.RecordBatch], span: int, key: str) -> Iterator[
             out = out.append_column(name, pa.array(values[unit].astype(np.int64)))
         return out.combine_chunks().to_batches()[0]
 
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(key).dictionary_encode(null_encoding="encode")
-        new = np.flatnonzero(keys.indices.to_numpy() == len(keys.dictionary) - 1)[0]  # the last transcript may go on
-        if held and (new or held[-1].column(key)[held[-1].num_rows - 1].as_py() != keys[0].as_py()):
-            yield scored(pa.Table.from_batches([*held, batch.slice(0, new)]))
-            held = []
-        elif new:
-            yield scored(pa.Table.from_batches([batch.slice(0, new)]))
-        held.append(batch.slice(new))
-    if held:
-        yield scored(pa.Table.from_batches(held))
+    yield from map(scored, _whole(batches, key))
 
 
 def _coherence(rows: DataFrame, stopwords: list[str], span: int, key: str) -> DataFrame:
@@ -221,28 +228,42 @@ def break_scores(segments: DataFrame, stopwords: list[str], span: int = 6, key:
     return scored.withColumn("score", sum((F.col(k) * w for k, w in names.items()), F.lit(0.0)))
 
 
+def _picked(ids: np.ndarray, start: np.ndarray, end: np.ndarray, score: np.ndarray, least: float, apart: float, longest: float) -> list[int]:
+    """The accepted breaks of one transcript, sorted by id."""
+    starts, ends = start[~np.isnan(start)], end[~np.isnan(end)]
+    if not len(starts) or not len(ends):
+        return []
+    bounds, chosen = sorted({float(starts.min()), float(ends.max())}), set()
+    good = np.flatnonzero(score >= least)
+    for i in good[np.lexsort((ids[good], -score[good]))].tolist():
+        x = float(start[i])
+        at = bisect_left(bounds, x)  # the edges next to it are the nearest ones
+        if all(abs(x - e) >= apart and x != e for e in bounds[max(at - 1, 0) : at + 1]):
+            bounds.insert(at, x)
+            chosen.add(int(ids[i]))
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        if b - a > longest:
+            before = np.flatnonzero((start <= (a + b) / 2) & (start > a))
+            if len(before):
+                chosen.add(int(ids[before[-1]]))
+    return sorted(chosen)
+
+
 def choose_breaks(scored: DataFrame, least: float = 0.3, apart: float = 120.0, longest: float = 1200.0, key: str = "doc_id") -> DataFrame:
-    """(key, id) of accepted chapter breaks. Greedy by score within a transcript, so one group task per transcript, of four
-    narrow columns: a candidate is taken if its start lies `apart` from all edges; then a chapter over `longest` gets one
-    break at the last segment that starts before its middle."""
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        edges = {float(pdf["start"].min()): None, float(pdf["end"].max()): None}
-        chosen: dict[int, float] = {}
-        for r in pdf[pdf["score"] >= least].sort_values(["score", "id"], ascending=[False, True]).itertuples():
-            if all(abs(r.start - x) >= apart or r.start == x for x in edges) and r.start not in edges:
-                edges[float(r.start)] = None
-                chosen[int(r.id)] = float(r.start)
-        bounds = sorted(edges)
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            if b - a > longest:
-                before = pdf[(pdf["start"] <= (a + b) / 2) & (pdf["start"] > a)]
-                if len(before):
-                    chosen[int(before.iloc[-1]["id"])] = float(before.iloc[-1]["start"])
-        return pd.DataFrame({key: [pdf[key].iloc[0]] * len(chosen), "id": sorted(chosen)}).astype({"id": "int64"})
-
-    narrow = scored.select(key, "id", "start", "end", "score")
-    return narrow.groupBy(key).applyInPandas(pick, f"{key} long, id long")
+    """(key, id) of accepted chapter breaks. Greedy by score within a transcript, of which four narrow columns lie in one task, among many
+    others: a candidate is taken if its start lies `apart` from all edges; then a chapter over `longest` gets one break at the last
+    segment that starts before its middle."""
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole(batches, key):
+            codes = rows[key].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+            first = np.append(np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))), len(codes))
+            columns = [rows[c].to_numpy() for c in ("id", "start", "end", "score")]
+            found = [_picked(*(c[a:b] for c in columns), least, apart, longest) for a, b in zip(first, first[1:], strict=False)]
+            of = rows[key].combine_chunks().take(pa.array(np.repeat(first[:-1], [len(f) for f in found])))
+            yield pa.RecordBatch.from_arrays([of, pa.array([i for f in found for i in f], pa.int64())], [key, "id"])
+
+    narrow = scored.select(F.col(key).cast("long").alias(key), F.col("id").cast("long").alias("id"), *[F.col(c).cast("double").alias(c) for c in ("start", "end", "score")])
+    return narrow.repartition(key).sortWithinPartitions(key, "id").mapInArrow(pick, f"{key} long, id long")
 
 
 def chapters(segments: DataFrame, breaks: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -272,6 +293,42 @@ def key_phrases(chapter_rows: DataFrame, stopwords: list[str], k: int = 10, key:
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def _top_terms(batches: Iterator[pa.RecordBatch], key: str, k: int) -> Iterator[pa.RecordBatch]:
+    """batches, sorted by key, with `top`, the best terms of each row by the score of key_phrases, in place of `words`."""
+    for rows in _whole(batches, key):
+        transcript = rows[key].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy().astype(np.int64)
+        words = rows["words"].combine_chunks()
+        terms, row = words.flatten().dictionary_encode(), np.repeat(np.arange(rows.num_rows), np.diff(words.offsets.to_numpy()))
+        n = max(len(terms.dictionary), 1)
+        code, tf = np.unique(row * n + terms.indices.to_numpy(), return_counts=True)
+        row, term = code // n, code % n
+        _, at = np.unique(transcript[row] * n + term, return_inverse=True)
+        g, t = np.bincount(at, tf)[at], np.bincount(transcript[row], tf)[transcript[row]]
+        # Few distinct ratios: the logarithm of the C library for each.
+        ratio, which = np.unique((t + 1) / (g + 1), return_inverse=True)
+        score = tf * np.array([log(x) for x in ratio.tolist()])[which]
+        place = np.empty(n, np.int64)
+        place[pc.sort_indices(terms.dictionary).to_numpy()] = np.arange(len(terms.dictionary))
+        order = np.lexsort((place[term], -score, row))
+        starts = np.searchsorted(row[order], np.arange(rows.num_rows + 1))
+        best = order[np.arange(len(order)) - starts[row[order]] < k]
+        ends = np.concatenate(([0], np.cumsum(np.minimum(np.diff(starts), k)))).astype(np.int32)
+        none = pa.array(np.append(ends[1:] == ends[:-1], False))
+        top = pa.ListArray.from_arrays(pc.if_else(none, pa.scalar(None, pa.int32()), pa.array(ends)), terms.dictionary.take(pa.array(term[best])))
+        yield from rows.drop_columns(["words"]).append_column("top", top).combine_chunks().to_batches()
+
+
+def with_top_terms(chapter_rows: DataFrame, stopwords: list[str], k: int = 10, key: str = "doc_id") -> DataFrame:
+    """chapter_rows with `top`, the terms of key_phrases by rank (null for a chapter without any), in place of text. Rows that lie by
+    transcript are not dealt again, and terms are counted where they lie."""
+    words = F.filter(tokens(F.coalesce("text", F.lit(""))), lambda w: (F.char_length(w) > 2) & ~w.isin(stopwords))
+    # The window deals the rows by transcript, unless they lie so already.
+    here = chapter_rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key))).filter("_n > 0").drop("_n")
+    cut = here.sortWithinPartitions(key, "chapter_id").withColumn("words", words).drop("text")
+    kept = StructType([*[f for f in cut.schema if f.name != "words"], StructField("top", ArrayType(StringType()))])
+    return cut.mapInArrow(lambda batches: _top_terms(batches, key, k), kept)
+
+
 # The words that titles go by.
 STARTERS = ["what ", "how ", "can you", "could you", "tell us", "when ", "where ", "why ", "do you", "did you", "have you"]
 LEADS = ["So ", "And ", "Now ", "But ", "Well "]
@@ -312,16 +369,20 @@ def guest_of(title: Column) -> Column:
     return F.when((name == F.upper(name)) & (name != F.lower(name)), proper).otherwise(name)
 
 
-def chapter_titles(chapter_rows: DataFrame, phrases: DataFrame, key: str = "doc_id", episodes: DataFrame | None = None) -> DataFrame:
-    """(key, chapter_id, title). phrases come from key_phrases, 50 a chapter for the whole rule.
+def chapter_titles(chapter_rows: DataFrame, phrases: DataFrame | None = None, key: str = "doc_id", episodes: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, chapter_id, keep..., title). phrases come from key_phrases, 50 a chapter for the whole rule; without them, chapter_rows has
+    them as `top` (with_top_terms), so that nothing is joined.
 
     By turns: 'Introduction' (with the guest, if the episode's title names one) for a first chapter that starts before 30 s; the first
     film with the best phrase that is no film; the first question among the first three segments; the two best terms of over three
     letters; 'Chapter n', also for a chapter without any term. episodes(key, title) may be None; an episode without a title has no
     introduction.
     """
-    ranked = F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda s: s["term"])
-    joined = chapter_rows.join(phrases.groupBy(key, "chapter_id").agg(ranked.alias("_top")), [key, "chapter_id"], "left")
+    if phrases is None:
+        joined = chapter_rows.withColumnRenamed("top", "_top")
+    else:
+        ranked = F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda s: s["term"])
+        joined = chapter_rows.join(phrases.groupBy(key, "chapter_id").agg(ranked.alias("_top")), [key, "chapter_id"], "left")
     joined = joined.withColumn("_episode", F.lit(" ")) if episodes is None else joined.join(episodes.select(key, F.col("title").alias("_episode")), key, "left")
     films = F.transform("films", lambda f: F.lower(f))
     other = F.get(F.filter(F.slice("_top", 1, 5), lambda t: ~F.array_contains(films, t)), F.lit(0))
@@ -337,13 +398,13 @@ def chapter_titles(chapter_rows: DataFrame, phrases: DataFrame, key: str = "doc_
         F.when(intro, F.concat(F.lit("Introduction"), F.when(guest.isNull(), "").otherwise(F.concat(F.lit(": "), guest))))
         .when(F.col("_top").isNull(), numbered).when(film.isNotNull(), clean_title(by_film)).when(asked.isNotNull(), clean_title(asked)).otherwise(F.coalesce(clean_title(terms), numbered))
     )
-    return joined.select(key, "chapter_id", title.alias("title"))
+    return joined.select(key, "chapter_id", *keep, title.alias("title"))
 
 
-def chapter_summaries(chapter_rows: DataFrame, stopwords: list[str], sentences: int = 2, words: int = 40, key: str = "doc_id") -> DataFrame:
+def chapter_summaries(chapter_rows: DataFrame, stopwords: list[str], sentences: int = 2, words: int = 40, key: str = "doc_id", keep: tuple[str, ...] | None = None) -> DataFrame:
     """Extractive summary: sentences of 5 to 35 words that don't end with a question mark, by share of words of over three letters that
     are no stopwords (x .8 over 20 words), up to `sentences` and `words`, stopping at the first that doesn't fit; the best first, ties
-    in text order."""
+    in text order. Chapters without a summary are left out; with further columns to `keep` they stay, with a null."""
     # A chapter is one row, so its sentences are ranked inside of it and none is shuffled.
     stripped = F.transform(F.split("text", r"(?<=[.!?])\s+"), lambda x, i: F.struct(i.alias("pos"), _stripped(x).alias("sentence")))
     counted = F.transform(stripped, lambda x: F.struct(x["pos"].alias("pos"), x["sentence"].alias("sentence"), word_count(x["sentence"]).cast("long").alias("n")))
@@ -351,10 +412,11 @@ def chapter_summaries(chapter_rows: DataFrame, stopwords: list[str], sentences:
     content = lambda x: F.size(F.filter(F.split(F.lower(x["sentence"]), r"\s+"), lambda w: ~w.isin(stopwords) & (F.char_length(w) > 3)))
     score = lambda x: content(x) / x["n"] * F.when(x["n"] > 20, 0.8).otherwise(1.0)
     scored = F.transform(good, lambda x: F.struct((-score(x)).alias("score"), x["pos"].alias("pos"), x["n"].alias("n"), x["sentence"].alias("sentence")))
-    best = chapter_rows.select(key, "chapter_id", F.slice(F.array_sort(scored), 1, sentences).alias("_best"))
+    best = chapter_rows.select(key, "chapter_id", *(keep or ()), F.slice(F.array_sort(scored), 1, sentences).alias("_best"))
     used = lambda i: F.aggregate(F.slice("_best", F.lit(1), i + 1), F.lit(0).cast("long"), lambda n, x: n + x["n"])
     fit = F.filter("_best", lambda x, i: used(i) <= words)
-    return best.withColumn("_best", fit).filter(F.size("_best") > 0).select(key, "chapter_id", F.array_join(F.transform("_best", lambda x: x["sentence"]), " ").alias("summary"))
+    fitted = best.withColumn("_best", fit) if keep else best.withColumn("_best", fit).filter(F.size("_best") > 0)
+    return fitted.select(key, "chapter_id", *(keep or ()), F.when(F.size("_best") > 0, F.array_join(F.transform("_best", lambda x: x["sentence"]), " ")).alias("summary"))
 
 
 def transcript_texts(segments: DataFrame, facts: DataFrame, chapter_rows: DataFrame, key: str = "doc_id") -> DataFrame:

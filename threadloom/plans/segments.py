@@ -214,9 +214,14 @@ def break_scores(spark, sf_dir):
 
 
 def _chapters(spark, sf_dir):
-    # Not written in between: the scores and the chapters read one exchange of the segments by transcript.
+    # Not written in between: the scores and the chapters read one exchange of the segments by transcript, and what is made of a chapter's
+    # text is made where it lies.
     segs = _tagged(spark, sf_dir)
-    return materialize(ops.chapters(segs, ops.choose_breaks(ops.break_scores(segs, STOP))))
+    return ops.chapters(segs, ops.choose_breaks(ops.break_scores(segs, STOP)))
+
+
+def _titled(rows, *keep):
+    return ops.chapter_titles(ops.with_top_terms(rows, STOP, 50), keep=keep)
 
 
 @query()
@@ -226,20 +231,19 @@ def chapters(spark, sf_dir):
 
 @query()
 def chapter_titles(spark, sf_dir):
-    rows = _chapters(spark, sf_dir)
-    return ops.chapter_titles(rows, ops.key_phrases(rows, STOP, 50))
+    return _titled(_chapters(spark, sf_dir))
 
 
 @query()
 def chapter_summaries(spark, sf_dir):
-    return ops.chapter_summaries(_chapters(spark, sf_dir), STOP)
+    # The test holds for all chapters; it keeps the columns of segments, so that scores and chapters read the same exchange here too.
+    return ops.chapter_summaries(_chapters(spark, sf_dir).filter("end_time >= start_time and speakers >= ''"), STOP)
 
 
 @query()
 def chapter_exports(spark, sf_dir):
     """The podcast JSON and the plain-text line of each chapter."""
-    rows = _chapters(spark, sf_dir)
-    titled = rows.join(ops.chapter_titles(rows, ops.key_phrases(rows, STOP, 50)), ["doc_id", "chapter_id"])
+    titled = _titled(_chapters(spark, sf_dir), "start_time", "end_time")
     end = F.when(F.col("end_time") > F.col("start_time"), F.bround("end_time").cast("int"))
     doc = F.to_json(F.struct(F.bround("start_time").cast("int").alias("startTime"), end.alias("endTime"), "title", F.lit(True).alias("toc")))
     return titled.select("doc_id", "chapter_id", doc.alias("json"), F.concat_ws(" ", tx.clock_of(F.col("start_time")), F.col("title")).alias("line"))
@@ -353,8 +357,8 @@ def transcript_headed(spark, sf_dir):
 @query()
 def chapter_transcripts(spark, sf_dir):
     """Readable transcripts under the titles and summaries of their own chapters."""
-    rows = _chapters(spark, sf_dir)
-    titled = rows.join(ops.chapter_titles(rows, ops.key_phrases(rows, STOP, 50)), ["doc_id", "chapter_id"]).join(ops.chapter_summaries(rows, STOP), ["doc_id", "chapter_id"], "left")
+    summed = ops.chapter_summaries(_chapters(spark, sf_dir), STOP, keep=("text", "films", "opening", "start_time", "end_time", "segment_lo"))
+    rows = titled = materialize(_titled(summed, "start_time", "end_time", "segment_lo", "summary"))
     nothing = F.lit(None).cast("string")
     facts = rows.groupBy("doc_id").agg(F.max("end_time").alias("duration")).select("doc_id", F.concat(F.lit("Document "), "doc_id").alias("title"), nothing.alias("date"), "duration", nothing.alias("language"), nothing.alias("model"), nothing.alias("transcribed"))
     return ops.transcript_texts(views.segments(spark, sf_dir), facts, titled)
