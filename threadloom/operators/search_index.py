@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import tokens
-from threadloom.operators.search import B, K1, match_all, match_any, match_phrase, porter_stem, stem_index, stemmed
+from threadloom.operators.search import B, K1, match_all, match_any, match_phrase, porter_stem, stemmed
 from threadloom.sources.scratch import joinable, scratch
 
 #: Terms that a prefix may bring into a query as a list; a prefix with more is matched inside the scan.
@@ -28,6 +28,8 @@ PREFIX_TERMS = 2000
 FILE_TOKENS = 2_000_000
 #: Tokens that a Python task groups at once.
 GROUP_TOKENS = 200_000
+#: Characters of a token, with what stands between; texts have more.
+CHARS = 4
 
 
 @lru_cache
@@ -106,7 +108,7 @@ class SearchIndex:
         if latest.generations[-1] != self.generations[-1]:
             return latest.compact()
         new = self.generations[-1] + 1
-        _store(self.spark, self.root, self._about(), new, self.live(), self._live_docs())
+        _store(self.spark, self.root, self._about(), new, self.live(), self.total, self._live_docs())
         _append_meta(self.spark, self.root, self._about(), new, new, self.docs, self.total)
         return SearchIndex(self.spark, self.root)
 
@@ -242,14 +244,21 @@ def _portions(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
             at += n
 
 
-def group_terms(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    """(key, length, field, term, tf, positions) from rows (key, length, field, words): the tokens of a field meet where they are read, so
-    that postings need no shuffle of tokens."""
+#: A word's stem; a worker remembers the words that come again.
+_stem = lru_cache(1 << 17)(porter_stem)
+
+
+def group_terms(batches: Iterable[pa.RecordBatch], stem: bool = False) -> Iterable[pa.RecordBatch]:
+    """(key, length, field, term, tf, positions) from rows (key, length, field, words): the tokens of a field meet where they are read, by
+    their stems if these are asked for, so that postings need no shuffle of tokens."""
     for b in _portions(batches):
         words = b.column("words")
         terms = words.flatten().dictionary_encode()
         if not len(terms):
             continue
+        if stem:
+            stems = pa.array([_stem(t) for t in terms.dictionary.to_pylist()], pa.string()).dictionary_encode()
+            terms = pa.DictionaryArray.from_arrays(stems.indices.take(terms.indices), stems.dictionary)
         sizes = np.diff(words.offsets.to_numpy())
         row = np.repeat(np.arange(len(sizes)), sizes)
         named = row * len(terms.dictionary) + terms.indices.to_numpy()
@@ -262,38 +271,42 @@ def group_terms(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["key", "length", "field", "term", "tf", "positions"])
 
 
-def _terms_of(docs: DataFrame, about: dict) -> tuple[DataFrame, DataFrame]:
-    """(postings, lengths) of docs; texts are cut once. A document's length, the sum of its tokens in all fields, stands with each posting,
-    so that ranking reads postings only."""
-    key, cut = about["key"], TOKENS[about["tokens"]]
+def _terms_of(docs: DataFrame, about: dict) -> DataFrame:
+    """The postings of docs; texts are cut once. A document's length, the sum of its tokens in all fields, stands with each posting, so that
+    ranking reads postings only."""
+    key, cut, stem = about["key"], TOKENS[about["tokens"]], about["stem"]
     words = docs.select(key, *[cut(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(f"_w{i}") for i, c in enumerate(about["columns"])])
     length = reduce(Column.__add__, [F.size(f"_w{i}") for i in range(len(about["columns"]))]).cast("long").alias("length")
     parts = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_w{i}").alias("words")) for i, f in enumerate(about["fields"])])
     rows = words.select(F.col(key).alias("key"), length, F.explode(parts).alias("f")).select("key", "length", "f.field", "f.words")
-    rows = rows.mapInArrow(group_terms, f"key {about['key_type']}, length long, field string, term string, tf long, positions array<int>").withColumnRenamed("key", key)
-    return stem_index(rows, key, "length") if about["stem"] else rows, words.select(key, length).filter("length > 0")
+    rows = rows.mapInArrow(lambda batches: group_terms(batches, stem), f"key {about['key_type']}, length long, field string, term string, tf long, positions array<int>")
+    return rows.withColumnRenamed("key", key)
 
 
 def _write(spark: SparkSession, root: str, about: dict, generation: int, docs: DataFrame | None) -> None:
     """Store the postings of docs as a generation; none, if there are only deletes."""
     if docs is None:
         docs = spark.createDataFrame([], f"`{about['key']}` {about['key_type']}, " + ", ".join(f"`{c}` string" for c in dict.fromkeys(about["columns"])))
-    _store(spark, root, about, generation, *_terms_of(docs, about))
+    # Tokens are estimated by characters, rather too many, so that texts are cut once only.
+    chars = reduce(Column.__add__, [F.coalesce(F.char_length(F.col(c).cast("string")), F.lit(0)).cast("long") for c in about["columns"]])
+    _store(spark, root, about, generation, _terms_of(docs, about), (docs.agg(F.sum(chars)).first()[0] or 0) // CHARS)
 
 
-def _store(spark: SparkSession, root: str, about: dict, generation: int, rows: DataFrame, sizes: DataFrame) -> None:
-    n = about["buckets"]
-    rows = rows.select("term", "field", about["key"], F.col("tf").cast("long").alias("tf"), "length", "positions")
-    sizes.write.mode("overwrite").parquet(f"{root}/docs-{generation}")
-    total = spark.read.parquet(f"{root}/docs-{generation}").agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+def _store(spark: SparkSession, root: str, about: dict, generation: int, rows: DataFrame, total: int, sizes: DataFrame | None = None) -> None:
+    """Store postings of about `total` tokens, and the lengths of their documents: `sizes`, or as the postings have them."""
+    n, key = about["buckets"], about["key"]
+    rows = rows.select("term", "field", key, F.col("tf").cast("long").alias("tf"), "length", "positions")
     # A task writes one bucket, or one of several files of it, so that a bucket with a hot term is no single task.
     files = int(total // (n * FILE_TOKENS) + 1)
-    dealt = rows.repartition(n * files, F.pmod(F.hash("term"), F.lit(n)), F.pmod(F.xxhash64(about["key"]), F.lit(files)))
+    dealt = rows.repartition(n * files, F.pmod(F.hash("term"), F.lit(n)), F.pmod(F.xxhash64(key), F.lit(files)))
     name = f"search_new_{abs(hash(root)):x}_{generation}"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     dealt.write.bucketBy(n, "term").sortBy("term").mode("overwrite").option("path", f"{root}/postings-{generation}").saveAsTable(name)
     stored = spark.table(name)
     stored.select("term").distinct().orderBy("term").write.mode("overwrite").parquet(f"{root}/terms-{generation}")
+    if sizes is None:  # a document has one first token in a field
+        sizes = stored.filter(F.get("positions", F.lit(0)) == 0).groupBy(key).agg(F.max("length").alias("length"))
+    sizes.write.mode("overwrite").parquet(f"{root}/docs-{generation}")
     spark.sql(f"DROP TABLE {name}")  # the files stay: the table is external
 
 
