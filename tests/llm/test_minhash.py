@@ -75,3 +75,39 @@ def test_prefixes_meet_whatever_the_order():
         shared = len(np.intersect1d(a, b))
         assert shared < 0.8 * len(np.union1d(a, b)) - 1e-9 or set(keys[0]) & set(keys[1])
     assert len(minhash.prefix_keys(np.arange(15, dtype=np.uint64), (np.zeros(0, np.uint64), np.zeros(0)), 0.8)) == 4
+
+
+def test_marks_part_long_sets_and_keep_near_ones(spark):
+    """Sets of thousands of shingles that have nothing in common are told apart by their marks; near ones stay, also where the lengths differ."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from threadloom.llm import minhash
+
+    rng, sets = np.random.default_rng(3), []
+    for n in (300, 1000, 3000, 900):
+        base = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        sets += [base, np.union1d(base, rng.integers(0, 1 << 63, n // 4, dtype=np.uint64))]  # a similarity of 0.8
+    assert len({len(minhash.marks(s)) for s in sets[6:]}) == 2
+    signed = spark.createDataFrame([(i, len(s), minhash.marks(s)) for i, s in enumerate(sets)], "node long, n long, marks array<long>")
+    pairs = spark.createDataFrame([(a, b, a) for a in range(8) for b in range(8) if a != b], "a long, b long, cell long")
+    got = {(r.a, r.b) for r in minhash._possible(pairs, signed, 0.8).collect()}
+    assert got == {(i, i ^ 1) for i in range(8)}
+    far = pairs.select("a", "b", "cell").filter("a = 0 and b = 5")
+    assert minhash._possible(far, signed.withColumn("n", F.lit(100).cast("long")), 0.8).count() == 1  # lengths too far apart are left to the sets
+
+
+def test_tables_leave_no_shuffles_behind(spark):
+    import pathlib
+    import time
+
+    from threadloom.llm.common import FREED, materialize
+
+    files = lambda: set(pathlib.Path(spark.conf.get("spark.local.dir")).rglob("shuffle_*"))
+    before, setting = files(), spark.conf.get(FREED, None)
+    table = materialize(spark.range(1000).selectExpr("id % 50 as k").groupBy("k").count().repartition(3, "count"), "freed")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(FREED, None) == setting and table.count() == 50

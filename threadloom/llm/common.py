@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_FOLDER: dict[str, str] = {}
+#: Spark removes the shuffle files of an execution when it ends.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,9 +39,15 @@ def new_path(spark: SparkSession, tag: str) -> str:
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: one computation, short lineage, survives lost executors."""
+    """Write df as a table in the shared folder and read it back: one computation, short lineage, survives lost executors. Its shuffles
+    are not read again and leave the disk."""
     spark, path = df.sparkSession, new_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREED, before) if before else spark.conf.unset(FREED)
     return spark.read.schema(df.schema).parquet(path)
 
 

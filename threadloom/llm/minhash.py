@@ -13,6 +13,7 @@ that are still in different components are checked, so that no link is missed, h
 
 from __future__ import annotations
 
+import zlib
 from functools import lru_cache
 from math import ceil
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import filesystem, joinable, materialize, new_path, slices
+from .common import filesystem, joinable, materialize, new_path, slices, small
 from .components import connected_components
 
 #: One document in so many is sampled for the order of shingles; those that stand in COMMON of these come last, MOST of them at most.
@@ -30,7 +31,7 @@ SAMPLED, COMMON, MOST = 16, 4, 1_000_000
 ROUNDS, FEW = 3, 16
 #: Documents of a group that a task holds, and others that it checks against them.
 HELD, SHARE = 256, 1000
-#: Bits of the marks of a set: the parity of its members by their last bits, so that sets differ in as many members as in bits, or more.
+#: Least bits of the marks of a set: the parity of its members by their last bits, so that sets differ in as many members as in bits, or more.
 MARKS = 512
 #: Similarities and counts are compared with this slack, as products of floats may lie above the whole number they stand for.
 SLACK = 1e-9
@@ -81,45 +82,49 @@ def prefix_keys(grams: np.ndarray, common: tuple[np.ndarray, np.ndarray], least:
     return grams[:most].view(np.int64).tolist()
 
 
-def _sets(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """(node, grams) of the shingle sets of the given nodes, each once."""
-    from .simhash import shingle_digests
-
-    def run(batches):
-        for b in slices(batches, 500, most=4_000_000):
-            grams = [shingle_set(shingle_digests(t or b"", width)).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(grams, pa.binary())], ["node", "grams"])
-
-    asked = materialize(nodes.select("node").distinct(), "asked-nodes")
-    found = texts.join(joinable(asked), "node", "left_semi").mapInArrow(run, "node long, grams binary")
-    return materialize(found.groupBy("node").agg(F.first("grams").alias("grams")), "shingle-sets")
-
-
 def marks(grams: np.ndarray) -> list[int]:
-    return np.packbits(np.bincount((grams & np.uint64(MARKS - 1)).astype(np.int64), minlength=MARKS) & 1).view(np.int64).tolist()
+    """The parity of a set's members by their last bits, as longs: MARKS bits, or as many as members up to the next power of two."""
+    bits = max(MARKS, 1 << max(len(grams) - 1, 0).bit_length())
+    return np.packbits(np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).view(np.int64).tolist()
 
 
 def _possible(pairs: DataFrame, signed: DataFrame, least: float) -> DataFrame:
-    """The pairs whose marks don't differ in more bits than sets of the similarity can differ in members."""
+    """The pairs whose sizes allow the similarity and whose marks don't differ in more bits than such sets can differ in members. Marks of
+    twice the length are folded; lengths further apart are left to the sets."""
     side = lambda c: signed.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.col("marks").alias(f"{c}_marks"))
-    apart = F.aggregate(F.zip_with("a_marks", "b_marks", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+    xor = lambda x, y: x.bitwiseXOR(y)
+    size, half = F.size, lambda m: (F.size(m) / 2).cast("int")
+    fit = lambda m, o: F.when(size(m) > size(o), F.zip_with(F.slice(m, 1, half(m)), F.slice(m, half(m) + 1, half(m)), xor)).otherwise(F.col(m))
+    a, b = fit("a_marks", "b_marks"), fit("b_marks", "a_marks")
+    apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(xor(x, y))), F.lit(0), lambda acc, x: acc + x)
     most = (F.col("a_n") + F.col("b_n")) * F.lit((1 - least) / (1 + least)) + F.lit(SLACK)
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter(apart <= most).select("a", "b", "cell").distinct()
+    sized = F.least("a_n", "b_n") >= F.greatest("a_n", "b_n") * F.lit(least) - F.lit(SLACK)
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(sized & ((size(a) != size(b)) | (apart <= most))).select("a", "b", "cell").distinct()
 
 
 def similar(pairs: DataFrame, signed: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
     """The pairs(a, b) of nodes, of pairs(a, b, cell), whose shingle sets have a Jaccard similarity of `least` or more; signed(node, n, marks),
     texts(node, text).
 
-    Each pair has one cell. The sets of up to HELD nodes a of a cell stand before the nodes b that are checked against them, SHARE of these
-    at once, and neither is copied to the pairs: a set moves once for each part of its cells.
+    Each pair has one cell. Up to HELD nodes a of a cell stand before the nodes b that are checked against them, SHARE of these at
+    once, and neither is copied to the pairs: a text, packed, moves once for each part of its cells and becomes a set there, as packed texts
+    take about a third of their sets.
     """
+    from .simhash import shingle_digests
+
+    def pack(batches):
+        for b in slices(batches, 500, most=4_000_000):
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([zlib.compress(t or b"") for t in b.column("text").to_pylist()], pa.binary())], ["node", "packed"])
+
     def run(batches):
-        part, own = None, {}
-        for b in slices(batches, 500, "grams", 4_000_000):
+        part, own, before = None, {}, None
+        for b in slices(batches, 500, "packed", 1_000_000):
             left, right = [], []
-            for *at, node, others, grams in zip(*(b.column(c).to_pylist() for c in ("cell", "row", "share", "node", "others", "grams")), strict=True):
-                grams = np.frombuffer(grams, np.uint64)
+            for *at, node, others, packed in zip(*(b.column(c).to_pylist() for c in ("cell", "row", "share", "node", "others", "packed")), strict=True):
+                if (at, node, others) == before:  # equal rows are one document
+                    continue
+                before = (at, node, others)
+                grams = shingle_set(shingle_digests(zlib.decompress(packed), width))
                 if at != part:
                     part, own = at, {}
                 if others is None:
@@ -133,15 +138,18 @@ def similar(pairs: DataFrame, signed: DataFrame, texts: DataFrame, width: int, l
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     pairs = materialize(_possible(pairs, signed, least), "possible-pairs")
-    sets = _sets(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))), texts, width)
+    few = small(pairs, 200_000)
+    hinted = F.broadcast if few else lambda df: df
     parts = pairs.groupBy("cell").agg(*[F.ceil(F.approx_count_distinct(c) / most).cast("int").alias(name) for c, most, name in (("a", HELD, "rows"), ("b", SHARE, "shares"))])
-    dealt = pairs.join(parts, "cell").withColumns({"row": F.pmod(F.xxhash64("a"), F.col("rows")).cast("int"), "share": F.pmod(F.xxhash64("b"), F.col("shares")).cast("int")})
+    dealt = pairs.join(hinted(parts), "cell").withColumns({"row": F.pmod(F.xxhash64("a"), F.col("rows")).cast("int"), "share": F.pmod(F.xxhash64("b"), F.col("shares")).cast("int")})
     part = ["cell", "row", "share"]
-    dealt = materialize(dealt.groupBy(*part, "b").agg(F.collect_list("a").alias("others")), "dealt-pairs")
+    # Dealt by the node too, so that a large cell is no one task's.
+    dealt = materialize(dealt.repartition(*part, "b").groupBy(*part, "b").agg(F.collect_list("a").alias("others")), "dealt-pairs")
     heads = dealt.select(*part, F.explode("others").alias("node")).distinct().withColumn("others", F.lit(None).cast("array<long>"))
-    rows = heads.unionByName(dealt.withColumnRenamed("b", "node")).join(sets, "node")
-    rows = rows.repartition(*part).sortWithinPartitions(*part, F.col("others").isNotNull())
-    return materialize(rows.select(*part, "node", "others", "grams").mapInArrow(run, "a long, b long"), "similar-pairs")
+    rows = materialize(heads.unionByName(dealt.withColumnRenamed("b", "node")), "dealt-rows")
+    packed = texts.join(hinted(rows.select("node").distinct()), "node", "left_semi").mapInArrow(pack, "node long, packed binary")
+    rows = packed.join(hinted(rows), "node").repartition(*part).sortWithinPartitions(*part, F.col("others").isNotNull(), "node")
+    return materialize(rows.select(*part, "node", "others", "packed").mapInArrow(run, "a long, b long"), "similar-pairs")
 
 
 def _can_be(x: tuple[str, str], y: tuple[str, str], least: float) -> Column:
@@ -168,15 +176,14 @@ def _crossing(members: DataFrame, least: float) -> DataFrame:
     return pairs.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.min("bucket").alias("cell"))
 
 
-def _joined(parts: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(parts with the links' components joined, their new names (part, component)): only names of components are linked anew."""
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """parts with the links' components joined: only names of components are linked anew."""
     name = parts.select("node", F.col("component").alias("part"))
     named = links.join(name.withColumnsRenamed({"node": "a", "part": "pa"}), "a", "left").join(name.withColumnsRenamed({"node": "b", "part": "pb"}), "b", "left")
     joined = materialize(connected_components(named.select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"))), "band-joined").withColumnRenamed("node", "part")
-    small = joinable(joined)
     fresh = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct().join(parts, "node", "left_anti")
     ends = name.unionByName(fresh.withColumn("part", F.col("node")))
-    return materialize(ends.join(small, "part", "left").select("node", F.coalesce("component", "part").alias("component")), "band-parts"), small
+    return materialize(ends.join(joinable(joined), "part", "left").select("node", F.coalesce("component", "part").alias("component")), "band-parts")
 
 
 def prefix_links(signed: DataFrame, texts: DataFrame, width: int, least: float, first: DataFrame) -> DataFrame:
@@ -189,24 +196,22 @@ def prefix_links(signed: DataFrame, texts: DataFrame, width: int, least: float,
     rest, stars = _stars(members.withColumn("part", F.col("node")), least)
     stars = stars.unionByName(first.select("a", "b", F.col("a").alias("cell"))).distinct()
     parts = materialize(connected_components(similar(stars, signed, texts, width, least)), "band-parts")
-    rest = rest.drop("part").join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
     for i in range(ROUNDS + 1):
+        rest = rest.drop("part").join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
         by_part = rest.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same")).filter("k * k > same")
         open_ = materialize(by_part, "open-buckets")
         held, left = open_.agg(F.coalesce(F.sum("k"), F.lit(0)), F.coalesce(F.sum((F.col("k") * F.col("k") - F.col("same")).cast("double")), F.lit(0.0)) / 2).first()
         if not held:
             break
         rest = materialize(rest.join(joinable(open_.select("bucket")), "bucket", "left_semi"), "band-members")
-        whole = i == ROUNDS or left <= FEW * held
-        if not whole:
+        if i < ROUNDS and left > FEW * held:
             rest, stars = _stars(rest, least)
             links = similar(stars, signed, texts, width, least)
             if not links.isEmpty():
-                parts, small = _joined(parts, links)
-                rest = rest.join(small, "part", "left").select("bucket", "node", "n", "at", F.coalesce("component", "part").alias("part"))
+                parts = _joined(parts, links)
                 continue
         links = similar(_crossing(rest, least), signed, texts, width, least)
         if not links.isEmpty():
-            parts, _ = _joined(parts, links)
+            parts = _joined(parts, links)
         break
     return parts
