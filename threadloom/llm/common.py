@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 _OWN_FOLDER: dict[str, str] = {}
 #: Spark removes the shuffle files of an execution when it ends.
 FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows of an Arrow batch that tasks hand to Python.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,16 +40,19 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, batch: int | None = None) -> DataFrame:
     """Write df as a table in the shared folder and read it back: one computation, short lineage, survives lost executors. Its shuffles
-    are not read again and leave the disk."""
+    are not read again and leave the disk. Tables of long texts can name the rows of an Arrow batch, which a task holds several times."""
     spark, path = df.sparkSession, new_path(df.sparkSession, tag)
-    before = spark.conf.get(FREED, None)
-    spark.conf.set(FREED, "true")
+    held = {FREED: "true"} | ({BATCH: str(batch)} if batch else {})
+    before = {k: spark.conf.get(k, None) for k in held}
     try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
-        spark.conf.set(FREED, before) if before else spark.conf.unset(FREED)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -149,7 +149,7 @@ def similar(pairs: DataFrame, signed: DataFrame, texts: DataFrame, width: int, l
     rows = materialize(heads.unionByName(dealt.withColumnRenamed("b", "node")), "dealt-rows")
     packed = texts.join(hinted(rows.select("node").distinct()), "node", "left_semi").mapInArrow(pack, "node long, packed binary")
     rows = packed.join(hinted(rows), "node").repartition(*part).sortWithinPartitions(*part, F.col("others").isNotNull(), "node")
-    return materialize(rows.select(*part, "node", "others", "packed").mapInArrow(run, "a long, b long"), "similar-pairs")
+    return materialize(rows.select(*part, "node", "others", "packed").mapInArrow(run, "a long, b long"), "similar-pairs", 1000)
 
 
 def _can_be(x: tuple[str, str], y: tuple[str, str], least: float) -> Column:

@@ -191,7 +191,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).filter("doc_id is not null")
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
-    signed = materialize(_signatures(texts, width, least), "signatures")
+    signed = materialize(_signatures(texts, width, least), "signatures", 1000)
     several = materialize(signed.groupBy("doc_id").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b")).filter("a < b").select("doc_id"), "several-texts")
     several = None if several.isEmpty() else several
     signed, texts = _nodes(signed, several), _nodes(texts, several).select("node", "text")
