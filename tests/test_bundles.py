@@ -128,3 +128,17 @@ def test_episode_bundle(spark, tmp_path, ranges):
     whole = lambda f: "".join((tmp_path / "e" / p).read_text() for p in split.get(f, [f]))
     assert [json.loads(x)["text"] for x in whole(f"{slug}/transcript.jsonl").splitlines()] == [f"t{n}" for n in range(50)]
     assert [json.loads(x)["title"] for x in whole(f"{slug}/chapters.json").replace("][", ",").strip("[]").split(",\n")] == ["one", "two"] and not (tmp_path / "e" / "gone").exists()
+
+
+def test_files_are_read_by_name(spark, tmp_path, ranges):
+    """Lines of whole files and of pieces, without a task per file or folder; absent files have none."""
+    path = str(tmp_path / "b")
+    hot = spark.range(20_000).select(F.lit("hot/lines.txt").alias("file"), F.col("id").alias("pos"), F.format_string("é %06d", "id").alias("line"))
+    small = spark.range(400).select(F.format_string("e%%2F%03d/lines.txt", "id").alias("file"), F.lit(0).cast("long").alias("pos"), F.lit("").alias("line"))
+    bundles.write_bundle(hot.unionByName(small), path)
+    assert len(bundles.read_manifest(spark, path).first().split["hot/lines.txt"]) > 1
+    files = spark.range(500).select("id", F.format_string("e%%2F%03d/lines.txt", "id").alias("file")).unionByName(spark.createDataFrame([(-1, "hot/lines.txt")], "id long, file string"))
+    got = bundles.read_named(files, path)
+    assert got.columns == ["id", "value"] and got.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    rows = got.groupBy((F.col("id") < 0).alias("hot")).agg(F.count("value"), F.count_distinct("id"), F.count_distinct("value"), F.max("value")).collect()
+    assert {r.hot: tuple(r)[1:] for r in rows} == {True: (20_000, 1, 20_000, "é 019999"), False: (400, 400, 1, "")}

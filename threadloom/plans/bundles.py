@@ -55,10 +55,11 @@ def episode_bundle(spark, sf_dir):
     bundles.publish_episodes(items, heads, segments, path)
     stats = "stats struct<words:long,topics:array<string>>"
     index = bundles.read_array(spark, f"{path}/index.json", f"slug string, title string, pubDate string, season int, episode int, hasTranscript boolean, canonicalRunId string, hasGoal boolean, reviewCoverage double, {stats}")
-    of = F.substring_index("file", "/", 1)
-    listed = bundles.read_lines(spark, path, "chapters.json").groupBy(of.alias("slug")).agg(F.count(F.lit(1)).alias("chapter_items"))
-    said = bundles.read_lines(spark, path, "transcript.jsonl").groupBy(of.alias("slug")).agg(F.count(F.lit(1)).alias("segment_lines"), F.sum(F.char_length(F.get_json_object("value", "$.text"))).alias("segment_chars"))
-    joined = index.join(listed, "slug", "left").join(said, "slug", "left").na.fill(0, ["chapter_items", "segment_lines", "segment_chars"])
+    names = index.select("slug").distinct().select("slug", F.explode(F.array(F.lit("chapters.json"), F.lit("transcript.jsonl"))).alias("base"))
+    lines = bundles.read_named(names.withColumn("file", F.concat(F.url_encode("slug"), F.lit("/"), "base")), path)
+    chapter = F.col("base") == "chapters.json"
+    read = lines.groupBy("slug").agg(F.count_if(chapter).alias("chapter_items"), F.count_if(~chapter).alias("segment_lines"), F.sum(F.when(~chapter, F.char_length(F.get_json_object("value", "$.text")))).alias("segment_chars"))
+    joined = index.join(read, "slug", "left").na.fill(0, ["chapter_items", "segment_lines", "segment_chars"])
     return joined.withColumns({"words": F.col("stats.words"), "topics": F.array_join("stats.topics", ",")}).drop("stats")
 
 

@@ -9,6 +9,7 @@ task leaves is removed with the folder of attempts.
 
 from __future__ import annotations
 
+import io
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -217,6 +218,35 @@ def read_lines(spark: SparkSession, path: str, base: str) -> DataFrame:
     return found.select(F.concat(F.nullif(own, F.lit("")), F.lit("." + kind)).alias("file"), "value").filter("file is not null")
 
 
+def read_named(files: DataFrame, path: str) -> DataFrame:
+    """files(file, ...), a row per line (value) of these files of a complete bundle, without `file`; one that is not there has none.
+
+    Files are opened by their names, pieces by the manifest's, so nothing is listed and a task reads many files, each as a stream.
+    """
+    spark = files.sparkSession
+    split = read_manifest(spark, path).select(F.explode("split").alias("file", "_pieces"))
+    named = files.join(F.broadcast(split), "file", "left").withColumn("_piece", F.explode(F.coalesce("_pieces", F.array("file")))).drop("file", "_pieces")
+    others = [c for c in named.columns if c != "_piece"]
+    schema = named.select(*others, F.lit("").alias("value")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = _open(path)
+        for b in batches:
+            for n, piece in enumerate(b.column("_piece").to_pylist()):
+                try:
+                    source = io.BufferedReader(fs.open_input_stream(f"{root}/{piece}", compression=None), BLOCK)
+                except FileNotFoundError:
+                    continue
+                with source:
+                    while lines := source.readlines(BLOCK):
+                        at = pa.array([n] * len(lines), pa.int64())
+                        value = pa.array([x.removesuffix(b"\n").decode() for x in lines], pa.string())
+                        yield pa.RecordBatch.from_arrays([*[b.column(c).take(at) for c in others], value], [*others, "value"])
+
+    # A fixed number of partitions, as names are so small that all of them would be put into one task.
+    return named.repartition(4 * spark.sparkContext.defaultParallelism, "_piece").select("_piece", *others).mapInArrow(run, schema)
+
+
 def _json(*fields: str) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
