@@ -78,3 +78,17 @@ def test_classes_are_grouped_inside_the_row_and_as_by_joins(spark):
     assert class_hits(texts, dictionary.limit(0), ["id"], "text").count() == 0
     tags = ops.topic_tags(texts, dictionary, ["id"], least=0.0)
     assert "Exchange" not in tags._jdf.queryExecution().executedPlan().toString() and {r.keywords for r in tags.collect()} >= {"cat,the", "cat,of the"}
+
+
+def test_term_stats_without_documents_in_the_shuffle(spark, tmp_path):
+    """Texts that share an id are one document, texts without an id none; no shuffle goes by term and document."""
+    from threadloom.plans import segments
+
+    rows = [(1, "fog fog light"), (7, "fog"), (7, "Fog lens"), (None, "fog only"), (3, None), (4, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = segments.term_stats(spark, str(tmp_path))
+    assert {r.term: (r.tf, r.df, r.expert_tf) for r in found.collect()} == {"fog": (5, 2, 2), "light": (1, 1, 0), "lens": (1, 1, 1), "only": (1, 0, 0)}
+    alone = tmp_path / "alone"
+    spark.createDataFrame(rows[:2], "doc_id long, text string").write.parquet(str(alone / "documents.parquet"))
+    plan = segments.term_stats(spark, str(alone))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

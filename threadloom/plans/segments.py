@@ -9,7 +9,7 @@ from threadloom.functions import text as tx
 from threadloom.operators import review
 from threadloom.operators import segments as ops
 from threadloom.sources import views
-from threadloom.sources.scratch import materialize
+from threadloom.sources.scratch import joinable, materialize
 from threadloom.sources.views import table, with_views
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -93,10 +93,21 @@ def overlap_best_speaker(spark, sf_dir):
     WITH t AS (SELECT doc_id, unnest({TOKENS.format("text")}) AS term FROM documents)
     SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df, count(*) FILTER (WHERE doc_id % 7 = 0) AS expert_tf FROM t GROUP BY term""")
 def term_stats(spark, sf_dir):
-    """Per document first, so that a hot term crosses the shuffle once per document and task."""
-    words = table(spark, sf_dir, "documents").select("doc_id", F.explode(tx.tokens(F.col("text"))).alias("term"))
-    per_doc = words.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_doc.groupBy("term").agg(F.sum("n").alias("tf"), F.count(F.lit(1)).alias("df"), F.coalesce(F.sum(F.when(F.col("doc_id") % 7 == 0, F.col("n"))), F.lit(0)).alias("expert_tf"))
+    """Counted inside the row, so that a task gives one row for each of its terms; only texts that share an id meet by term and id."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    expert = F.when(F.col("doc_id") % 7 == 0, F.col("n")).otherwise(0)
+    known = F.col("doc_id").isNotNull().cast("int")
+    again = materialize(docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("doc_id"))
+    if again.isEmpty():
+        alone, several = docs, None
+    else:
+        again = joinable(again)
+        alone, several = docs.join(again, "doc_id", "left_anti"), docs.join(again, "doc_id", "left_semi")
+    words = tx.marked_tokens(alone, "text", "doc_id").withColumns({"n": F.lit(1).cast("long"), "df": F.col("first") * known})
+    if several is not None:
+        per_doc = several.select("doc_id", F.explode(tx.tokens(F.col("text"))).alias("term")).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
+        words = words.select("doc_id", "term", "n", "df").unionByName(per_doc.withColumn("df", F.lit(1)))
+    return words.groupBy("term").agg(F.sum("n").alias("tf"), F.sum("df").alias("df"), F.coalesce(F.sum(expert), F.lit(0)).alias("expert_tf"))
 
 
 @query(f"""
@@ -105,7 +116,7 @@ def term_stats(spark, sf_dir):
     SELECT term, round(tf * ln(n / df::DOUBLE), 6) AS tfidf FROM s, n ORDER BY tf * ln(n / df::DOUBLE) DESC, term LIMIT 200""")
 def tfidf(spark, sf_dir):
     total = table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n"))
-    score = F.col("tf") * F.log(F.col("n") / F.col("df"))
+    score = F.col("tf") * F.when(F.col("df") > 0, F.log(F.col("n") / F.col("df"))).otherwise(float("inf"))
     return term_stats(spark, sf_dir).join(F.broadcast(total)).withColumn("score", score).orderBy(F.desc("score"), "term").limit(200).select("term", F.round("score", 6).alias("tfidf"))
 
 
