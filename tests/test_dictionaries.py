@@ -92,3 +92,13 @@ def test_term_stats_without_documents_in_the_shuffle(spark, tmp_path):
     spark.createDataFrame(rows[:2], "doc_id long, text string").write.parquet(str(alone / "documents.parquet"))
     plan = segments.term_stats(spark, str(alone))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_questions_need_no_index(spark, tmp_path):
+    from threadloom.plans import search
+
+    before = dict(search._STORED)
+    spark.createDataFrame([(1, "Fog of the lens", "s"), (2, "the fog", "s"), (3, None, "s")], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    asked = spark.createDataFrame([("Of The",), ("FOG",), ("none",), ("FOG",)], "keyword string")
+    assert {r.keyword: r.hits for r in search.keyword_hits(spark, str(tmp_path), asked).collect()} == {"Of The": 1, "FOG": 2}
+    assert search._STORED == before

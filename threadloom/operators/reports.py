@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import blocks_of, tokens, urls_of
+from threadloom.sources.scratch import joinable
 
 RULE = "=" * 80
 
@@ -73,7 +74,7 @@ def keyword_hits(keywords: DataFrame, texts: DataFrame, text: str) -> DataFrame:
     asked = keywords.select("keyword", F.size(F.array_distinct(words)).alias("n"), F.explode(F.array_distinct(words)).alias("word")).distinct()
     numbered = texts.select(F.monotonically_increasing_id().alias("_row"), F.array_distinct(tokens(F.col(text))).alias("words"))
     there = numbered.select("_row", F.explode("words").alias("word"))
-    met = there.join(asked, "word").groupBy("keyword", "n", "_row").agg(F.count(F.lit(1)).alias("met")).filter("met = n")
+    met = there.join(joinable(asked), "word").groupBy("keyword", "n", "_row").agg(F.count(F.lit(1)).alias("met")).filter("met = n")
     return met.groupBy("keyword").agg(F.count(F.lit(1)).alias("hits"))
 
 

@@ -257,7 +257,7 @@ def coverage_ranking(spark, sf_dir):
     h AS (SELECT q.name, q.least, q.keyword, count(d.doc_id) AS hits FROM q LEFT JOIN documents d ON """ + HOLDS_SQL.format("q.keyword") + """ GROUP BY 1, 2, 3)
     SELECT name, sum(least(hits, 1000))::BIGINT AS hits, sum(least(hits, 1000)) >= max(least) AS enough FROM h GROUP BY name""")
 def question_coverage(spark, sf_dir):
-    """All keywords of all questions meet the postings in one join; a keyword counts for 1,000 hits at most."""
+    """All keywords of all questions meet the words of the texts in one join; a keyword counts for 1,000 hits at most."""
     questions = spark.createDataFrame([("q1", "licensed", 3), ("q1", "token", 3), ("q2", "idiot", 2), ("q3", "neverfound", 1), ("q4", "Of The", 2), ("q4", "IDIOT", 2)], "name string, keyword string, least int")
     return quality.question_coverage(questions, keyword_hits(spark, sf_dir, questions))
 
